@@ -96,25 +96,51 @@ def circle_ring(lat: Column, lon: Column, radius_km: Column, vertices: int = 64)
     return F.transform(F.sequence(F.lit(0), F.lit(vertices)), vertex)
 
 
-def ring_centroid(ring: Column) -> Column:
-    """Area-weighted centroid of a closed ring; the vertex mean where the area is zero."""
-    pieces = F.transform(
-        ring_edges(ring),
-        lambda e: F.struct(
-            (e["x0"] * e["y1"] - e["x1"] * e["y0"]).alias("a"),
-            ((e["x0"] + e["x1"]) * (e["x0"] * e["y1"] - e["x1"] * e["y0"])).alias("cx"),
-            ((e["y0"] + e["y1"]) * (e["x0"] * e["y1"] - e["x1"] * e["y0"])).alias("cy"),
-        ),
-    )
+def area_centroid(rings: Column) -> Column:
+    """Area-weighted centroid of ``array<struct<hole: boolean, ring: array<place>>>``: holes count against the area
+    whichever way they are wound. Where the area is zero, the vertex mean of the first ring."""
+
+    def ring_sum(r: Column, value) -> Column:
+        return F.aggregate(ring_edges(r["ring"]), F.lit(0.0), lambda s, e: s + value(e))
+
+    def cross(e: Column) -> Column:
+        return e["x0"] * e["y1"] - e["x1"] * e["y0"]
+
+    def piece(r: Column) -> Column:
+        area = ring_sum(r, cross)
+        sign = F.signum(area) * F.when(r["hole"], -1.0).otherwise(1.0)
+        return F.struct(
+            (sign * area).alias("a"),
+            (sign * ring_sum(r, lambda e: (e["x0"] + e["x1"]) * cross(e))).alias("cx"),
+            (sign * ring_sum(r, lambda e: (e["y0"] + e["y1"]) * cross(e))).alias("cy"),
+        )
+
+    return _weighted_centre(F.transform(rings, piece), F.get(rings, F.lit(0))["ring"], 3)
+
+
+def line_centroid(places: Column) -> Column:
+    """Length-weighted centre of a line; the vertex mean where the length is zero."""
+
+    def piece(e: Column) -> Column:
+        dx, dy = e["x1"] - e["x0"], e["y1"] - e["y0"]
+        length = F.sqrt(dx * dx + dy * dy)
+        return F.struct(
+            length.alias("a"), (length * (e["x0"] + e["x1"]) / 2).alias("cx"),
+            (length * (e["y0"] + e["y1"]) / 2).alias("cy"),
+        )
+
+    return _weighted_centre(F.transform(ring_edges(places), piece), places, 1)
+
 
+def _weighted_centre(pieces: Column, places: Column, scale: int) -> Column:
     def total(part: str) -> Column:
         return F.aggregate(pieces, F.lit(0.0), lambda s, p: s + p[part])
 
     def mean(axis: str) -> Column:
-        return F.aggregate(ring, F.lit(0.0), lambda s, p: s + p[axis]) / F.size(ring)
+        return F.aggregate(places, F.lit(0.0), lambda s, p: s + p[axis]) / F.size(places)
 
-    area = F.nullif(total("a") * 3, F.lit(0.0))
+    weight = F.nullif(total("a") * scale, F.lit(0.0))
     return F.struct(
-        F.coalesce(total("cx") / area, mean("lon")).alias("lon"),
-        F.coalesce(total("cy") / area, mean("lat")).alias("lat"),
+        F.coalesce(total("cx") / weight, mean("lon")).alias("lon"),
+        F.coalesce(total("cy") / weight, mean("lat")).alias("lat"),
     )

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from outagegrid import fixed
 from outagegrid.functions import timing
 
-COUNTY_YEAR = Window.partitionBy("fips", "year").orderBy("hour")
-COUNTY = Window.partitionBy("fips").orderBy("hour")
+
+def _by_hour(*keys: str):
+    return Window.partitionBy(*keys).orderBy("hour")
 
 
 def calendar_features(hourly: DataFrame) -> DataFrame:
@@ -23,9 +24,9 @@ def calendar_features(hourly: DataFrame) -> DataFrame:
 def lag_features(labelled: DataFrame) -> DataFrame:
     """Row lags that restart each year; a missing row counts as zero."""
     peaks = {
-        f"lag_{n}h_peak": F.lag("peak_customers_out", n, 0.0).over(COUNTY_YEAR) for n in (1, 24, 168)
+        f"lag_{n}h_peak": F.lag("peak_customers_out", n, 0.0).over(_by_hour("fips", "year")) for n in (1, 24, 168)
     }
-    labels = {f"lag_{n}h_label": F.lag("outage_label", n, 0).over(COUNTY_YEAR) for n in (24, 168)}
+    labels = {f"lag_{n}h_label": F.lag("outage_label", n, 0).over(_by_hour("fips", "year")) for n in (24, 168)}
     return labelled.withColumns(peaks | labels)
 
 
@@ -33,7 +34,7 @@ def rolling_storms(hourly: DataFrame) -> DataFrame:
     """Sums over the last 6, 12 and 24 rows, the current one included."""
     return hourly.withColumns(
         {
-            f"{c}_sum_{n}h": F.sum(c).over(COUNTY_YEAR.rowsBetween(1 - n, 0))
+            f"{c}_sum_{n}h": F.sum(c).over(_by_hour("fips", "year").rowsBetween(1 - n, 0))
             for n in (6, 12, 24)
             for c in ("wind", "any_storm")
         }
@@ -42,7 +43,7 @@ def rolling_storms(hourly: DataFrame) -> DataFrame:
 
 def fragility(labelled: DataFrame, rows: int = 720, least: int = 24) -> DataFrame:
     """Share of outage hours in the previous rows, current one excluded; zero until enough history exists."""
-    before = COUNTY_YEAR.rowsBetween(-rows, -1)
+    before = _by_hour("fips", "year").rowsBetween(-rows, -1)
     share = F.when(F.count("outage_label").over(before) >= least, F.avg("outage_label").over(before))
     return labelled.withColumn("county_fragility", F.coalesce(share, F.lit(0.0)))
 
@@ -73,7 +74,7 @@ def sequence_windows(
     row = F.array(*[F.col(c).cast("double") for c in features])
     return (
         df.select("fips", "hour", "outage_label", "log_peak_customers", row.alias("_row"))
-        .withColumn("x", F.collect_list("_row").over(COUNTY.rowsBetween(-n, -1)))
+        .withColumn("x", F.collect_list("_row").over(_by_hour("fips").rowsBetween(-n, -1)))
         .where(F.size("x") == n)
         .select("fips", "hour", "x", F.col("outage_label").alias("y_cls"), F.col("log_peak_customers").alias("y_reg"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from outagegrid import fixed
 from outagegrid.functions.codes import voltage_class
 from outagegrid.operators.spatial import nearest
-from outagegrid.session import scratch_path
+from outagegrid.session import keep
 
 NODE_COLUMNS = [
     "node_id", "node_type", "name", "voltage", "subtype", "lat", "lon", "priority", "priority_score", "props", "ord",
@@ -16,15 +16,6 @@ NODE_COLUMNS = [
 EDGE_COLUMNS = ["u", "v", "edge_type", "distance_km", "voltage"]
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Store an intermediate result in the shared checkpoint folder, so that rounds neither repeat earlier rounds nor
-    depend on executors that may be lost."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_path(df.sparkSession, "rounds"))
-    return df.checkpoint()
-
-
 def build_nodes(subs: DataFrame, facilities: DataFrame) -> DataFrame:
     """Substations (node_id, name, voltage, lat, lon, ord [, subtype]) and facilities (node_id, node_type, name, lat, lon,
     props, ord) in one table. Substations come first in order."""

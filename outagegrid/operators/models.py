@@ -13,6 +13,7 @@ from outagegrid import fixed
 from outagegrid.operators.features import fill_features
 from outagegrid.operators.ordering import exact_quantiles
 from outagegrid.operators.sampling import balanced_sample, uniform_sample
+from outagegrid.session import use_checkpoint_folder
 
 
 def _assembler(features: list[str]) -> VectorAssembler:
@@ -58,10 +59,11 @@ def fit_gbt(
     depth: int = 5, rate: float = 0.05, subsample: float = 0.8, order: list[Column] | None = None,
 ) -> PipelineModel:
     """Boosted trees on a class-balanced sample."""
+    use_checkpoint_folder(train.sparkSession)  # many boosting rounds: cut their lineage now and then
     sample = balanced_sample(fill_features(train, features), n, seed, order)
     learner = GBTClassifier(
         featuresCol="features", labelCol="outage_label", maxIter=trees, maxDepth=depth, stepSize=rate,
-        subsamplingRate=subsample, seed=seed, checkpointInterval=-1,
+        subsamplingRate=subsample, seed=seed, checkpointInterval=10,
     )
     return Pipeline(stages=[_assembler(features), learner]).fit(sample)
 

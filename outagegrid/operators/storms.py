@@ -21,8 +21,9 @@ def parse_event_clock(events: DataFrame) -> DataFrame:
     )
 
 
-def clean_storms(events: DataFrame) -> DataFrame:
-    """(cz_type, event_type, begin_ts, end_ts, state_fips, cz_fips) to county events of outage-relevant types."""
+def clean_storms(events: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """(cz_type, event_type, begin_ts, end_ts, state_fips, cz_fips) to county events of outage-relevant types, with the
+    columns in ``keep`` besides."""
     return events.where(
         (F.col("cz_type") == "C") & F.col("event_type").isin(OUTAGE_TYPES) & F.col("begin_ts").isNotNull()
     ).select(
@@ -30,6 +31,7 @@ def clean_storms(events: DataFrame) -> DataFrame:
         codes.event_group(F.col("event_type")).alias("event_group"),
         "begin_ts",
         "end_ts",
+        *keep,
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the plans rely on. Everything else is left to the cluster's own defaults.
 REQUIRED = {
@@ -23,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
@@ -51,3 +52,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def use_checkpoint_folder(spark: SparkSession) -> None:
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_path(spark, "rounds"))
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Store an intermediate result in the shared checkpoint folder, so that rounds neither repeat earlier rounds nor
+    depend on executors that may be lost."""
+    use_checkpoint_folder(df.sparkSession)
+    return df.checkpoint()

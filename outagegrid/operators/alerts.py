@@ -174,7 +174,7 @@ def edge_layer(nodes: DataFrame, edges: DataFrame, at_risk_subs: DataFrame) -> D
         "u", "v", "edge_type", "distance_km", "u_lat", "u_lon", "v_lat", "v_lon",
         both.alias("both_at_risk"),
         F.when(both, fixed.EDGE_COLOURS["at_risk"]).otherwise(fixed.EDGE_COLOURS["normal"]).alias("colour"),
-        F.concat(F.col("edge_type"), F.lit(" | "), F.format_number("distance_km", "0.##"), F.lit(" km")).alias("tooltip"),
+        F.concat(F.col("edge_type"), F.lit(" | "), F.col("distance_km").cast("string"), F.lit(" km")).alias("tooltip"),
         _geometry("LineString", F.array(_point("u_lon", "u_lat"), _point("v_lon", "v_lat"))).alias("geometry"),
     )
 

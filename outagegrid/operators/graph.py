@@ -158,7 +158,7 @@ def k_hop(edges: DataFrame, sources: DataFrame, k: int = fixed.MOST_HOPS) -> Dat
     In an undirected graph a node next to ring ``h`` lies in ring ``h-1``, ``h`` or ``h+1``, so each round is checked
     against the last two rings only.
     """
-    steps = both_ways(edges)
+    steps = keep(both_ways(edges))
     ring = sources.select(F.col("node_id").alias("src"), F.col("node_id").alias("node")).distinct()
     before = None
     rings = [ring.withColumn("hop", F.lit(0))]
@@ -178,7 +178,7 @@ def k_hop(edges: DataFrame, sources: DataFrame, k: int = fixed.MOST_HOPS) -> Dat
 def best_source(edges: DataFrame, sources: DataFrame, best: Column, k: int = fixed.MOST_HOPS) -> DataFrame:
     """(node, hop, best): for every node and walk length up to ``k`` the greatest ``best`` among the sources that reach
     it. State is one row per node, not one per source and node; partial maxima are taken before each shuffle."""
-    steps = both_ways(edges)
+    steps = keep(both_ways(edges))
     state = sources.select(F.col("node_id").alias("node"), best.alias("best"))
     rounds = []
     for hop in range(1, k + 1):

@@ -32,17 +32,22 @@ def _cells(points: DataFrame, level: int) -> DataFrame:
 
 def _depth(points: DataFrame) -> int:
     """The first level at which no cell holds more than a leaf's worth of points: one small aggregate job."""
-    finest = _cells(points, DEEPEST)
-    fullest = [
-        finest.groupBy(
-            F.shiftright("cy", SPLIT_BITS * (DEEPEST - level)), F.shiftright("cx", SPLIT_BITS * (DEEPEST - level))
-        ).agg(F.sum("n").alias("n")).agg(F.max("n")).scalar().alias(f"l{level}")
-        for level in range(DEEPEST + 1)
-    ]
-    for level, most in enumerate(points.sparkSession.range(1).select(*fullest).first()):
-        if most is None or most <= LEAF_POINTS:
-            return level
-    return DEEPEST
+    levels = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(level).alias("level"), _cell("pu", level).alias("cy"), _cell("pv", level).alias("cx"))
+                for level in range(DEEPEST + 1)
+            ]
+        )
+    )
+    fullest = (
+        points.select(levels.alias("c")).groupBy("c.level", "c.cy", "c.cx").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("level").agg(F.max("n").alias("most"))
+        .where(F.col("most") <= LEAF_POINTS)
+        .agg(F.min("level"))
+    )
+    level = fullest.first()[0]
+    return DEEPEST if level is None else level
 
 
 def _prune(frontier: DataFrame, keys: list[str], level: int, need: int) -> DataFrame:

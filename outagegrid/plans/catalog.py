@@ -31,10 +31,12 @@ def full_sql(text: str) -> str:
     """Prefix the CTEs that a statement names, with the ones those name in turn."""
     known = {v: views.sql(v) for v in [*views.VIEWS, "v_ring"]} | CTES
     ordered: list[str] = []
+    seen: set[str] = set()
 
     def visit(body: str) -> None:
         for name in re.findall(r"[a-z_0-9]+", body):
-            if name in known and name not in ordered:
+            if name in known and name not in seen:
+                seen.add(name)  # a recursive CTE names itself
                 visit(known[name])
                 ordered.append(name)
 

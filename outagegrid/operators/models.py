@@ -60,12 +60,14 @@ def fit_gbt(
 ) -> PipelineModel:
     """Boosted trees on a class-balanced sample."""
     use_checkpoint_folder(train.sparkSession)  # many boosting rounds: cut their lineage now and then
-    sample = balanced_sample(fill_features(train, features), n, seed, order)
+    sample = balanced_sample(fill_features(train, features), n, seed, order).persist()
     learner = GBTClassifier(
         featuresCol="features", labelCol="outage_label", maxIter=trees, maxDepth=depth, stepSize=rate,
         subsamplingRate=subsample, seed=seed, checkpointInterval=10,
     )
-    return Pipeline(stages=[_assembler(features), learner]).fit(sample)
+    model = Pipeline(stages=[_assembler(features), learner]).fit(sample)
+    sample.unpersist()
+    return model
 
 
 def score(model: PipelineModel, df: DataFrame, features: list[str] = fixed.FEATURES, name: str = "outage_proba") -> DataFrame:

@@ -25,12 +25,18 @@ def _order_tuple(order: list[Column]) -> Column:
     return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
 
 
-def _with_bucket(df: DataFrame, keys: list[str], order: list[Column], carry: list[str]) -> DataFrame:
+def _with_bucket(
+    df: DataFrame, keys: list[str], order: list[Column], carry: list[str], hashed: bool = False
+) -> DataFrame:
     """Add ``_o`` (the order tuple) and ``_b`` (its bucket). ``carry`` keeps those columns in the sampling branch, so
-    that an aggregate below is planned once and its shuffle is shared."""
+    that an aggregate below is planned once and its shuffle is shared. ``hashed`` says that the order starts with a
+    64-bit hash: its leading bits are even buckets already, and no sample is drawn."""
     buckets = bucket_count(df)
     place = _order_tuple(order)
-    df = df.dropna(subset=keys) if keys else df
+    for key in keys:  # stated here as well as implied by the later join, so that all branches read the same rows
+        df = df.where(F.col(key).isNotNull())
+    if hashed:
+        return df.select(*df.columns, place.alias("_o"), F.shiftright(order[0], 65 - buckets.bit_length()).alias("_b"))
     bounds = (
         df.select(place.alias("o"), F.xxhash64(*keys, place).alias("h"), *carry)
         .orderBy("h", *carry)
@@ -74,12 +80,13 @@ def running_totals(df: DataFrame, keys: list[str], order: list[Column], sums: li
 
 
 def rank_within(
-    df: DataFrame, keys: list[str], order: list[Column], name: str = "rank", upto: Column | None = None
+    df: DataFrame, keys: list[str], order: list[Column], name: str = "rank", upto: Column | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
     """Exact row number by ``order`` inside ``keys``. With ``upto`` only ranks up to it are kept, and buckets that lie
     wholly behind it are dropped before anything is sorted. End ``order`` with a unique column, so that equal leading
     values spread over buckets and the result does not depend on input order."""
-    rows = _with_bucket(df, keys, order, [])
+    rows = _with_bucket(df, keys, order, [], hashed)
     sizes = rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -93,8 +100,11 @@ def rank_within(
     return ranked.drop("_o", "_b", "_before")
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
-    """Linearly interpolated quantiles per group: one row per group, one column per entry of ``quantiles``.
+def exact_quantiles(
+    df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float], mean: str | None = None
+) -> DataFrame:
+    """Linearly interpolated quantiles per group: one row per group, one column per entry of ``quantiles``, and the mean
+    under the name ``mean`` if one is given.
 
     Equal values are counted before the first shuffle; after that a hot group is spread over buckets.
     """
@@ -112,6 +122,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[
         ]
         span = F.col(f"_{name}_high") - F.col(f"_{name}_low")
         results.append((F.col(f"_{name}_low") + span * F.col(f"_{name}_part")).alias(name))
+    if mean is not None:
+        aggregates.append((F.sum(F.col(value) * F.col("n")) / F.max("total_n")).alias(mean))
+        results.append(F.col(mean))
     if keys:
         return running.groupBy(*keys).agg(*aggregates).select(*keys, *results)
     return running.agg(*aggregates).select(*results)

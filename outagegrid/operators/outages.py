@@ -63,9 +63,7 @@ def county_stats(clean: DataFrame, q: float = 0.9, approx: bool = False) -> Data
             F.approx_percentile("customers_out", F.lit(q), F.lit(10000)).alias("county_p90"),
             F.avg("customers_out").alias("county_mean_baseline"),
         )
-    quantile = exact_quantiles(clean, ["fips"], "customers_out", {"county_p90": q})
-    mean = clean.groupBy("fips").agg(F.avg("customers_out").alias("county_mean_baseline"))
-    return quantile.join(mean, "fips")
+    return exact_quantiles(clean, ["fips"], "customers_out", {"county_p90": q}, mean="county_mean_baseline")
 
 
 def distinct_counties(clean: DataFrame) -> DataFrame:

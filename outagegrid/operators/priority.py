@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from outagegrid import fixed
 from outagegrid.functions import codes
 from outagegrid.operators.ordering import exact_quantiles, rank_within
+from outagegrid.session import keep
 
 QUEUE_NAMES = {
     "fips_str": "FIPS", "state_abbr": "State", "scenario_proba": "P(Outage)", "peak_customers_out": "Peak Customers",
@@ -43,7 +44,8 @@ def county_priority(scored: DataFrame) -> DataFrame:
         F.count("outage_label").alias("total_hours"),
         first_state["state"].alias("state"),
     ).withColumn("outage_rate", F.col("outage_events") / F.col("total_hours"))
-    return rank_within(counties, [], [-F.col("max_priority_score"), F.col("fips")])
+    # Ranking reads its input more than once, and scoring may be costly: store the one row per county first.
+    return rank_within(keep(counties), [], [-F.col("max_priority_score"), F.col("fips")])
 
 
 def top_counties(priority: DataFrame, n: int = 10) -> DataFrame:

@@ -30,11 +30,11 @@ def negative_downsample(
     df: DataFrame, ratio: int = 4, seed: int = 42, order: list[Column] | None = None, by: str = "year"
 ) -> DataFrame:
     """Every positive row and exactly min(ratio x positives, negatives) negative rows of each year."""
-    order = order or hash_order(ROW, seed)
+    hashed, order = order is None, order or hash_order(ROW, seed)
     label = F.col("outage_label")
     wanted = df.groupBy(by).agg((F.count_if(label == 1) * ratio).alias("_wanted"))
     negatives = df.where(label == 0).join(wanted, by)
-    kept = rank_within(negatives, [by], order, "_rank", F.col("_wanted"))
+    kept = rank_within(negatives, [by], order, "_rank", F.col("_wanted"), hashed)
     return df.where(label == 1).unionByName(kept.select(*df.columns))
 
 
@@ -42,17 +42,18 @@ def balanced_sample(
     df: DataFrame, n: int = 150_000, seed: int = 42, order: list[Column] | None = None
 ) -> DataFrame:
     """The same number of rows from both classes: ``n``, or all positives where there are fewer."""
-    order = order or hash_order(ROW, seed)
+    hashed, order = order is None, order or hash_order(ROW, seed)
     size = df.agg(F.least(F.lit(n), F.count_if(F.col("outage_label") == 1)).alias("s"))
-    kept = rank_within(df.withColumn("_size", size.scalar()), ["outage_label"], order, "_rank", F.col("_size"))
+    sized = df.withColumn("_size", size.scalar())
+    kept = rank_within(sized, ["outage_label"], order, "_rank", F.col("_size"), hashed)
     return kept.select(*df.columns)
 
 
 def uniform_sample(
     df: DataFrame, n: int = 300_000, seed: int = 42, order: list[Column] | None = None
 ) -> DataFrame:
-    order = order or hash_order(ROW, seed)
-    return rank_within(df, [], order, "_rank", F.lit(n)).select(*df.columns)
+    hashed, order = order is None, order or hash_order(ROW, seed)
+    return rank_within(df, [], order, "_rank", F.lit(n), hashed).select(*df.columns)
 
 
 def county_sample(df: DataFrame, n: int, seed: int = 42, order: list[Column] | None = None) -> DataFrame:

@@ -84,7 +84,7 @@ WINDOW w AS (PARTITION BY fips, year ORDER BY hour),
        w24 AS (PARTITION BY fips, year ORDER BY hour ROWS BETWEEN 23 PRECEDING AND CURRENT ROW),
        wf AS (PARTITION BY fips, year ORDER BY hour ROWS BETWEEN 720 PRECEDING AND 1 PRECEDING)"""
 
-MEASURES = "round(peak_customers_out, 6) AS peak_customers_out"
+MEASURES = "round(peak_customers_out, 9) AS peak_customers_out"
 
 
 def _clean(spark, folder):
@@ -109,20 +109,20 @@ def observations_clean(spark, folder):
 
 
 @query(
-    "SELECT fips, hour, year, peak_customers_out, round(mean_customers_out, 6) AS mean_customers_out, null_count, state "
+    "SELECT fips, hour, year, peak_customers_out, round(mean_customers_out, 9) AS mean_customers_out, null_count, state "
     "FROM c_hourly"
 )
 def hourly_rollup(spark, folder):
-    return rounded(outages.hourly_rollup(_clean(spark, folder)), mean_customers_out=6)
+    return rounded(outages.hourly_rollup(_clean(spark, folder)), mean_customers_out=9)
 
 
 @query(
-    "SELECT fips, round(county_p90, 6) AS county_p90, round(county_mean_baseline, 6) AS county_mean_baseline FROM c_stats"
+    "SELECT fips, round(county_p90, 9) AS county_p90, round(county_mean_baseline, 9) AS county_mean_baseline FROM c_stats"
 )
 def county_stats(spark, folder):
     clean = _clean(spark, folder)
     stats = outages.county_stats(clean.where(F.col("year").isin(THRESHOLD_PERIODS)))
-    return rounded(stats, county_p90=6, county_mean_baseline=6)
+    return rounded(stats, county_p90=9, county_mean_baseline=9)
 
 
 @query("SELECT DISTINCT fips FROM c_clean")
@@ -131,30 +131,30 @@ def distinct_counties(spark, folder):
 
 
 @query(
-    "SELECT fips, hour, year, state, peak_customers_out, round(mean_customers_out, 6) AS mean_customers_out, null_count, "
-    "round(county_p90, 6) AS county_p90, round(county_mean_baseline, 6) AS county_mean_baseline, outage_label, "
-    "round(log_peak_customers, 6) AS log_peak_customers FROM c_labelled"
+    "SELECT fips, hour, year, state, peak_customers_out, round(mean_customers_out, 9) AS mean_customers_out, null_count, "
+    "round(county_p90, 9) AS county_p90, round(county_mean_baseline, 9) AS county_mean_baseline, outage_label, "
+    "round(log_peak_customers, 9) AS log_peak_customers FROM c_labelled"
 )
 def outage_labels(spark, folder):
     return rounded(
-        _labelled(spark, folder), mean_customers_out=6, county_p90=6, county_mean_baseline=6, log_peak_customers=6
+        _labelled(spark, folder), mean_customers_out=9, county_p90=9, county_mean_baseline=9, log_peak_customers=9
     )
 
 
 @query(
-    "SELECT fips, count(outage_label) AS total_rows, round(avg(outage_label) * 100, 6) AS outage_rate_pct "
+    "SELECT fips, count(outage_label) AS total_rows, round(avg(outage_label) * 100, 9) AS outage_rate_pct "
     "FROM c_labelled GROUP BY fips"
 )
 def hourly_outage_labels(spark, folder):
-    return rounded(outages.outage_rates(_labelled(spark, folder), ["fips"]), outage_rate_pct=6)
+    return rounded(outages.outage_rates(_labelled(spark, folder), ["fips"]), outage_rate_pct=9)
 
 
 @query(
-    "SELECT year, count(outage_label) AS total_rows, round(avg(outage_label) * 100, 6) AS outage_rate_pct "
+    "SELECT year, count(outage_label) AS total_rows, round(avg(outage_label) * 100, 9) AS outage_rate_pct "
     "FROM c_labelled GROUP BY year"
 )
 def outage_rate_by_year(spark, folder):
-    return rounded(outages.outage_rates(_labelled(spark, folder), ["year"]), outage_rate_pct=6)
+    return rounded(outages.outage_rates(_labelled(spark, folder), ["year"]), outage_rate_pct=9)
 
 
 @query("SELECT fips, event_group, begin_ts, end_ts FROM c_storm_clean")
@@ -218,11 +218,11 @@ CYCLE = ["hour_sin", "hour_cos", "month_sin", "month_cos"]
 
 @query(
     "SELECT fips, hour, " + ", ".join(f"CAST({c} AS INT) AS {c}" for c in CALENDAR) + ", "
-    + ", ".join(f"round({c}, 6) AS {c}" for c in CYCLE) + " FROM c_features"
+    + ", ".join(f"round({c}, 9) AS {c}" for c in CYCLE) + " FROM c_features"
 )
 def calendar_features(spark, folder):
     df = features.calendar_features(outages.hourly_rollup(_clean(spark, folder)))
-    return rounded(df.select("fips", "hour", *CALENDAR, *CYCLE), **dict.fromkeys(CYCLE, 6))
+    return rounded(df.select("fips", "hour", *CALENDAR, *CYCLE), **dict.fromkeys(CYCLE, 9))
 
 
 LAGS = ["lag_1h_peak", "lag_24h_peak", "lag_168h_peak", "lag_24h_label", "lag_168h_label"]
@@ -256,13 +256,13 @@ def _flagship(spark, folder):
 
 
 @query(
-    "SELECT fips, hour, year, state, outage_label, peak_customers_out, round(log_peak_customers, 6) AS log_peak_customers, "
+    "SELECT fips, hour, year, state, outage_label, peak_customers_out, round(log_peak_customers, 9) AS log_peak_customers, "
     + ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in WHOLE_FEATURES) + ", "
-    + ", ".join(f"round({c}, 6) AS {c}" for c in REAL_FEATURES) + " FROM c_features"
+    + ", ".join(f"round({c}, 9) AS {c}" for c in REAL_FEATURES) + " FROM c_features"
 )
 def feature_store(spark, folder):
     df = as_bigint(_flagship(spark, folder), *WHOLE_FEATURES)
-    return rounded(df, log_peak_customers=6, **dict.fromkeys(REAL_FEATURES, 6))
+    return rounded(df, log_peak_customers=9, **dict.fromkeys(REAL_FEATURES, 9))
 
 
 SPLIT = {"train": [1, 2], "validation": [3], "test": [4]}
@@ -275,11 +275,11 @@ def _split(spark, folder):
 
 
 @query(
-    "SELECT split, count(outage_label) AS total_rows, round(avg(outage_label) * 100, 6) AS outage_rate_pct "
+    "SELECT split, count(outage_label) AS total_rows, round(avg(outage_label) * 100, 9) AS outage_rate_pct "
     "FROM c_split GROUP BY split"
 )
 def split_rates(spark, folder):
-    return rounded(outages.outage_rates(_split(spark, folder), ["split"]), outage_rate_pct=6)
+    return rounded(outages.outage_rates(_split(spark, folder), ["split"]), outage_rate_pct=9)
 
 
 # Samples in the queries follow an order that SQL can state as well; the default order is a seeded hash.
@@ -331,7 +331,7 @@ def county_sample(spark, folder):
 
 
 @query(
-    """SELECT fips, hour, outage_label AS y_cls, round(log_peak_customers, 6) AS y_reg, CAST(24 AS INT) AS steps,
+    """SELECT fips, hour, outage_label AS y_cls, round(log_peak_customers, 9) AS y_reg, CAST(24 AS INT) AS steps,
        p24 AS oldest_peak_lag, p1 AS newest_peak_lag, CAST(storms AS BIGINT) AS storm_hours
 FROM (SELECT *, count(*) OVER w AS steps, lag(lag_1h_peak, 24) OVER o AS p24, lag(lag_1h_peak, 1) OVER o AS p1,
              sum(any_storm) OVER w AS storms
@@ -345,7 +345,7 @@ def sequence_windows(spark, folder):
     lag, storm = fixed.FEATURES.index("lag_1h_peak"), fixed.FEATURES.index("any_storm")
     windows = features.sequence_windows(_flagship(spark, folder))
     return windows.select(
-        "fips", "hour", "y_cls", F.round("y_reg", 6).alias("y_reg"), F.size("x").alias("steps"),
+        "fips", "hour", "y_cls", F.round("y_reg", 9).alias("y_reg"), F.size("x").alias("steps"),
         F.col("x")[0][lag].alias("oldest_peak_lag"), F.col("x")[23][lag].alias("newest_peak_lag"),
         F.aggregate("x", F.lit(0.0), lambda s, row: s + row[storm]).cast("bigint").alias("storm_hours"),
     )
@@ -354,17 +354,17 @@ def sequence_windows(spark, folder):
 AUDIT_SQL = """count(*) AS total_rows, count(DISTINCT fips_code) AS counties, min(run_start_time) AS first_report,
        max(run_start_time) AS last_report, count(*) FILTER (customers_raw IS NULL) AS null_sum,
        count(*) FILTER (customers_raw > 0) AS positive_sum,
-       round(count(*) FILTER (customers_raw > 0) * 1e2 / count(*), 6) AS positive_pct, max(customers_raw) AS max_sum"""
+       round(count(*) FILTER (customers_raw > 0) * 1e2 / count(*), 9) AS positive_pct, max(customers_raw) AS max_sum"""
 
 
 @query(f"SELECT period, {AUDIT_SQL} FROM v_obs GROUP BY period")
 def audit_outages(spark, folder):
-    return rounded(audit.audit_outages(observations(spark, folder), ["period"]), positive_pct=6)
+    return rounded(audit.audit_outages(observations(spark, folder), ["period"]), positive_pct=9)
 
 
 @query(f"SELECT {AUDIT_SQL} FROM v_obs")
 def audit_outages_total(spark, folder):
-    return rounded(audit.audit_outages(observations(spark, folder), []), positive_pct=6)
+    return rounded(audit.audit_outages(observations(spark, folder), []), positive_pct=9)
 
 
 @query(

@@ -198,7 +198,8 @@ def read_alert_folder(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     """(at-risk substations, alerts, summary) of a folder written above."""
 
     def read(part: str, shape: str, extra: str = "") -> DataFrame:
-        return spark.read.schema(extra + shape.removeprefix("struct<").removesuffix(">")).json(f"{path}/{part}")
+        columns = shape.removeprefix("struct<").removesuffix(">").replace(":", " ")
+        return spark.read.schema(extra + columns).json(f"{path}/{part}")
 
     return (
         read("at_risk_substations", AT_RISK),

@@ -9,6 +9,8 @@ from outagegrid import fixed
 from outagegrid.functions import codes, geo
 from outagegrid.operators.graph import best_source, facility_rule, of_type
 
+ORDER_BITS = 48
+LAST_ORDER = (1 << ORDER_BITS) - 1
 AT_RISK_COLUMNS = [
     "node_id", "name", "lat", "lon", "voltage", "subtype", "base_risk", "adjusted_risk", "in_storm_zone",
 ]
@@ -68,39 +70,45 @@ def alert_score(risk: Column, weight: Column, hops: Column) -> Column:
 
 
 def facility_alerts(nodes: DataFrame, edges: DataFrame, at_risk_subs: DataFrame, k: int = fixed.MOST_HOPS) -> DataFrame:
-    """One alert per facility in reach: the feeder with the highest score, ties by risk and then substation order."""
-    source = F.struct(
-        F.col("adjusted_risk").alias("risk"), (-F.col("ord")).alias("back"), F.col("node_id").alias("id")
+    """One alert per facility in reach: the feeder with the highest score, ties by risk and then substation order.
+
+    A feeder travels along the edges as one number, its risk in ten-thousandths followed by its reversed order, so every
+    round is a hash aggregate of plain numbers; names are joined once at the end.
+    """
+    packed = F.shiftleft(F.round(F.col("adjusted_risk") * 10_000).cast("long"), ORDER_BITS) + (
+        F.lit(LAST_ORDER) - F.col("ord")
     )
-    reached = best_source(edges, at_risk_subs, source, k)
+    reached = best_source(edges, at_risk_subs, packed, k)
+    risk = F.shiftrightunsigned("best", ORDER_BITS) / 10_000
     facilities = nodes.where(facility_rule("weight").isNotNull()).select(
         F.col("node_id").alias("node"), F.col("name").alias("facility_name"), F.col("node_type").alias("facility_type"),
-        facility_rule("priority").alias("priority"), facility_rule("weight").alias("_weight"),
-        facility_rule("max_hops").alias("_most"), "lat", "lon", "props", F.col("ord").alias("_facility_ord"),
+        facility_rule("priority").alias("priority"), "lat", "lon", "props", F.col("ord").alias("_facility_ord"),
+    )
+    rules = nodes.select(
+        F.col("node_id").alias("node"), facility_rule("weight").alias("weight"), facility_rule("max_hops").alias("most")
     )
-    score = alert_score(F.col("best.risk"), F.col("_weight"), F.col("hop"))
-    attributes = [c for c in facilities.columns if c != "node"]
     best = (
-        reached.join(facilities, "node")
-        .where(F.col("hop") <= F.col("_most"))
+        reached.join(rules, "node")
+        .where(F.col("hop") <= F.col("most"))
         .groupBy("node")
-        .agg(
-            F.max(F.struct(score.alias("score"), "best.risk", "best.back", "best.id", "hop")).alias("w"),
-            *[F.first(c).alias(c) for c in attributes],
-        )
+        .agg(F.max(F.struct(alert_score(risk, F.col("weight"), F.col("hop")).alias("score"), "best", "hop")).alias("w"))
+        .select("node", "w.score", "w.best", "w.hop")
     )
     feeders = at_risk_subs.select(
-        F.col("node_id").alias("_feeder"), F.col("name").alias("feeding_substation"),
+        F.col("ord").alias("_feeder"), F.col("name").alias("feeding_substation"),
         F.col("lat").alias("feeding_sub_lat"), F.col("lon").alias("feeding_sub_lon"), "in_storm_zone",
     )
-    risk = F.col("w.risk")
-    return best.join(feeders, F.col("w.id") == F.col("_feeder")).select(
-        F.col("node").alias("facility_id"), "facility_name", "facility_type", "priority", "lat", "lon",
-        "feeding_substation", "feeding_sub_lat", "feeding_sub_lon", F.round(risk, 4).alias("substation_risk"),
-        F.col("w.hop").alias("hop_distance"), F.round("w.score", 4).alias("alert_score"), "in_storm_zone",
-        codes.first_of(F.col("props"), ["beds", "BEDS"], "0").cast("double").cast("int").alias("beds"),
-        codes.first_of(F.col("props"), ["trauma", "TRAUMA"], "N/A").alias("trauma"),
-        codes.advice(F.col("facility_type"), risk).alias("action"), F.col("_facility_ord").alias("ord"),
+    feeder = F.lit(LAST_ORDER) - F.col("best").bitwiseAND(F.lit(LAST_ORDER))
+    return (
+        best.withColumn("_feeder", feeder).join(facilities, "node").join(feeders, "_feeder")
+        .select(
+            F.col("node").alias("facility_id"), "facility_name", "facility_type", "priority", "lat", "lon",
+            "feeding_substation", "feeding_sub_lat", "feeding_sub_lon", risk.alias("substation_risk"),
+            F.col("hop").alias("hop_distance"), F.round("score", 4).alias("alert_score"), "in_storm_zone",
+            codes.first_of(F.col("props"), ["beds", "BEDS"], "0").cast("double").cast("int").alias("beds"),
+            codes.first_of(F.col("props"), ["trauma", "TRAUMA"], "N/A").alias("trauma"),
+            codes.advice(F.col("facility_type"), risk).alias("action"), F.col("_facility_ord").alias("ord"),
+        )
     )
 
 

@@ -152,6 +152,12 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(pair.alias("p")).select("p.node", "p.next")
 
 
+def _cut(df: DataFrame, hop: int, k: int) -> DataFrame:
+    """Store every third round. Two or three rounds share their shuffles within one plan; without a cut the plan of many
+    rounds would grow with each of them."""
+    return keep(df) if hop % 3 == 0 and hop < k else df
+
+
 def k_hop(edges: DataFrame, sources: DataFrame, k: int = fixed.MOST_HOPS) -> DataFrame:
     """(src, node, hop) for every node within ``k`` hops of every source (a table with ``node_id``), sources included.
 
@@ -167,7 +173,7 @@ def k_hop(edges: DataFrame, sources: DataFrame, k: int = fixed.MOST_HOPS) -> Dat
         reached = reached.join(ring, ["src", "node"], "left_anti")
         if before is not None:
             reached = reached.join(before, ["src", "node"], "left_anti")
-        before, ring = ring, keep(reached)
+        before, ring = ring, _cut(reached, hop, k)
         rings.append(ring.withColumn("hop", F.lit(hop)))
     out = rings[0]
     for r in rings[1:]:
@@ -182,8 +188,8 @@ def best_source(edges: DataFrame, sources: DataFrame, best: Column, k: int = fix
     state = sources.select(F.col("node_id").alias("node"), best.alias("best"))
     rounds = []
     for hop in range(1, k + 1):
-        state = keep(
-            state.join(steps, "node").groupBy(F.col("next").alias("node")).agg(F.max("best").alias("best"))
+        state = _cut(
+            state.join(steps, "node").groupBy(F.col("next").alias("node")).agg(F.max("best").alias("best")), hop, k
         )
         rounds.append(state.withColumn("hop", F.lit(hop)))
     out = rounds[0]

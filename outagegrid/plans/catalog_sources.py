@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from outagegrid.functions import codes
-from outagegrid.operators import graph
+from outagegrid.functions.timing import parse_iso_ts
+from outagegrid.operators import graph, priority, storms
 from outagegrid.plans.catalog import observations, query, rounded
 from outagegrid.plans.catalog_grid import _facilities, _subs, _tables
 from outagegrid.plans.catalog_scoring import _queue
 from outagegrid.plans.views import frame
-from outagegrid.operators import priority
 from outagegrid.session import scratch_path
 from outagegrid.sources import files, geojson
 
@@ -23,6 +23,49 @@ def land_and_scan_parquet(spark, folder):
     return files.scan_parquet(spark, path, ["fips_code", "state", "sum", "run_start_time", "year"], [2, 3, 4])
 
 
+@query(
+    """SELECT fips_code, state, customers_raw AS sum, run_start_time AS ts, CAST(2000 + period AS INT) AS year FROM v_obs"""
+)
+def scan_outage_csv(spark, folder):
+    """Reports written as yearly outage files and scanned by header name, with the year from the file name."""
+    root = scratch_path(spark, "outage-files")
+    obs = observations(spark, folder)
+    for period in (1, 2, 3, 4):
+        part = obs.where(F.col("period") == period).select(
+            "fips_code", F.col("run_start_time").cast("string").alias("run_start_time"), "state", "sum"
+        )
+        files.export_csv(part, f"{root}/eaglei_outages_{2000 + period}.csv")
+    back = files.scan_outage_csv(spark, root)
+    return back.select("fips_code", "state", "sum", parse_iso_ts(F.col("run_start_time")).alias("ts"), "year")
+
+
+@query(
+    """SELECT cz_type, event_type, date_trunc('second', begin_ts) AS begin_ts, date_trunc('second', end_ts) AS end_ts,
+       state_fips, cz_fips, state, CAST(2000 + period AS INT) AS year FROM v_storm"""
+)
+def scan_storm_csv(spark, folder):
+    """Events written as yearly storm files, scanned and their clocks parsed."""
+    root = scratch_path(spark, "storm-files")
+    events = frame(spark, folder, "v_storm")
+
+    def text(c):
+        return F.upper(F.date_format(c, "dd-MMM-yy HH:mm:ss"))
+
+    for period in (1, 2, 3, 4):
+        part = events.where(F.col("period") == period).select(
+            F.col("state").alias("STATE"), F.col("cz_type").alias("CZ_TYPE"), F.col("cz_fips").alias("CZ_FIPS"),
+            F.col("state_fips").alias("STATE_FIPS"), F.col("event_type").alias("EVENT_TYPE"),
+            text("begin_ts").alias("BEGIN_DATE_TIME"), text("end_ts").alias("END_DATE_TIME"),
+            F.lit('two\nlines, "quoted"').alias("EPISODE_NARRATIVE"),
+        )
+        files.export_csv(part, f"{root}/StormEvents_details-ftp_v1.0_d{2000 + period}_c20240101.csv")
+    back = storms.parse_event_clock(files.scan_storm_csv(spark, root))
+    return back.select(
+        F.col("CZ_TYPE").alias("cz_type"), F.col("EVENT_TYPE").alias("event_type"), "begin_ts", "end_ts",
+        F.col("STATE_FIPS").alias("state_fips"), F.col("CZ_FIPS").alias("cz_fips"), F.col("STATE").alias("state"), "year",
+    )
+
+
 @query("SELECT DISTINCT period AS year FROM v_obs WHERE period >= 2")
 def discover_years(spark, folder):
     path = scratch_path(spark, "landed")

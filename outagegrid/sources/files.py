@@ -46,9 +46,9 @@ def _typed(df: DataFrame, columns: dict[str, str]) -> list[Column]:
 
 def scan_outage_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Reports of all yearly files; the year comes from the file name."""
-    raw = spark.read.option("header", True).option("pathGlobFilter", fixed.OUTAGE_FILES).csv(folder)
+    raw = spark.read.option("header", True).csv(f"{folder}/{fixed.OUTAGE_FILES}")
     return raw.select(
-        *_typed(raw, OUTAGE_COLUMNS), codes.year_of_file(F.col("_metadata.file_name"), "outage").alias("year")
+        *_typed(raw, OUTAGE_COLUMNS), codes.year_of_file(F.col("_metadata.file_path"), "outage").alias("year")
     )
 
 
@@ -56,10 +56,10 @@ def scan_storm_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Storm events of all yearly files. Narrative fields may hold quoted line breaks."""
     raw = (
         spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-        .option("pathGlobFilter", fixed.STORM_FILES).csv(folder)
+        .csv(f"{folder}/{fixed.STORM_FILES}")
     )
     return raw.select(
-        *_typed(raw, STORM_COLUMNS), codes.year_of_file(F.col("_metadata.file_name"), "storm").alias("year")
+        *_typed(raw, STORM_COLUMNS), codes.year_of_file(F.col("_metadata.file_path"), "storm").alias("year")
     )
 
 
@@ -99,7 +99,8 @@ def with_row_number(df: DataFrame, name: str = "ord") -> DataFrame:
     sizes = df.select(F.shiftright(local, 33).alias("_task")).groupBy("_task").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
-    return rows.join(starts, "_task").withColumn(name, F.col("_start") + F.col("_at")).drop(
+    # One row per scan task, whatever the number of rows, so the broadcast is small and the rows stay where they are.
+    return rows.join(F.broadcast(starts), "_task").withColumn(name, F.col("_start") + F.col("_at")).drop(
         "_id", "_task", "_at", "_start"
     )
 
@@ -148,7 +149,7 @@ def read_facilities(spark: SparkSession, folder: str) -> DataFrame | None:
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Queue and alert exports, with a header, in the column order given."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def sample_grid(spark: SparkSession) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from outagegrid import fixed
@@ -35,14 +35,19 @@ def clean_storms(events: DataFrame, keep: list[str] = ()) -> DataFrame:
     )
 
 
-def expand_hours(
-    storms: DataFrame, open_hours: int = fixed.OPEN_EVENT_HOURS, cap_hours: int = fixed.EVENT_HOURS_CAP
-) -> DataFrame:
-    """One row per started hour of each event, end exclusive, at least one and at most ``cap_hours``."""
+def _span(open_hours: int, cap_hours: int) -> tuple[Column, Column]:
+    """The first hour of an event and its number of started hours: end exclusive, at least one, at most the cap."""
     first = timing.floor_hour(F.col("begin_ts"))
     end = F.coalesce("end_ts", F.col("begin_ts") + F.make_dt_interval(hours=F.lit(open_hours)))
     spanned = F.timestamp_diff("HOUR", first, timing.ceil_hour(end))
-    hours = F.greatest(F.lit(1), F.least(F.lit(cap_hours), spanned)).cast("int")
+    return first, F.greatest(F.lit(1), F.least(F.lit(cap_hours), spanned)).cast("int")
+
+
+def expand_hours(
+    storms: DataFrame, open_hours: int = fixed.OPEN_EVENT_HOURS, cap_hours: int = fixed.EVENT_HOURS_CAP
+) -> DataFrame:
+    """One row per event and started hour."""
+    first, hours = _span(open_hours, cap_hours)
     return storms.select(
         "*", first.alias("_first"), F.explode(F.sequence(F.lit(0), hours - 1)).alias("hour_offset")
     ).select(
@@ -52,14 +57,8 @@ def expand_hours(
     )
 
 
-def storm_flags(hours: DataFrame) -> DataFrame:
-    """Counts per county, hour and group in fixed columns, with the any-storm flag and the capped severity.
-
-    Written as conditional sums: one map-side combine and one shuffle, whichever groups occur.
-    """
-    counts = hours.groupBy("fips", "hour").agg(
-        *[F.count_if(F.col("event_group") == g).alias(g) for g in fixed.GROUPS]
-    )
+def with_flags(counts: DataFrame) -> DataFrame:
+    """Group counts per county and hour, plus the any-storm flag and the capped severity."""
     weighted = sum((F.col(g) * w for g, w in fixed.SEVERITY_WEIGHTS.items()), F.lit(0))
     return counts.withColumns(
         {
@@ -69,12 +68,50 @@ def storm_flags(hours: DataFrame) -> DataFrame:
     )
 
 
-def storm_pivot(events: DataFrame) -> DataFrame:
-    return storm_flags(expand_hours(clean_storms(events)))
+def storm_flags(hours: DataFrame) -> DataFrame:
+    """Flags from expanded rows: conditional counts in fixed columns, whichever groups occur."""
+    return with_flags(
+        hours.groupBy("fips", "hour").agg(*[F.count_if(F.col("event_group") == g).alias(g) for g in fixed.GROUPS])
+    )
+
+
+def storm_pivot(
+    events: DataFrame, open_hours: int = fixed.OPEN_EVENT_HOURS, cap_hours: int = fixed.EVENT_HOURS_CAP
+) -> DataFrame:
+    """Flags of every county-hour with a storm, without expanding events.
+
+    An event leaves two marks, one where it starts and one where it is over. Marks are summed per county and hour, a
+    running sum gives the counts between marks, and only those stretches are laid out by hour: the work grows with
+    events and with county-hours, not with events times their length. The window holds one row per hour of a county at
+    most, however many events fall into it.
+    """
+    first, hours = _span(open_hours, cap_hours)
+    over = first + F.make_dt_interval(hours=hours)
+    marks = clean_storms(events).select(
+        "fips",
+        "event_group",
+        F.explode(
+            F.array(
+                F.struct(first.alias("hour"), F.lit(1).alias("step")),
+                F.struct(over.alias("hour"), F.lit(-1).alias("step")),
+            )
+        ).alias("m"),
+    )
+    changes = marks.groupBy("fips", F.col("m.hour").alias("hour")).agg(
+        *[F.sum(F.when(F.col("event_group") == g, F.col("m.step")).otherwise(0)).alias(g) for g in fixed.GROUPS]
+    )
+    by_hour = Window.partitionBy("fips").orderBy("hour")
+    so_far = by_hour.rowsBetween(Window.unboundedPreceding, 0)
+    active = changes.select(
+        "fips", "hour", F.lead("hour").over(by_hour).alias("_next"), *[F.sum(g).over(so_far).alias(g) for g in fixed.GROUPS]
+    ).where(sum((F.col(g) for g in fixed.GROUPS), F.lit(0)) > 0)
+    each_hour = F.sequence("hour", F.col("_next") - F.expr("INTERVAL 1 HOUR"), F.expr("INTERVAL 1 HOUR"))
+    return with_flags(active.select("fips", F.explode(each_hour).alias("hour"), *fixed.GROUPS))
 
 
 def join_storms(hourly: DataFrame, pivot: DataFrame) -> DataFrame:
-    """Both sides are aggregates on (fips, hour), so the join adds no shuffle. No storm means zero."""
+    """The hourly side is laid out by (fips, hour) already, so only the storm side, by far the smaller one, moves. No
+    storm means zero."""
     added = [*fixed.GROUPS, "any_storm", "storm_severity"]
     return hourly.join(pivot.select("fips", "hour", *added), ["fips", "hour"], "left").fillna(0, subset=added)
 

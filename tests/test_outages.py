@@ -117,6 +117,10 @@ def test_pivot_conserves_expanded_hours(spark):
     hours = storms.expand_hours(clean)
     total = storms.storm_flags(hours).agg(F.sum(sum(F.col(g) for g in fixed.GROUPS))).first()[0]
     assert total == hours.count()
+    events = spark.createDataFrame(rows, EVENTS)
+    columns = ["fips", "hour", *fixed.GROUPS, "any_storm", "storm_severity"]
+    expanded, marked = storms.storm_flags(hours).select(columns), storms.storm_pivot(events).select(columns)
+    assert sorted(map(tuple, expanded.collect())) == sorted(map(tuple, marked.collect()))
 
 
 @pytest.fixture(scope="module")

@@ -162,7 +162,7 @@ def k_hop(edges: DataFrame, sources: DataFrame, k: int = fixed.MOST_HOPS) -> Dat
     """(src, node, hop) for every node within ``k`` hops of every source (a table with ``node_id``), sources included.
 
     In an undirected graph a node next to ring ``h`` lies in ring ``h-1``, ``h`` or ``h+1``, so each round is checked
-    against the last two rings only.
+    against the last two rings only. A ring is read by the next rounds and by the result, so it is stored once.
     """
     steps = keep(both_ways(edges))
     ring = sources.select(F.col("node_id").alias("src"), F.col("node_id").alias("node")).distinct()
@@ -173,7 +173,7 @@ def k_hop(edges: DataFrame, sources: DataFrame, k: int = fixed.MOST_HOPS) -> Dat
         reached = reached.join(ring, ["src", "node"], "left_anti")
         if before is not None:
             reached = reached.join(before, ["src", "node"], "left_anti")
-        before, ring = ring, _cut(reached, hop, k)
+        before, ring = ring, keep(reached) if hop < k else reached
         rings.append(ring.withColumn("hop", F.lit(hop)))
     out = rings[0]
     for r in rings[1:]:

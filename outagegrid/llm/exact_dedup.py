@@ -32,6 +32,8 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    # Else every partition of the state reserves megabytes of disk for its logs, however little it holds.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 

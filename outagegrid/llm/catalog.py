@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outagegrid.llm import bpe, decontaminate, exact_dedup, near_dedup, toxicity
+from outagegrid.llm import (
+    bpe, decontaminate, exact_dedup, lm_score, near_dedup, pii, token_counts, token_files, toxicity,
+)
 from outagegrid.llm.common import table
+from outagegrid.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +28,21 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score(table(spark, folder, "documents"))
+
+
+@query()
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+        pii.joined(F.concat("base", "added")).alias("spans"),
+    )
+
+
 @query()
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -63,3 +81,17 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (F.length("tokens") / 4).cast("long").alias("n_tokens"), F.sha2("tokens", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query()
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.attribute(docs, path, ["source", "lang", "text"], separator=" ")

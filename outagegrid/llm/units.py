@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 # White space by the Unicode property, which differs from what str.isspace() takes.
-WHITE = "\t-\r \x85\xa0  -     　"
+WHITE = "\t-\r " + "".join(map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 TOUCHING = re.compile(f" [{WHITE}]|[{WHITE}] ")
 
 

@@ -170,8 +170,15 @@ def labelled_words(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> Dat
             )
 
     marked = labels.where("toxic is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
-    rows = _bytes_of(docs).where(fold() != 0).join(marked, "doc_id")
-    return rows.select("toxic", "text").mapInArrow(run, "toxic int, words array<binary>").dropDuplicates(["toxic", "words"])
+    training = docs.where(fold() != 0)
+    # Of equal texts with one label the smallest id is read: decided on hashes, before any text moves.
+    hashes = training.select("doc_id", F.xxhash64(text_or_empty()).alias("h"))
+    chosen = (
+        hashes.join(marked, "doc_id").groupBy("h", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic")
+    )
+    # The same plan at every size: texts move once, to their labels.
+    rows = _bytes_of(training).join(chosen.hint("merge"), "doc_id")
+    return rows.select("toxic", "text").mapInArrow(run, "toxic int, words array<binary>")
 
 
 def fit(

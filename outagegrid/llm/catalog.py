@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outagegrid.llm import (
-    bpe, decontaminate, exact_dedup, lm_score, near_dedup, pii, token_counts, token_files, toxicity,
+    bpe, decontaminate, exact_dedup, lm_score, near_dedup, pii, substring_dedup, token_counts, token_files,
+    toxicity,
 )
 from outagegrid.llm.common import table
 from outagegrid.session import scratch_path
@@ -33,6 +34,11 @@ def op1_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.score(table(spark, folder, "documents"))
 
 
+@query()
+def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, folder, "documents")).drop("removed")
+
+
 @query()
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(table(spark, folder, "documents"))
@@ -48,14 +54,31 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-@query()
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(f"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, list_filter(string_split_regex({LOWER_SQL}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents
+    ), s AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+            ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS g
+        FROM w
+    ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2
+    ), l AS (
+        SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 85 * (na.n + nb.n - k)
+    ), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+    SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id, min(c) = r.doc_id AS kept
+    FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+""")
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, folder, "documents"), width=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
 
 @query(f"""
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from outagegrid.llm.common import text_or_empty
 
 MARK = chr(0xE000)  # stands for a separator between two digits, or a dot between two domain characters
+UNMARKED = chr(0xA4)  # what that character becomes where a text holds it already: of no class that a pattern uses
 KINDS = ["email", "ip", "card", "phone"]
 # The gazetteers.
 DOMAINS = "com org net edu gov int info io de fr es it uk eu ch at be nl"
@@ -84,11 +85,11 @@ def _byte(part: Column) -> Column:
 
 
 def _marked_digits(text: Column) -> Column:
-    return F.regexp_replace(F.translate(text, MARK, "x"), "(?<=[0-9])[ -](?=[0-9])", MARK)
+    return F.regexp_replace(F.translate(text, MARK, UNMARKED), "(?<=[0-9])[ -](?=[0-9])", MARK)
 
 
 def _marked_dots(text: Column) -> Column:
-    return F.regexp_replace(F.translate(text, MARK, "x"), r"(?<=[A-Za-z0-9-])\.(?=[A-Za-z0-9-])", MARK)
+    return F.regexp_replace(F.translate(text, MARK, UNMARKED), r"(?<=[A-Za-z0-9-])\.(?=[A-Za-z0-9-])", MARK)
 
 
 #: Name: (column to search, pattern, column that says whether a match is possible, context kept).

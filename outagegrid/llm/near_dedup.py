@@ -6,10 +6,11 @@ tables would need. Two documents of similarity s meet in some table with probabi
 defaults 7e-5 of the pairs exactly at 0.85 stay apart, and 4e-6 at 0.90.
 
 Documents with equal sets are one node from the start, by a 128-bit digest of the set. In every table each node is
-checked against the table's smallest node on full shingle sets, which settles large groups with one pair per node. Only
-tables that still hold nodes of different components are then enumerated pair by pair, within the length bound that the
-threshold implies and a 256-bit sketch (it drops pairs seven standard deviations below the threshold). There is no cap
-on tables, partners or candidates.
+checked against a few of the table's nodes (the smallest id and the smallest under two hashes) on full shingle sets, which
+settles large groups with a few pairs per node. Only tables that still hold nodes of different components are then
+enumerated pair by pair, each pair in its first common table only, within the length bound that the threshold implies and
+a sketch of 1024 one-bit minhashes (a pair at the threshold is dropped six standard deviations away, once in 10^9). There
+is no cap on tables, partners or candidates.
 
 Cases: a null text is empty; texts without words have an empty set and link with nothing; rows that share an id are one
 node, linked when any of them is; a null doc_id counts as an id larger than all others; other columns are ignored.
@@ -31,8 +32,9 @@ from outagegrid.llm.components import components
 from outagegrid.llm.shingles import STEP, WordHashes, mixed, shingle_hashes
 
 NO_ID = 2**63 - 1
-SKETCH_WORDS = 4
-SKETCH_SIGMAS = 7.0
+SKETCH_WORDS = 16
+SKETCH_SIGMAS = 6.0
+CENTERS = 3
 
 
 def _minhashes(sets: list[np.ndarray], n: int, seed: int) -> np.ndarray:
@@ -54,17 +56,14 @@ def _band_keys(minhashes: np.ndarray, band: int, salt: int) -> np.ndarray:
     return total.view(np.int64)
 
 
-def _sketch(minhashes: np.ndarray) -> np.ndarray:
-    """The lowest bits of 256 minhash values, taken several per minhash from its re-mixed words."""
-    bits = []
-    for column in range(minhashes.shape[1]):
-        bits.append(minhashes[:, column] & np.uint64(1))
-    flat = np.stack(bits, axis=1)
-    words_ = [
-        (flat[:, 64 * w : 64 * w + 64] << np.arange(64, dtype=np.uint64)[None, :]).sum(axis=1, dtype=np.uint64)
-        for w in range(SKETCH_WORDS)
-    ]
-    return np.stack(words_, axis=1).view(np.int64)
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    """The lowest bits of 64 x SKETCH_WORDS minimum hashes of one set."""
+    n = 64 * SKETCH_WORDS
+    keys = mixed(np.arange(1, n + 1, dtype=np.uint64) * STEP + np.uint64(3))
+    low = np.full(n, 2**64 - 1, dtype=np.uint64)
+    for at in range(0, len(shingles), 256):
+        low = np.minimum(low, mixed(shingles[at : at + 256, None] ^ keys[None, :]).min(axis=0))
+    return np.packbits((low & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
 def _lists(values: np.ndarray) -> pa.Array:
@@ -72,7 +71,7 @@ def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(np.arange(0, (n + 1) * width, width, dtype=np.int32), values.reshape(-1))
 
 
-SKETCHES = "doc_id long, n long, set_a long, set_b long, u array<long>, v array<long>, sketch array<long>"
+SKETCHES = "doc_id long, n long, set_a long, set_b long, u array<long>, v array<long>"
 
 
 def sketches(docs: DataFrame, width: int, band: int, rows: int) -> DataFrame:
@@ -80,7 +79,7 @@ def sketches(docs: DataFrame, width: int, band: int, rows: int) -> DataFrame:
         memo = WordHashes()
         schema = pa.schema(
             [("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64())]
-            + [(c, pa.list_(pa.int64())) for c in ("u", "v", "sketch")]
+            + [(c, pa.list_(pa.int64())) for c in ("u", "v")]
         )
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -94,11 +93,10 @@ def sketches(docs: DataFrame, width: int, band: int, rows: int) -> DataFrame:
                 full = [s if len(s) else np.zeros(1, dtype=np.uint64) for s in sets]
                 u = _band_keys(_minhashes(full, band * rows, 1), band, 1)
                 v = _band_keys(_minhashes(full, band * rows, 2), band, 2)
-                sketch = _sketch(_minhashes_small(full))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0]),
-                        pa.array(digests[:, 1]), _lists(u), _lists(v), _lists(sketch),
+                        pa.array(digests[:, 1]), _lists(u), _lists(v),
                     ],
                     schema=schema,
                 )
@@ -107,45 +105,47 @@ def sketches(docs: DataFrame, width: int, band: int, rows: int) -> DataFrame:
     return docs.select(ids.alias("doc_id"), text_or_empty().cast("binary").alias("text")).mapInArrow(run, SKETCHES)
 
 
-def _minhashes_small(sets: list[np.ndarray]) -> np.ndarray:
-    """256 minimum hashes by one permutation: hashes fall into 256 bins by their top bits, the minimum of each bin is its
-    value, and empty bins borrow from the next full one."""
-    bins = 64 * SKETCH_WORDS
-    out = np.empty((len(sets), bins), dtype=np.uint64)
-    for k, s in enumerate(sets):
-        h = np.sort(mixed(s + STEP))
-        at = (h >> np.uint64(56)).astype(np.int64)
-        first = np.searchsorted(at, np.arange(bins))
-        full = np.unique(at)
-        target = full[np.searchsorted(full, np.arange(bins)) % len(full)]
-        distance = (target - np.arange(bins)) % bins
-        out[k] = mixed(h[first[target]] + distance.astype(np.uint64) * STEP)
-    return out
-
-
 def _tables(nodes: DataFrame) -> DataFrame:
-    """One row per node and table: key, id, n."""
-    pairs = F.flatten(
-        F.transform("u", lambda a, i: F.transform("v", lambda b, j: F.xxhash64(a, b, i, j)))
+    """One row per node and table: key, i, j (the table), id, n."""
+    each = F.flatten(
+        F.transform(
+            "u",
+            lambda a, i: F.transform(
+                "v", lambda b, j: F.struct(F.xxhash64(a, b, i, j).alias("key"), i.cast("byte").alias("i"), j.cast("byte").alias("j"))
+            ),
+        )
     )
-    return nodes.select(F.explode(pairs).alias("key"), "id", "n")
+    return nodes.select(F.explode(each).alias("t"), "id", "n").select("t.key", "t.i", "t.j", "id", "n")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of (a, b) pairs those whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+def _shared_tables(nodes: DataFrame) -> DataFrame:
+    """Rows of ``_tables`` whose key has two nodes or more, with the key's centers."""
+    tables = _tables(nodes)
+    orders = [F.col("id")] + [F.xxhash64("id", F.lit(k)) for k in range(1, CENTERS)]
+    centers = tables.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"),
+        *[F.min(F.struct(o.alias("o"), F.col("id").alias("id"), F.col("n").alias("n"))).alias(f"c{k}") for k, o in enumerate(orders)],
+    ).where("size > 1")
+    listed = F.array_distinct(F.array(*[F.struct(F.col(f"c{k}.id").alias("a"), F.col(f"c{k}.n").alias("m")) for k in range(CENTERS)]))
+    return stored(tables.join(centers.select("key", listed.alias("centers")), "key"), "shared")
+
+
+def _full_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """id, shingles (sorted 64-bit hashes) of the nodes ``ids``. Texts move once, by the same plan at every size."""
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
 
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches:
             sets = [shingle_hashes(t, memo, width).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
 
-    texts = docs.select(ids.alias("doc_id"), text_or_empty().cast("binary").alias("text"))
-    sets = stored(
-        texts.join(wanted, "doc_id", "left_semi").mapInArrow(to_sets, "id long, shingles binary"), "shingles"
-    )
+    texts = docs.select(doc_id.alias("id"), text_or_empty().cast("binary").alias("text"))
+    return stored(texts.join(ids.hint("merge"), "id", "left_semi").mapInArrow(run, "id long, shingles binary"), "sets")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of (a, b) pairs those whose full shingle sets are similar enough."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,18 +155,56 @@ def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
             yield pa.RecordBatch.from_arrays(
-                [c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"]
+                [c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"]
             )
 
     with_sets = (
         pairs.select("a", "b")
-        .join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+        .join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")).hint("merge"), "a")
+        .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")).hint("merge"), "b")
         .select("a", "b", "x", "y")
     )
     return stored(with_sets.mapInArrow(confirm, "a long, b long").distinct(), "links")
 
 
+def _remaining_pairs(shared: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
+    """(a, b): pairs that share a table and may be linked, but are not known to be in one component."""
+    labelled = stored(
+        shared.select("key", "i", "j", "id", "n").join(labels, "id", "left")
+        .select("key", "i", "j", "id", "n", F.coalesce("label", "id").alias("label")),
+        "labelled",
+    )
+    open_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
+    left = stored(labelled.join(open_keys, "key"), "open")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_sketch(np.frombuffer(s, np.uint64)) for s in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), _lists(np.array(found, dtype=np.int64).reshape(-1, SKETCH_WORDS))], names=["id", "sketch"]
+            )
+
+    some = sets.join(left.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    sketch = some.mapInArrow(run, "id long, sketch array<long>")
+    both = left.join(sketch, "id").join(nodes.select("id", "u", "v"), "id")
+    s, bits = percent / 100.0, 64 * SKETCH_WORDS
+    p = (1 - s) / 2
+    most = int(bits * p + SKETCH_SIGMAS * math.sqrt(bits * p * (1 - p)))
+    differing = sum(
+        (F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(SKETCH_WORDS)), F.lit(0)
+    )
+    earlier = F.lit(False)
+    for at, side in (("i", "u"), ("j", "v")):
+        for k in range(rows - 1):
+            earlier = earlier | ((F.lit(k) < F.col(f"x.{at}")) & (F.col(f"x.{side}")[k] == F.col(f"y.{side}")[k]))
+    x, y = both.alias("x"), both.alias("y")
+    return x.join(
+        y,
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
+        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent) & (differing <= most) & ~earlier,
+    ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, band: int = 2, rows: int = 8
 ) -> DataFrame:
@@ -176,51 +214,26 @@ def near_duplicates(
     members = stored(sketches(docs, width, band, rows), "sketches")
     nodes = stored(
         members.where("n > 0").groupBy("set_a", "set_b", "n").agg(
-            F.min("doc_id").alias("id"), F.first("u").alias("u"), F.first("v").alias("v"), F.first("sketch").alias("sketch")
+            F.min("doc_id").alias("id"), F.first("u").alias("u"), F.first("v").alias("v")
         ),
         "nodes",
     )
-    tables = _tables(nodes)
-    close = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    centers = (
-        tables.groupBy("key").agg(F.min(F.struct("id", "n")).alias("c"), F.count(F.lit(1)).alias("size"))
-        .where("size > 1").select("key", F.col("c.id").alias("a"), F.col("c.n").alias("m"))
-    )
+    shared = _shared_tables(nodes)
+    sets = _full_sets(shared.select("id").distinct(), docs, width)
+    close = F.least("n", "c.m") * 100 >= F.greatest("n", "c.m") * percent
+    pair = [F.least("id", "c.a").alias("a"), F.greatest("id", "c.a").alias("b")]
     stars = stored(
-        tables.join(centers, "key").where((F.col("id") != F.col("a")) & close)
-        .select("a", F.col("id").alias("b")).distinct(),
+        shared.select("id", "n", F.explode("centers").alias("c")).where((F.col("id") != F.col("c.a")) & close)
+        .select(*pair).distinct(),
         "stars",
     )
-    star_links = _linked(stars, docs, width, percent)
-    first = components(star_links)
-
-    # Tables whose nodes are still in different components: every pair across components, within the bounds.
-    labelled = _tables(nodes).join(first, "id", "left").select(
-        "key", "id", "n", F.coalesce("label", "id").alias("label")
-    )
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    left = labelled.join(open_keys, "key").join(nodes.select("id", "sketch"), "id")
-    left = stored(left, "open")
-    s = percent / 100.0
-    bits = 64 * SKETCH_WORDS
-    most = bits * (1 - s) / 2 + SKETCH_SIGMAS * math.sqrt(bits * (1 - s) / 2 * (1 + s) / 2)
-    x, y = left.alias("x"), left.alias("y")
-    differing = sum(
-        (F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(SKETCH_WORDS)), F.lit(0)
-    )
+    links = _linked(stars, sets, percent)
+    labels = components(links)
     rest = stored(
-        x.join(
-            y,
-            (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
-            & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent) & (differing <= int(most)),
-        )
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"),
-        "rest",
+        _remaining_pairs(shared, labels, nodes, sets, percent, rows).join(stars, ["a", "b"], "left_anti"), "rest"
     )
-    if rest.isEmpty():
-        labels = first
-    else:
-        labels = components(star_links.unionByName(_linked(rest, docs, width, percent)))
+    if not rest.isEmpty():
+        labels = components(links.unionByName(_linked(rest, sets, percent)))
     standing = nodes.join(labels, "id", "left").select(
         "set_a", "set_b", "n", F.col("id").alias("copy_of"), F.coalesce("label", "id").alias("component_id")
     )

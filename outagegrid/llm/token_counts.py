@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outagegrid.llm.token_ids import TextEncoder, piece_bytes, read_definition
+from outagegrid.llm.token_ids import piece_bytes, read_definition, shared_encoder
 
 RESULT = "doc_id long, field string, section int, start long, end long, n_tokens long, n_crossing long"
 
@@ -65,7 +65,7 @@ def attribute(docs: DataFrame, tokenizer: str, fields: list[str], by_line: bool
     definition = docs.sparkSession.sparkContext.broadcast(read_definition(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, lengths = TextEncoder(definition.value), piece_bytes(definition.value)
+        encoder, lengths = shared_encoder(definition.value), piece_bytes(definition.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

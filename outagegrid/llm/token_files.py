@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from outagegrid.llm.common import partitions, text_or_empty
-from outagegrid.llm.token_ids import TextEncoder, read_definition
+from outagegrid.llm.token_ids import read_definition, shared_encoder
 
 DICTIONARY_BYTES = 112_640
 INDEX = np.dtype([("doc_id", "<i8"), ("null", "?"), ("offset", "<u4"), ("length", "<u4"), ("tokens", "<u4")])
@@ -68,7 +68,7 @@ def write(
     end = np.array([end_id], dtype="<u2").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(definition.value)
+        encoder = shared_encoder(definition.value)
         for batch in batches:
             ids = [x + end for x in encoder.encode(batch.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
@@ -82,7 +82,7 @@ def write(
     spark.createDataFrame([(name, bytearray(data))], "hash string, data binary").coalesce(1).write.parquet(f"{path}/dictionary")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(definition.value)
+        encoder = shared_encoder(definition.value)
         compressor = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(data))
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         index: list[tuple] = []

@@ -1,49 +1,86 @@
-"""Ids of whole texts by a public byte-level tokenizer file, with equal units of text encoded once per task."""
+"""Ids of whole texts by a public byte-level tokenizer file, with equal words encoded once.
+
+A text is cut into blank-led units (``units``), an unknown unit into words by the split pattern, and only unknown words go to
+the tokenizer's model. What is known stays with the Python worker from task to task, up to a number of words; results do not
+depend on it.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from functools import lru_cache
 
 import numpy as np
+import public_tokenizers
+import regex
 from tokenizers import Tokenizer
 
 from outagegrid.llm.units import units
 
-MEMO_UNITS = 400_000  # a task forgets its units beyond this; results do not depend on it
+MOST_UNITS, MOST_WORDS = 150_000, 200_000
+LONGEST = 100  # characters; longer words and units are not remembered
+MARKS = frozenset(".,;:!?)")
+# How byte-level vocabularies write bytes: printable ones as themselves, the others in order from U+0100.
+_PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_LETTERS = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
 
 class TextEncoder:
-    """Texts to little-endian id arrays of ``dtype``; ``definition`` is the tokenizer file's content."""
+    """Texts to little-endian id arrays of two bytes each; ``definition`` is the tokenizer file's content."""
 
-    def __init__(self, definition: str, dtype: str = "<u2"):
+    def __init__(self, definition: str, pattern: str = public_tokenizers.PATTERN):
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.dtype = np.dtype(dtype)
-        if self.tokenizer.get_vocab_size() > np.iinfo(self.dtype).max + 1:
-            raise ValueError(f"{self.tokenizer.get_vocab_size()} ids do not fit {dtype}")
-        self.first: dict[str, bytes] = {}
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are then ordinary text
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError(f"{self.tokenizer.get_vocab_size()} ids do not fit two bytes")
+        self.split = regex.compile(pattern)
+        self.words: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
 
-    def _learn(self, memo: dict[str, bytes], missing: Iterable[str], lead: str) -> None:
-        missing = list(missing)
-        encoded = self.tokenizer.encode_batch_fast([lead + u for u in missing], add_special_tokens=False)
-        for unit, e in zip(missing, encoded, strict=True):
-            memo[unit] = np.array(e.ids, dtype=self.dtype).tobytes()
+    def _word_ids(self, missing: list[str]) -> dict[str, bytes]:
+        """Ids of unknown words; they are remembered while there is room."""
+        tokenize, out = self.tokenizer.model.tokenize, {}
+        for w in missing:
+            written = w.encode().decode("latin-1").translate(BYTE_LETTERS)
+            out[w] = np.array([t.id for t in tokenize(written)], dtype="<u2").tobytes()
+        if len(self.words) < MOST_WORDS:
+            self.words.update((w, ids) for w, ids in out.items() if len(w) <= LONGEST)
+        return out
+
+    def _cut(self, text: str) -> list[str]:
+        """Matches of the split pattern; letters alone, and letters before one mark, need no search."""
+        core = text[1:] if text[:1] == " " else text
+        if core.isalpha():
+            return [text]
+        if core[-1:] in MARKS and core[:-1].isalpha():
+            return [text[:-1], text[-1]]
+        return self.split.findall(text)
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        cut, known = [self._cut(t) for t in texts], self.words
+        new = self._word_ids(list({w for words in cut for w in words if w not in known}))
+        return [b"".join([known[w] if w in known else new[w] for w in words]) for words in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [units(t) for t in texts]
-        for memo in (self.first, self.rest):
-            if len(memo) > MEMO_UNITS:
-                memo.clear()
-        self._learn(self.first, {f for f, _ in cut if f is not None} - self.first.keys(), "")
-        fresh: set[str] = set()
-        for _, rest in cut:
-            fresh.update(rest)
-        self._learn(self.rest, fresh - self.rest.keys(), " ")
-        first, rest = self.first, self.rest
-        return [(first[f] if f is not None else b"") + b"".join([rest[u] for u in r]) for f, r in cut]
+        cut, known = [units(t) for t in texts], self.rest
+        found = [list(map(known.get, rest)) for _, rest in cut]  # None where unknown
+        gaps = [k for k, f in enumerate(found) if None in f]
+        missing = list({u for k in gaps for u, ids in zip(cut[k][1], found[k], strict=True) if ids is None})
+        new = dict(zip(missing, self._encoded([" " + u for u in missing]), strict=True))
+        for k in gaps:
+            found[k] = [new[u] if ids is None else ids for u, ids in zip(cut[k][1], found[k], strict=True)]
+        if len(known) < MOST_UNITS:
+            known.update((u, ids) for u, ids in new.items() if len(u) <= LONGEST)
+        first = self._encoded([f or "" for f, _ in cut])
+        return [f + b"".join(ids) for f, ids in zip(first, found, strict=True)]
+
+
+@lru_cache(maxsize=2)
+def shared_encoder(definition: str) -> TextEncoder:
+    """One encoder per Python worker."""
+    return TextEncoder(definition)
 
 
+@lru_cache(maxsize=4)
 def piece_bytes(definition: str) -> np.ndarray:
     """Length in bytes of every id's piece. In a byte-level vocabulary each character of a piece is one byte."""
     tokenizer = Tokenizer.from_str(definition)

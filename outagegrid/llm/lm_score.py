@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -309,35 +310,46 @@ def _block_scores(rows: DataFrame, vocabulary, c, weights, hot_keys, hot_counts,
         if found:
             yield from flush()
 
+    def sums_row(ids: bytes, sums: np.ndarray) -> pa.RecordBatch:
+        """A block is known by its packed ids."""
+        block = pa.array([xxhash.xxh64_intdigest(ids) % shards], pa.int32())
+        return pa.RecordBatch.from_arrays([block, pa.array([ids]), pa.array([sums.tobytes()])], names=["block", "ids", "sums"])
+
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, c, weights, _, _ = shared.value
         size, blocks = len(c), []
         for batch in batches:
             for row in batch.to_pylist():
-                ids = _unpack(row["ids"], np.int64)
                 if row["done"]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids), pa.array(np.frombuffer(row["done"]))], names=["doc_id", "score"]
-                    )
+                    yield sums_row(row["ids"], np.frombuffer(row["done"]))
                 if row["keys"]:
                     at = _unpack(row["at"], np.uint32)
-                    train = _unpack(row["train"], np.uint8).astype(bool)[at]
-                    blocks.append((_unpack_sorted(row["keys"]), at, train, ids))
+                    train = _unpack(row["train"], np.uint8).astype(bool)
+                    blocks.append((_unpack_sorted(row["keys"]), at, train[at], row["ids"], len(train)))
         if not blocks:
             return
-        learned, counts = np.unique(np.concatenate([k[t] for k, _, t, _ in blocks]), return_counts=True)
-        for keys, at, _, ids in blocks:
+        learned, counts = np.unique(np.concatenate([k[t] for k, _, t, _, _ in blocks]), return_counts=True)
+        for keys, at, _, ids, n in blocks:
             chw = np.zeros(len(keys))
             if len(learned):
                 place = np.minimum(np.searchsorted(learned, keys), len(learned) - 1)
                 chw = np.where(learned[place] == keys, counts[place], 0)
             logs = _log_mix(chw, keys // size, keys % size, c, total, weights, size)
-            sums = np.bincount(at, weights=logs, minlength=len(ids))
-            some = np.bincount(at, minlength=len(ids)) > 0
-            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(sums[some])], names=["doc_id", "score"])
+            yield sums_row(ids, np.bincount(at, weights=logs, minlength=n))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[bytes, np.ndarray] = {}
+        for batch in batches:
+            for ids, sums in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                sums = np.frombuffer(sums)
+                totals[ids] = totals[ids] + sums if ids in totals else sums
+        for ids, sums in totals.items():
+            yield pa.RecordBatch.from_arrays([pa.array(_unpack(ids, np.int64)), pa.array(sums)], names=["doc_id", "score"])
 
     blocks = rows.mapInArrow(events, schema)
-    return blocks.repartitionById(shards, "shard").mapInArrow(settle, "doc_id long, score double")
+    # One row of sums per block and shard, added up by block: never a row per document and shard.
+    sums = blocks.repartitionById(shards, "shard").mapInArrow(settle, "block int, ids binary, sums binary")
+    return sums.repartitionById(shards, "block").mapInArrow(add, "doc_id long, score double")
 
 
 def _plain(rows: DataFrame, vocabulary, c) -> DataFrame:

@@ -90,4 +90,3 @@ SUBSTATION_STYLES = {  # class: (colour, radius)
     "in_zone": ("#ef4444", 12), "elevated": ("#f59e0b", 9), "normal": ("#3b82f6", 6),
 }
 UNINFORMATIVE_TRAUMA = ["NOT AVAILABLE", "N/A", ""]
-SCHOOL_CAP = 80

@@ -95,7 +95,7 @@ def facility_alerts(nodes: DataFrame, edges: DataFrame, at_risk_subs: DataFrame,
         .select("node", "w.score", "w.best", "w.hop")
     )
     feeders = at_risk_subs.select(
-        F.col("ord").alias("_feeder"), F.col("name").alias("feeding_substation"),
+        F.col("ord").alias("_feeder"), F.col("node_id").alias("feeding_substation_id"), F.col("name").alias("feeding_substation"),
         F.col("lat").alias("feeding_sub_lat"), F.col("lon").alias("feeding_sub_lon"), "in_storm_zone",
     )
     feeder = F.lit(LAST_ORDER) - F.col("best").bitwiseAND(F.lit(LAST_ORDER))
@@ -103,11 +103,11 @@ def facility_alerts(nodes: DataFrame, edges: DataFrame, at_risk_subs: DataFrame,
         best.withColumn("_feeder", feeder).join(facilities, "node").join(feeders, "_feeder")
         .select(
             F.col("node").alias("facility_id"), "facility_name", "facility_type", "priority", "lat", "lon",
-            "feeding_substation", "feeding_sub_lat", "feeding_sub_lon", risk.alias("substation_risk"),
+            "feeding_substation_id", "feeding_substation", "feeding_sub_lat", "feeding_sub_lon", risk.alias("substation_risk"),
             F.col("hop").alias("hop_distance"), F.round("score", 4).alias("alert_score"), "in_storm_zone",
             codes.first_of(F.col("props"), ["beds", "BEDS"], "0").cast("double").cast("int").alias("beds"),
             codes.first_of(F.col("props"), ["trauma", "TRAUMA"], "N/A").alias("trauma"),
-            codes.advice(F.col("facility_type"), risk).alias("action"), F.col("_facility_ord").alias("ord"),
+            codes.action_tier(F.col("facility_type"), risk).alias("action"), F.col("_facility_ord").alias("ord"),
         )
     )
 
@@ -138,7 +138,7 @@ def alert_summary(at_risk_subs: DataFrame, alerts: DataFrame) -> DataFrame:
 def shared_feeders(alerts: DataFrame) -> DataFrame:
     """Direct feeders with the number of facilities that hang on them. Counts are combined before the shuffle; the
     members stay rows (``feeder_members``) and are not gathered into one list."""
-    return alerts.where(F.col("hop_distance") == 1).groupBy("feeding_substation").agg(
+    return alerts.where(F.col("hop_distance") == 1).groupBy("feeding_substation_id", "feeding_substation").agg(
         F.count(F.lit(1)).alias("facilities"),
         *[F.count_if(F.col("facility_type") == t).alias(f"{t}s") for t in fixed.FACILITY_TYPES],
         F.max("substation_risk").alias("substation_risk"),
@@ -147,9 +147,9 @@ def shared_feeders(alerts: DataFrame) -> DataFrame:
 
 def feeder_members(alerts: DataFrame, least: int = 2) -> DataFrame:
     """The facilities of every feeder that serves at least ``least`` of them directly."""
-    shared = shared_feeders(alerts).where(F.col("facilities") >= least).select("feeding_substation", "facilities")
-    return alerts.where(F.col("hop_distance") == 1).join(shared, "feeding_substation").select(
-        "feeding_substation", "facilities", "facility_id", "facility_name", "facility_type"
+    shared = shared_feeders(alerts).where(F.col("facilities") >= least).select("feeding_substation_id", "facilities")
+    return alerts.where(F.col("hop_distance") == 1).join(shared, "feeding_substation_id").select(
+        "feeding_substation_id", "feeding_substation", "facilities", "facility_id", "facility_name", "facility_type"
     )
 
 

@@ -7,42 +7,51 @@ from pyspark.sql import functions as F
 
 
 def audit_outages(obs: DataFrame, by: list[str]) -> DataFrame:
-    """Profile of raw reports; with an empty ``by`` one row for everything. A missing count is not above zero.
+    """Profile of raw reports; with an empty ``by`` one row for everything. A missing count is not above zero. Groups
+    without a value in ``by`` are profiled too.
 
-    Two aggregates instead of a distinct inside one: exact distinct counts expand every row, while here rows and
-    counties are combined on the map side.
+    One pass: reports are combined per group and county, then per group, so distinct counties expand no row.
     """
-    positive = F.count_if(F.col("sum") > 0)
-    main = obs.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("total_rows"),
+    per_county = obs.groupBy(*by, "fips_code").agg(
+        F.count(F.lit(1)).alias("n"),
         F.min("run_start_time").alias("first_report"),
         F.max("run_start_time").alias("last_report"),
         F.count_if(F.col("sum").isNull()).alias("null_sum"),
-        positive.alias("positive_sum"),
-        (positive * 100.0 / F.count(F.lit(1))).alias("positive_pct"),
+        F.count_if(F.col("sum") > 0).alias("positive_sum"),
         F.max("sum").alias("max_sum"),
     )
-    counties = obs.select(*by, "fips_code").distinct().groupBy(*by).agg(F.count("fips_code").alias("counties"))
-    return main.join(counties, by) if by else main.withColumn("counties", counties.scalar())
+    return per_county.groupBy(*by).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
+        F.min("first_report").alias("first_report"),
+        F.max("last_report").alias("last_report"),
+        F.coalesce(F.sum("null_sum"), F.lit(0)).alias("null_sum"),
+        F.coalesce(F.sum("positive_sum"), F.lit(0)).alias("positive_sum"),
+        (F.sum("positive_sum") * 100.0 / F.sum("n")).alias("positive_pct"),
+        F.max("max_sum").alias("max_sum"),
+        F.count("fips_code").alias("counties"),
+    )
 
 
 def audit_storms(events: DataFrame, by: str = "year") -> DataFrame:
-    """Rows, event types, zone-type counts and missing codes. Zone types are a closed set of a few letters."""
-    per_zone = events.groupBy(by, "cz_type").agg(
+    """Rows, event types, zone-type counts and missing codes, for events without a value in ``by`` too. One pass: events
+    are combined per group, zone type and event type; both types are closed sets, so what is gathered per group is small."""
+    per_type = events.groupBy(by, "cz_type", "event_type").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("state_fips").isNull()).alias("no_state"),
         F.count_if(F.col("cz_fips").isNull()).alias("no_zone"),
     )
-    types = events.groupBy(by, "event_type").count().groupBy(by).agg(F.count("event_type").alias("event_types"))
-    profile = per_zone.groupBy(by).agg(
+    gathered = per_type.groupBy(by).agg(
         F.sum("n").alias("total_rows"),
-        F.map_from_entries(
-            F.sort_array(F.collect_list(F.when(F.col("cz_type").isNotNull(), F.struct("cz_type", "n"))))
-        ).alias("cz_counts"),
+        F.size(F.collect_set("event_type")).cast("long").alias("event_types"),
+        F.collect_list(F.when(F.col("cz_type").isNotNull(), F.struct("cz_type", "n"))).alias("_zones"),
         F.sum("no_state").alias("null_state_fips"),
         F.sum("no_zone").alias("null_cz_fips"),
     )
-    return profile.join(types, by)
+    kinds = F.array_sort(F.array_distinct(F.transform("_zones", lambda z: z["cz_type"])))
+    total = lambda kind: F.aggregate(
+        F.filter("_zones", lambda z: z["cz_type"] == kind), F.lit(0).cast("long"), lambda sum_, z: sum_ + z["n"]
+    )
+    return gathered.withColumn("cz_counts", F.map_from_arrays(kinds, F.transform(kinds, total))).drop("_zones")
 
 
 def audit_totals(obs: DataFrame, events: DataFrame) -> DataFrame:

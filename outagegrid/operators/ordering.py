@@ -11,14 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MOST_BUCKETS = 4096
 SAMPLES_PER_BUCKET = 8
 
 
 def bucket_count(df: DataFrame) -> int:
     """A power of two of about four buckets per shuffle partition."""
     wanted = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MOST_BUCKETS, 1 << max(3, (wanted - 1).bit_length()))
+    return 1 << max(3, (wanted - 1).bit_length())
 
 
 def _order_tuple(order: list[Column]) -> Column:

@@ -10,8 +10,6 @@ from outagegrid.functions import timing
 from outagegrid.operators.ordering import exact_quantiles
 
 HOUR = ["fips", "hour"]
-STATE_CODE_BITS = 31  # the microseconds of an hour need 32 bits more
-STATE_CODE_MASK = (1 << STATE_CODE_BITS) - 1
 
 
 def exclude_territories(state: Column, excluded: list[str] = fixed.TERRITORIES) -> Column:
@@ -42,33 +40,26 @@ def clean_observations(
 
 
 def hourly_rollup(clean: DataFrame) -> DataFrame:
-    """One row per county and hour. Reports are combined on the map side first, so a county with a third of all
-    reports costs each task at most one row per hour before the shuffle.
-
-    ``state`` is the first state given in the hour. A text in an aggregate would turn the widest stage into a sort of all
-    reports, so the aggregate carries one number instead, the time within the hour followed by a code of the state.
-    """
-    code = F.xxhash64("state").bitwiseAND(F.lit(STATE_CODE_MASK))
-    since = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("hour").cast("timestamp"))
-    stamped = F.when(F.col("state").isNotNull(), F.shiftleft(since, STATE_CODE_BITS).bitwiseOR(code))
-    hourly = (
+    """One row per county and hour, from one pass over the reports. Reports are combined per county, hour and state name on
+    the map side first, as a hash aggregate of plain numbers, so a county with a third of all reports costs each task at
+    most one row per hour and state name before the shuffle. ``state`` is the first state given in the hour, the first by
+    name among equally early ones; names are compared among those few rows only."""
+    by_state = (
         clean.where(F.col("fips").isNotNull() & F.col("hour").isNotNull())
-        .groupBy(*HOUR)
+        .groupBy(*HOUR, "state")
         .agg(
-            F.max("year").alias("year"),
-            F.max("customers_out").alias("peak_customers_out"),
-            F.avg("customers_out").alias("mean_customers_out"),
-            F.sum("null_flag").alias("null_count"),
-            F.min(stamped).bitwiseAND(F.lit(STATE_CODE_MASK)).alias("_code"),
+            F.min("ts").alias("_first"), F.max("year").alias("year"), F.max("customers_out").alias("peak_customers_out"),
+            F.sum("customers_out").alias("_sum"), F.count("customers_out").alias("_n"), F.sum("null_flag").alias("null_count"),
         )
     )
-    names = (
-        clean.where(F.col("state").isNotNull()).groupBy("state").agg(F.first(code).alias("_code"))
-        .groupBy("_code").agg(F.min("state").alias("state"), F.count(F.lit(1)).alias("n"))
-        .select("_code", F.when(F.col("n") == 1, F.col("state")).otherwise(F.raise_error(F.lit("state codes collide"))).alias("state"))
+    given = F.when(F.col("state").isNotNull(), F.struct("_first", "state"))
+    return by_state.groupBy(*HOUR).agg(
+        F.max("year").alias("year"),
+        F.max("peak_customers_out").alias("peak_customers_out"),
+        (F.sum("_sum") / F.sum("_n")).alias("mean_customers_out"),
+        F.sum("null_count").alias("null_count"),
+        F.min(given)["state"].alias("state"),
     )
-    # One row per state name, a closed set of a few dozen, so the broadcast does not grow with the reports.
-    return hourly.join(F.broadcast(names), "_code", "left").drop("_code")
 
 
 def county_stats(clean: DataFrame, q: float = 0.9, approx: bool = False) -> DataFrame:

@@ -61,12 +61,3 @@ def county_sample(df: DataFrame, n: int, seed: int = 42, order: list[Column] | N
     order = order or hash_order(["fips"], seed)
     chosen = df.select("fips").distinct().orderBy(*order).limit(n)
     return df.join(chosen, "fips", "left_semi")
-
-
-def cap_rows(df: DataFrame, keys: list[str], n: int = fixed.SCHOOL_CAP, seed: int = 42) -> DataFrame:
-    """At most ``n`` rows; a smaller table is returned whole."""
-    return df.orderBy(*hash_order(keys, seed)).limit(n)
-
-
-def shuffle_rows(df: DataFrame, keys: list[str], seed: int = 42) -> DataFrame:
-    return df.orderBy(*hash_order(keys, seed))

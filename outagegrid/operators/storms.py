@@ -23,9 +23,10 @@ def parse_event_clock(events: DataFrame) -> DataFrame:
 
 def clean_storms(events: DataFrame, keep: list[str] = ()) -> DataFrame:
     """(cz_type, event_type, begin_ts, end_ts, state_fips, cz_fips) to county events of outage-relevant types, with the
-    columns in ``keep`` besides."""
+    columns in ``keep`` besides. Events without a county code belong to no county; ``audit_storms`` counts them."""
     return events.where(
         (F.col("cz_type") == "C") & F.col("event_type").isin(OUTAGE_TYPES) & F.col("begin_ts").isNotNull()
+        & F.col("state_fips").isNotNull() & F.col("cz_fips").isNotNull()
     ).select(
         codes.compose_fips(F.col("state_fips"), F.col("cz_fips")).alias("fips"),
         codes.event_group(F.col("event_type")).alias("event_group"),
@@ -35,16 +36,18 @@ def clean_storms(events: DataFrame, keep: list[str] = ()) -> DataFrame:
     )
 
 
-def _span(open_hours: int, cap_hours: int) -> tuple[Column, Column]:
+def _span(open_hours: int, cap_hours: int | None) -> tuple[Column, Column]:
     """The first hour of an event and its number of started hours: end exclusive, at least one, at most the cap."""
     first = timing.floor_hour(F.col("begin_ts"))
     end = F.coalesce("end_ts", F.col("begin_ts") + F.make_dt_interval(hours=F.lit(open_hours)))
     spanned = F.timestamp_diff("HOUR", first, timing.ceil_hour(end))
-    return first, F.greatest(F.lit(1), F.least(F.lit(cap_hours), spanned)).cast("int")
+    if cap_hours is not None:
+        spanned = F.least(F.lit(cap_hours), spanned)
+    return first, F.greatest(F.lit(1), spanned).cast("int")
 
 
 def expand_hours(
-    storms: DataFrame, open_hours: int = fixed.OPEN_EVENT_HOURS, cap_hours: int = fixed.EVENT_HOURS_CAP
+    storms: DataFrame, open_hours: int = fixed.OPEN_EVENT_HOURS, cap_hours: int | None = fixed.EVENT_HOURS_CAP
 ) -> DataFrame:
     """One row per event and started hour."""
     first, hours = _span(open_hours, cap_hours)
@@ -76,7 +79,7 @@ def storm_flags(hours: DataFrame) -> DataFrame:
 
 
 def storm_pivot(
-    events: DataFrame, open_hours: int = fixed.OPEN_EVENT_HOURS, cap_hours: int = fixed.EVENT_HOURS_CAP
+    events: DataFrame, open_hours: int = fixed.OPEN_EVENT_HOURS, cap_hours: int | None = fixed.EVENT_HOURS_CAP
 ) -> DataFrame:
     """Flags of every county-hour with a storm, without expanding events.
 

@@ -88,18 +88,14 @@ SELECT w.src, s.b, w.hop + 1 FROM g_walk w JOIN g_steps s ON s.a = w.node WHERE
 CTES["g_hops"] = "SELECT src, node, min(hop) AS hop FROM g_walk GROUP BY src, node"
 CTES["g_advice"] = """
 SELECT * FROM (VALUES
- ('hospital', 0.85e0, 9e0, 'Start backup generation now and line up transfers for patients on powered equipment.'),
- ('hospital', 0.65e0, 0.85e0, 'Run a generator test, check fuel on site and put engineers on standby.'),
- ('hospital', -1e0, 0.65e0, 'Look over generator records and contact lists; keep the shift informed.'),
- ('fire_station', 0.85e0, 9e0, 'Bring in a portable generator, switch to backup radio and stage vehicles outside the storm.'),
- ('fire_station', -1e0, 0.85e0, 'Check backup power and get vehicles and crew ready to leave.'),
- ('school', 0.75e0, 9e0, 'Ask the district about closing early and tell families what to expect.'),
- ('school', -1e0, 0.75e0, 'Go through the shelter plan and refresh the contact list.')) AS t(kind, above, upto, action)"""
+ ('hospital', 0.85e0, 9e0, 'act_now'), ('hospital', 0.65e0, 0.85e0, 'prepare'), ('hospital', -1e0, 0.65e0, 'monitor'),
+ ('fire_station', 0.85e0, 9e0, 'act_now'), ('fire_station', -1e0, 0.85e0, 'prepare'),
+ ('school', 0.75e0, 9e0, 'consider_closing'), ('school', -1e0, 0.75e0, 'monitor')) AS t(kind, above, upto, action)"""
 CTES["g_alerts"] = """
-SELECT node_id AS facility_id, name AS facility_name, node_type AS facility_type, priority, lat, lon, feeding_substation,
+SELECT node_id AS facility_id, name AS facility_name, node_type AS facility_type, priority, lat, lon, feeding_substation_id, feeding_substation,
        feeding_sub_lat, feeding_sub_lon, round(risk, 4) AS substation_risk, hop AS hop_distance,
        round(score, 4) AS alert_score, in_storm_zone, beds, 'N/A' AS trauma, action, ord
-FROM (SELECT f.*, r.name AS feeding_substation, r.lat AS feeding_sub_lat, r.lon AS feeding_sub_lon, r.in_storm_zone,
+FROM (SELECT f.*, r.node_id AS feeding_substation_id, r.name AS feeding_substation, r.lat AS feeding_sub_lat, r.lon AS feeding_sub_lon, r.in_storm_zone,
              r.adjusted_risk AS risk, h.hop, r.adjusted_risk * f.priority_score / sqrt(h.hop) AS score,
              row_number() OVER (PARTITION BY f.node_id ORDER BY r.adjusted_risk * f.priority_score / sqrt(h.hop) DESC,
                                 r.adjusted_risk DESC, r.ord) AS n
@@ -258,10 +254,10 @@ def alert_summary(spark, folder):
 
 
 SHARED = """
-SELECT feeding_substation, count(*) AS facilities, count(*) FILTER (facility_type = 'hospital') AS hospitals,
+SELECT feeding_substation_id, feeding_substation, count(*) AS facilities, count(*) FILTER (facility_type = 'hospital') AS hospitals,
        count(*) FILTER (facility_type = 'fire_station') AS fire_stations,
        count(*) FILTER (facility_type = 'school') AS schools, max(substation_risk) AS substation_risk
-FROM g_alerts WHERE hop_distance = 1 GROUP BY feeding_substation"""
+FROM g_alerts WHERE hop_distance = 1 GROUP BY feeding_substation_id, feeding_substation"""
 
 
 @query(SHARED)
@@ -270,8 +266,8 @@ def shared_feeders(spark, folder):
 
 
 @query(
-    f"""SELECT a.feeding_substation, s.facilities, facility_id, facility_name, facility_type
-FROM g_alerts a JOIN ({SHARED}) s ON a.feeding_substation = s.feeding_substation AND s.facilities >= 2
+    f"""SELECT a.feeding_substation_id, a.feeding_substation, s.facilities, facility_id, facility_name, facility_type
+FROM g_alerts a JOIN ({SHARED}) s ON a.feeding_substation_id = s.feeding_substation_id AND s.facilities >= 2
 WHERE hop_distance = 1"""
 )
 def feeder_members(spark, folder):

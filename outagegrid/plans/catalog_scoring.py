@@ -504,11 +504,10 @@ def logistic_scores(spark, folder):
 
 @query()
 def gbt_scores(spark, folder):
-    """Boosted trees with 20 rounds, to keep a check run short; the default is 200."""
-    return _fit_and_score(spark, folder, lambda train: models.fit_gbt(train, trees=20))
+    return _fit_and_score(spark, folder, models.fit_gbt)
 
 
 @query()
 def feature_importance(spark, folder):
     train = _split_features(spark, folder).where(F.col("split") == "train")
-    return models.feature_importance(spark, models.fit_gbt(train, trees=20))
+    return models.feature_importance(spark, models.fit_gbt(train))

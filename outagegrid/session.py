@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 # What the plans rely on. Everything else is left to the cluster's own defaults.
@@ -41,16 +45,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A folder of our own is used only where that setting is absent, which is the case on a single machine.
+    A folder of our own, which ends with the process, is used only where that setting is absent on a single machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        root = _own_folder()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

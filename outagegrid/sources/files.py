@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,23 +46,33 @@ def _typed(df: DataFrame, columns: dict[str, str]) -> list[Column]:
     ]
 
 
+def _paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files or folders that match, in order: one entry per year."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(str(f.getPath()) for f in found or ())
+
+
+def _yearly(spark: SparkSession, pattern: str, columns: dict[str, str], kind: str, **options) -> DataFrame:
+    """Every yearly file is read by its own header, so columns may stand in another order each year."""
+    paths = _paths(spark, pattern)
+    if not paths:
+        return spark.read.option("header", True).csv(pattern)  # raises what a missing path raises
+    frames = []
+    for path in paths:
+        raw = spark.read.options(header=True, **options).csv(path)
+        frames.append(raw.select(*_typed(raw, columns), codes.year_of_file(F.col("_metadata.file_path"), kind).alias("year")))
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
 def scan_outage_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Reports of all yearly files; the year comes from the file name."""
-    raw = spark.read.option("header", True).csv(f"{folder}/{fixed.OUTAGE_FILES}")
-    return raw.select(
-        *_typed(raw, OUTAGE_COLUMNS), codes.year_of_file(F.col("_metadata.file_path"), "outage").alias("year")
-    )
+    return _yearly(spark, f"{folder}/{fixed.OUTAGE_FILES}", OUTAGE_COLUMNS, "outage")
 
 
 def scan_storm_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Storm events of all yearly files. Narrative fields may hold quoted line breaks."""
-    raw = (
-        spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-        .csv(f"{folder}/{fixed.STORM_FILES}")
-    )
-    return raw.select(
-        *_typed(raw, STORM_COLUMNS), codes.year_of_file(F.col("_metadata.file_path"), "storm").alias("year")
-    )
+    return _yearly(spark, f"{folder}/{fixed.STORM_FILES}", STORM_COLUMNS, "storm", multiLine=True, escape='"')
 
 
 def land_parquet(df: DataFrame, path: str, by: str = "year") -> None:
@@ -80,8 +92,9 @@ def scan_parquet(spark: SparkSession, path: str, columns: list[str], years: list
 
 
 def discover_years(spark: SparkSession, path: str, first: int = fixed.FIRST_STORM_YEAR) -> DataFrame:
-    """The years landed below ``path``, from ``first`` on, read from partition names only."""
-    return spark.read.parquet(path).select("year").distinct().where(F.col("year") >= first)
+    """The years landed below ``path``, from ``first`` on, read from partition names only: no file is opened."""
+    years = sorted({int(p.rsplit("year=", 1)[1]) for p in _paths(spark, f"{path}/year=*") if p.rsplit("year=", 1)[1].isdigit()})
+    return spark.createDataFrame([(y,) for y in years if y >= first], "year int")
 
 
 def write_table(df: DataFrame, path: str) -> None:

@@ -6,7 +6,7 @@ page in parallel.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from outagegrid import fixed
@@ -35,7 +35,6 @@ DOCUMENT = (
     f"struct<storm:string,storm_type:string,at_risk_substations:array<{AT_RISK}>,alerts:array<{ALERT}>,"
     f"summary:{SUMMARY}>"
 )
-MOST_OUTLINE_POINTS = 100_000
 
 # --- fixed values: service field, output column, type, value when absent ---------------------------
 SERVICE_FIELDS = {
@@ -54,7 +53,8 @@ SERVICE_FIELDS = {
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True)
+    """path, value: one row per document."""
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
 def service_rows(documents: DataFrame, kind: str) -> DataFrame:
@@ -84,8 +84,19 @@ def element_rows(documents: DataFrame) -> DataFrame:
 
 
 def _features(documents: DataFrame) -> DataFrame:
-    return documents.select(F.posexplode(F.from_json("value", FEATURES)["features"]).alias("ord", "f")).select(
-        F.col("ord").cast("long").alias("ord"), F.col("f.properties").alias("p"), F.col("f.geometry.type").alias("kind"),
+    """All features with ``ord``, their number over all documents: documents go by ``path`` where they have one and by
+    their text otherwise, features by their place in the document. A document that is there twice is read once."""
+    key = "path" if "path" in documents.columns else "value"
+    parsed = documents.dropDuplicates([key]).select(
+        F.xxhash64(key).alias("_document"), F.col(key).alias("_key"), F.from_json("value", FEATURES)["features"].alias("features")
+    )
+    # One row per document, without its text but for the key.
+    sizes = parsed.select("_document", "_key", F.greatest(F.size("features"), F.lit(0)).alias("n"))
+    before = Window.orderBy("_document", "_key").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_document", "_key", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    found = parsed.join(starts, ["_document", "_key"])
+    return found.select("_start", F.posexplode("features").alias("_at", "f")).select(
+        (F.col("_start") + F.col("_at")).alias("ord"), F.col("f.properties").alias("p"), F.col("f.geometry.type").alias("kind"),
         F.col("f.geometry.coordinates").alias("coordinates"),
     )
 
@@ -149,10 +160,9 @@ def line_rows(documents: DataFrame) -> DataFrame:
 
 
 def read_storm_ring(spark: SparkSession, path: str) -> list[tuple[float, float]]:
-    """The outline of the first feature of one storm file, as a parameter for the risk operators. A missing file raises;
-    so does an outline too large to be one."""
+    """The outline of the first feature of one storm file, as a parameter for the risk operators. A missing file raises."""
     ring = F.from_json("value", OUTLINE)["features"][0]["geometry"]["coordinates"][0]
-    row = read_documents(spark, path).select(ring.alias("r")).where(F.size("r") <= MOST_OUTLINE_POINTS).first()
+    row = read_documents(spark, path).select(ring.alias("r")).first()
     if row is None or row.r is None:
         raise ValueError(f"no usable storm outline in {path}")
     return [(p[0], p[1]) for p in row.r]

@@ -92,6 +92,3 @@ def test_balanced_and_county_samples(hours):
     sizes = {r.outage_label: r["count"] for r in sampling.balanced_sample(hours, 50).groupBy("outage_label").count().collect()}
     assert sizes == {0: 50, 1: 50}
     assert sampling.county_sample(hours, 2).select("fips").distinct().count() == 2
-    assert sampling.cap_rows(hours, ["hour"], 80).count() == 80
-    assert sampling.cap_rows(hours.limit(10), ["hour"], 80).count() == 10
-    assert sampling.shuffle_rows(hours, ["hour"]).count() == 4000

@@ -6,8 +6,8 @@ and documents are put together from their words' tokens. Decoding concatenates t
 
 The rank map is one constant in displaced rows: ``table[place[left] + right]`` holds the merged token and, to tell rows
 apart, ``left``. ``fold_words`` is the fold as Spark higher-order functions: while some neighbouring pair has a rank, the
-first pair of the lowest rank becomes one token. It gives the same tokens but takes about 120 microseconds a word, several
-times what the job may cost; the main path (``merged``) therefore folds all words of a chunk side by side on arrays.
+first pair of the lowest rank becomes one token. It gives the same tokens but takes about 120 microseconds a word, more than
+the whole job may cost (README); the main path (``merged``) therefore folds all words of a chunk side by side on arrays.
 
 Cases: a null or empty text has no tokens; a very long text is its own chunk, never cut; rows stay rows, so repeated ids
 and null ids are returned as they come; other columns are ignored.

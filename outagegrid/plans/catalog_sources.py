@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from outagegrid.functions import codes
 from outagegrid.functions.timing import parse_iso_ts
 from outagegrid.operators import graph, priority, storms
-from outagegrid.plans.catalog import observations, query, rounded
+from outagegrid.plans import catalog_outages  # noqa: F401  its queries are landed below
+from outagegrid.plans.catalog import ORACLES, QUERIES, observations, query, rounded
 from outagegrid.plans.catalog_grid import _facilities, _subs, _tables
 from outagegrid.plans.catalog_scoring import _queue
 from outagegrid.plans.views import frame
@@ -15,6 +16,13 @@ from outagegrid.session import scratch_path
 from outagegrid.sources import files, geojson
 
 
+def _documents(rows, key, properties, geometry):
+    """Rows as GeoJSON features, seven to a document."""
+    feature = F.concat(F.lit('{"properties":'), properties, F.lit(',"geometry":'), geometry, F.lit("}"))
+    listed = rows.groupBy(F.floor(key / 7)).agg(F.array_join(F.sort_array(F.collect_list(feature)), ",").alias("f"))
+    return listed.select(F.concat(F.lit('{"features":['), "f", F.lit("]}")).alias("value"))
+
+
 @query("SELECT fips_code, state, customers_raw AS sum, run_start_time, period AS year FROM v_obs WHERE period >= 2")
 def land_and_scan_parquet(spark, folder):
     """Yearly partitions written with dynamic overwrite and read back with a partition filter."""
@@ -31,9 +39,9 @@ def scan_outage_csv(spark, folder):
     root = scratch_path(spark, "outage-files")
     obs = observations(spark, folder)
     for period in (1, 2, 3, 4):
-        part = obs.where(F.col("period") == period).select(
-            "fips_code", F.col("run_start_time").cast("string").alias("run_start_time"), "state", "sum"
-        )
+        columns = ["fips_code", F.col("run_start_time").cast("string").alias("run_start_time"), "state", "sum"]
+        columns = columns[period % 4 :] + columns[: period % 4]  # another order of columns each year
+        part = obs.where(F.col("period") == period).select(*columns)
         files.export_csv(part, f"{root}/eaglei_outages_{2000 + period}.csv")
     back = files.scan_outage_csv(spark, root)
     return back.select("fips_code", "state", "sum", parse_iso_ts(F.col("run_start_time")).alias("ts"), "year")
@@ -52,12 +60,13 @@ def scan_storm_csv(spark, folder):
         return F.upper(F.date_format(c, "dd-MMM-yy HH:mm:ss"))
 
     for period in (1, 2, 3, 4):
-        part = events.where(F.col("period") == period).select(
+        columns = [
             F.col("state").alias("STATE"), F.col("cz_type").alias("CZ_TYPE"), F.col("cz_fips").alias("CZ_FIPS"),
             F.col("state_fips").alias("STATE_FIPS"), F.col("event_type").alias("EVENT_TYPE"),
             text("begin_ts").alias("BEGIN_DATE_TIME"), text("end_ts").alias("END_DATE_TIME"),
             F.lit('two\nlines, "quoted"').alias("EPISODE_NARRATIVE"),
-        )
+        ]
+        part = events.where(F.col("period") == period).select(*(columns if period % 2 else columns[::-1]))
         files.export_csv(part, f"{root}/StormEvents_details-ftp_v1.0_d{2000 + period}_c20240101.csv")
     back = storms.parse_event_clock(files.scan_storm_csv(spark, root))
     return back.select(
@@ -137,12 +146,14 @@ def substation_geojson(spark, folder):
     geometry = F.when(F.col("ord") % 6 == 0, "null").when(F.col("ord") % 2 == 0, area).otherwise(point)
     name = F.when(F.col("ord") % 5 == 0, "").otherwise(F.col("name"))
     properties = F.to_json(F.struct(F.col("ord").cast("string").alias("osmid"), name.alias("name"), "voltage"))
-    text = F.concat(F.lit('{"features":[{"properties":'), properties, F.lit(',"geometry":'), geometry, F.lit("}]}"))
-    rows = geojson.substation_rows(_subs(spark, folder).select(text.alias("value")))
+    rows = geojson.substation_rows(_documents(_subs(spark, folder), F.col("ord"), properties, geometry))
     return rounded(rows.select("node_id", "name", "voltage", "subtype", "lat", "lon"), lat=6, lon=6)
 
 
-@query("SELECT lat0, lon0, lat1, lon1, coalesce(voltage, '115') AS voltage FROM v_line WHERE line_id % 4 <> 0")
+@query(
+    "SELECT lat0, lon0, lat1, lon1, coalesce(voltage, '115') AS voltage, count(*) OVER () AS distinct_ids FROM v_line "
+    "WHERE line_id % 4 <> 0"
+)
 def line_geojson(spark, folder):
     """Lines as GeoJSON features with an inner vertex; every fourth one has a single point and is skipped."""
     lines = frame(spark, folder, "v_line")
@@ -152,8 +163,10 @@ def line_geojson(spark, folder):
     path = F.when(F.col("line_id") % 4 == 0, F.slice(path, 1, 1)).otherwise(path)
     geometry = F.to_json(F.struct(F.lit("LineString").alias("type"), path.alias("coordinates")))
     properties = F.to_json(F.struct("voltage"))
-    text = F.concat(F.lit('{"features":[{"properties":'), properties, F.lit(',"geometry":'), geometry, F.lit("}]}"))
-    return geojson.line_rows(lines.select(text.alias("value"))).select("lat0", "lon0", "lat1", "lon1", "voltage")
+    rows = geojson.line_rows(_documents(lines, F.col("line_id"), properties, geometry))
+    # Numbers run over all documents: as many as there are lines.
+    numbers = rows.agg(F.count_distinct("line_id").alias("n")).scalar()
+    return rows.select("lat0", "lon0", "lat1", "lon1", "voltage", numbers.alias("distinct_ids"))
 
 
 @query(
@@ -198,3 +211,19 @@ def isolated_nodes(spark, folder):
     nodes = graph.build_nodes(_subs(spark, folder), _facilities(spark, folder))
     linked = graph.both_ways(graph.build_edges(nodes)).select(F.col("node").alias("node_id"))
     return nodes.select("node_id", "node_type").join(linked, "node_id", "left_anti")
+
+
+def _landed(name):
+    """A stage's result written as a table and read back."""
+
+    def landed(spark, folder):
+        path = scratch_path(spark, name)
+        files.write_table(QUERIES[name](spark, folder), path)
+        return spark.read.parquet(path)
+
+    landed.__name__ = f"landed_{name}"
+    query(ORACLES[name])(landed)
+
+
+for _name in ("storm_pivot", "county_stats"):
+    _landed(_name)

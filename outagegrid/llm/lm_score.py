@@ -1,21 +1,23 @@
 """Language-model scores by deleted interpolation.
 
-Tokens are lower-cased words and one end per document. The model is a word bigram over a vocabulary of the most frequent
-training words (at most ``vocabulary`` of them, a model parameter) and one class for all other words:
+Tokens are lower-cased words and one end per document. The model is a word bigram over all training words:
 
     P(w | h) = l2[b] c(h, w) / c(h) + l1[b] c(w) / N + l0[b] / (size + 2),       b = bucket of the context's count c(h)
 
-A word outside the vocabulary is predicted as its class and then drawn from it: (c(w) + 0.5) / (C + 0.5 (D + 1)), with C
-tokens and D distinct words of the class. So no word of the corpus is dropped from counting, and the text's probability is
-proper. A tenth of the training documents is deleted (held out) from the counts; on its bigrams expectation-maximisation
-learns the three weights of each bucket. Final counts use all training documents. The weights are found on a histogram of
+Every training word has its own context and bigram counts; words that no training document holds are one class, OTHER. A
+caller may ask for a class-based model instead: with ``vocabulary`` set, at most so many of the most frequent words have
+their own counts, and OTHER holds all others. A word of OTHER is predicted as its class and then drawn from it:
+(c(w) + 0.5) / (C + 0.5 (D + 1)), with C tokens and D distinct words of the class, so the text's probability is proper.
+A tenth of the training documents is deleted (held out) from the counts; on its bigrams expectation-maximisation learns
+the three weights of each bucket. Final counts use all training documents. The weights are found on a histogram of
 (bucket, bigram estimate, unigram estimate) in steps of an eighth of a power of two, whose size does not grow.
 
-How it runs: every pass reads whole texts in narrow tasks. Word counts are combined per task and summed by word. Bigrams
-leave a task as sorted, compressed key blocks, one per range of hashed keys, and each shuffle partition merges its blocks.
-Bigrams that make up a millionth of all tokens or more (at most a million by that definition) are broadcast and settled
-where they are read, so no key gathers a share of the corpus in one task. Words outside the vocabulary are looked up by an
-equi-join and summed by document.
+How it runs: texts are read once and stored as blocks of token numbers, each block with the 64-bit hashes of its own
+words. A block asks for the totals of its distinct words and bigrams (a bigram is a 64-bit hash of its words' hashes) in
+sorted, compressed lists, one per range of hashed keys; each shuffle partition adds up the lists of its range and answers
+every block in the order asked. So a block learns all counts of its own text and settles its documents alone. No table of
+words or bigrams is held in one place, and a frequent key costs its partition one entry per block. Two of n distinct keys
+share a hash with a chance of about n^2 / 2^65.
 
 Cases: a null or empty text is one end token; rows that share a doc_id are one document, read one after another; a null
 doc_id is an id of its own; without training documents all probabilities are uniform; other columns are ignored.
@@ -24,25 +26,29 @@ doc_id is an id of its own; without training documents all probabilities are uni
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outagegrid.llm.common import fold, partitions, stored, text_or_empty, words
-from outagegrid.llm.shingles import mixed
+from outagegrid.llm.shingles import STEP, mixed
 
 NO_ID = -(2**63)
 BUCKETS = 24
 STEPS = 8  # per power of two, in the histogram of estimates
 LOWEST = -60 * STEPS
-TASK_WORDS = 400_000
-BLOCK_EVENTS = 3_000_000
+BLOCK_EVENTS = 1_000_000
+END, START = 0, 1  # a block's first two token numbers; OTHER is behind its words
+END_KEY, START_KEY, OTHER_KEY = np.array([1, 2, 3], dtype=np.uint64)
+BLOCK, WORDS, BIGRAMS, LEVELS = range(4)
+ROW = "kind int, block long, place int, shard int, a binary, b binary, c binary, d binary, e binary"
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -75,70 +81,6 @@ def _rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """word, c (in all training documents), d (in the deleted ones)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, deleted = Counter(), Counter()
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for counter, is_deleted in ((kept, False), (deleted, True)):
-                items = list(counter.items())
-                counter.clear()
-                for at in range(0, len(items), 50_000):
-                    w, n = zip(*items[at : at + 50_000], strict=True)
-                    n = pa.array(n, pa.int64())
-                    none = pa.array(np.zeros(len(n), np.int64))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(w, pa.binary()), n, n if is_deleted else none], names=["word", "c", "d"]
-                    )
-
-        for batch in batches:
-            for part, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                (deleted if part == 2 else kept).update(words(data))
-                if len(kept) + len(deleted) > TASK_WORDS:
-                    yield from flush()
-        yield from flush()
-
-    return (
-        rows.where("part <> 1").select("part", "text").mapInArrow(run, "word binary, c long, d long")
-        .groupBy("word").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
-    )
-
-
-def _vocabulary(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The most frequent words, their counts and deleted counts. All words of a count class are in or out together."""
-    level = F.floor(F.log2(F.col("c").cast("double")) * 16)
-    kinds = counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()  # under 1024 rows
-    total, least = 0, None
-    for row in sorted(kinds, key=lambda r: -r["level"]):
-        total += row["n"]
-        if total > most:
-            break
-        least = row["level"]
-    if least is None:
-        return [], np.zeros(0, np.int64), np.zeros(0, np.int64)
-    table = counts.where(level >= least).orderBy(F.desc("c"), "word").toArrow()
-    return table.column("word").to_pylist(), table.column("c").to_numpy(), table.column("d").to_numpy()
-
-
-class Tokens:
-    """Texts to token numbers: vocabulary words, then END, OTHER, START."""
-
-    def __init__(self, vocabulary: list[bytes]):
-        self.number = {w: i for i, w in enumerate(vocabulary)}
-        self.end, self.other, self.start = (len(vocabulary) + k for k in range(3))
-        self.size = len(vocabulary) + 3
-
-    def __call__(self, data: bytes) -> np.ndarray:
-        get, other = self.number.get, self.other
-        return np.array([get(w, other) for w in words(data)] + [self.end], dtype=np.int64)
-
-    def bigrams(self, data: bytes) -> np.ndarray:
-        t = self(data)
-        return np.r_[self.start, t[:-1]] * self.size + t
-
-
 def _split_blocks(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, positions in ascending key order) for every shard that has keys."""
     shard = (mixed(keys.view(np.uint64)) % np.uint64(shards)).astype(np.int32)
@@ -158,83 +100,6 @@ def _level(p: np.ndarray) -> np.ndarray:
         return np.maximum(np.floor(np.log2(p) * STEPS + 0.5), LOWEST).astype(np.int64)
 
 
-def bigram_evidence(
-    rows: DataFrame, vocabulary, c: np.ndarray, d: np.ndarray, shards: int, hot_share: float
-) -> DataFrame:
-    """Rows of two kinds: (0, bucket, level of the bigram estimate, level of the unigram estimate, deleted count) and
-    (1, key, count, 0, 0) for frequent bigrams."""
-    shared = rows.sparkSession.sparkContext.broadcast((vocabulary, c, d))
-    schema = "shard int, keys binary, kept binary, deleted binary"
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(shared.value[0])
-        held: dict[int, list[np.ndarray]] = {0: [], 2: []}
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            empty = [np.zeros(0, np.int64)]
-            keys, at = np.unique(np.concatenate(held[0] + held[2] + empty), return_inverse=True)
-            deleted = np.concatenate([np.zeros(sum(map(len, held[0])), bool), np.ones(sum(map(len, held[2])), bool)])
-            both = [np.bincount(at[x], minlength=len(keys)).astype(np.uint32) for x in (~deleted, deleted)]
-            out = [
-                (s, _pack_sorted(keys[p]), _pack(both[0][p]), _pack(both[1][p])) for s, p in _split_blocks(keys, shards)
-            ]
-            held[0].clear(), held[2].clear()
-            if out:
-                a, *rest = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.int32()), *[pa.array(x, pa.binary()) for x in rest]],
-                    names=["shard", "keys", "kept", "deleted"],
-                )
-
-        for batch in batches:
-            for part, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = tokens.bigrams(data)
-                held[part].append(found)
-                size += len(found)
-                if size > BLOCK_EVENTS:
-                    yield from flush()
-                    size = 0
-        yield from flush()
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, c, d = shared.value
-        size, keys, kept, deleted = len(c), [], [], []
-        for batch in batches:
-            for k, a, b in zip(*(x.to_pylist() for x in batch.columns[1:]), strict=True):
-                keys.append(_unpack_sorted(k)), kept.append(_unpack(a, np.uint32)), deleted.append(_unpack(b, np.uint32))
-        if not keys:
-            return
-        keys, at = np.unique(np.concatenate(keys), return_inverse=True)
-        n_kept = np.bincount(at, weights=np.concatenate(kept), minlength=len(keys))
-        n_deleted = np.bincount(at, weights=np.concatenate(deleted), minlength=len(keys))
-        columns = [[], [], [], [], []]
-        seen = n_deleted > 0
-        if seen.any():
-            context, word = keys[seen] // size, keys[seen] % size
-            before = (c - d)[context]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                p2 = np.where(before > 0, n_kept[seen] / before, 0.0)
-            p1 = (c - d)[word] / max(1, (c - d)[:-1].sum())
-            cells, where = np.unique(
-                np.stack([_bucket(before), _level(p2), _level(p1)]), axis=1, return_inverse=True
-            )
-            weight = np.bincount(where.reshape(-1), weights=n_deleted[seen]).astype(np.int64)
-            for k, v in enumerate((np.zeros(len(weight), np.int64), *cells, weight)):
-                columns[k].append(v)
-        total = (n_kept + n_deleted).astype(np.int64)
-        hot = total >= max(2.0, hot_share * c[:-1].sum())
-        zero = np.zeros(int(hot.sum()), np.int64)
-        for k, v in enumerate((zero + 1, keys[hot], total[hot], zero, zero)):
-            columns[k].append(v)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(x)) for x in columns], names=["kind", "a", "b", "x", "n"]
-        )
-
-    blocks = rows.where("part <> 1").select("part", "text").mapInArrow(count, schema)
-    return blocks.repartitionById(shards, "shard").mapInArrow(merge, "kind long, a long, b long, x long, n long")
-
-
 def weights_by_em(cells: np.ndarray, uniform: float, rounds: int = 60) -> np.ndarray:
     """Rows of (bucket, bigram level, unigram level, count) to mixture weights, bucket x (bigram, unigram, uniform). Each
     component gets a pseudo-count of one, the bigram none where no context has been seen."""
@@ -264,168 +129,255 @@ def _log_mix(chw, context, word, c, total, weights, size) -> np.ndarray:
     return np.log10(p + w[:, 0] * bigram)
 
 
-def _block_scores(rows: DataFrame, vocabulary, c, weights, hot_keys, hot_counts, shards: int) -> DataFrame:
-    """doc_id, score: partial sums of the documents' log10 bigram probabilities."""
-    total = int(c[:-1].sum())
-    shared = rows.sparkSession.sparkContext.broadcast((vocabulary, c, weights, hot_keys, hot_counts))
-    schema = "shard int, keys binary, at binary, ids binary, train binary, done binary"
-
-    def events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, c, weights, hot_keys, hot_counts = shared.value
-        tokens = Tokens(vocabulary)
-        ids, train, found, size, turn = [], [], [], 0, 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal turn
-            keys = np.concatenate(found)
-            at = np.repeat(np.arange(len(found), dtype=np.uint32), [len(f) for f in found])
-            done = np.zeros(len(found))
-            if len(hot_keys):
-                place = np.minimum(np.searchsorted(hot_keys, keys), len(hot_keys) - 1)
-                hot = hot_keys[place] == keys
-                logs = _log_mix(
-                    hot_counts[place[hot]], keys[hot] // tokens.size, keys[hot] % tokens.size, c, total, weights, tokens.size
-                )
-                done = np.bincount(at[hot], weights=logs, minlength=len(found))
-                keys, at = keys[~hot], at[~hot]
-            table = (_pack(np.array(ids, np.int64)), _pack(np.array(train, np.uint8)))
-            out = [(s, _pack_sorted(keys[p]), _pack(at[p]), *table, b"") for s, p in _split_blocks(keys, shards)]
-            # What is settled here goes along with some block's shard, a different one each time.
-            out.append((turn % shards, b"", b"", *table, done.tobytes()))
-            turn += 7
-            a, *rest = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.int32()), *[pa.array(x, pa.binary()) for x in rest]],
-                names=["shard", "keys", "at", "ids", "train", "done"],
-            )
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    names = [c.split()[0] for c in ROW.split(", ")]
+    types = [pa.int32(), pa.int64(), pa.int32(), pa.int32()] + [pa.binary()] * 5
+    columns = zip(*[(*r, *[None] * (len(names) - len(r))) for r in rows], strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
-        for batch in batches:
-            for doc_id, part, data in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                ids.append(doc_id), train.append(part != 1), found.append(tokens.bigrams(data))
-                size += len(found[-1])
-                if size > BLOCK_EVENTS:
-                    yield from flush()
-                    size = 0
-                    ids.clear(), train.clear(), found.clear()
-        if found:
-            yield from flush()
 
-    def sums_row(ids: bytes, sums: np.ndarray) -> pa.RecordBatch:
-        """A block is known by its packed ids."""
-        block = pa.array([xxhash.xxh64_intdigest(ids) % shards], pa.int32())
-        return pa.RecordBatch.from_arrays([block, pa.array([ids]), pa.array([sums.tobytes()])], names=["block", "ids", "sums"])
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self) + START + 1
+        return n
 
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, c, weights, _, _ = shared.value
-        size, blocks = len(c), []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["done"]:
-                    yield sums_row(row["ids"], np.frombuffer(row["done"]))
-                if row["keys"]:
-                    at = _unpack(row["at"], np.uint32)
-                    train = _unpack(row["train"], np.uint8).astype(bool)
-                    blocks.append((_unpack_sorted(row["keys"]), at, train[at], row["ids"], len(train)))
-        if not blocks:
-            return
-        learned, counts = np.unique(np.concatenate([k[t] for k, _, t, _, _ in blocks]), return_counts=True)
-        for keys, at, _, ids, n in blocks:
-            chw = np.zeros(len(keys))
-            if len(learned):
-                place = np.minimum(np.searchsorted(learned, keys), len(learned) - 1)
-                chw = np.where(learned[place] == keys, counts[place], 0)
-            logs = _log_mix(chw, keys // size, keys % size, c, total, weights, size)
-            yield sums_row(ids, np.bincount(at, weights=logs, minlength=n))
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[bytes, np.ndarray] = {}
-        for batch in batches:
-            for ids, sums in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                sums = np.frombuffer(sums)
-                totals[ids] = totals[ids] + sums if ids in totals else sums
-        for ids, sums in totals.items():
-            yield pa.RecordBatch.from_arrays([pa.array(_unpack(ids, np.int64)), pa.array(sums)], names=["doc_id", "score"])
 
-    blocks = rows.mapInArrow(events, schema)
-    # One row of sums per block and shard, added up by block: never a row per document and shard.
-    sums = blocks.repartitionById(shards, "shard").mapInArrow(settle, "block int, ids binary, sums binary")
-    return sums.repartitionById(shards, "block").mapInArrow(add, "doc_id long, score double")
+def token_blocks(rows: DataFrame, shards: int, block_events: int) -> DataFrame:
+    """Rows of kind BLOCK: ids, parts, lengths in tokens, hashes of the block's words, token numbers."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, turn = TaskContext.get().partitionId(), 0
+        ids, parts, found, size, number = [], [], [], 0, _Numbers()
+
+        def block() -> pa.RecordBatch:
+            keys = np.array([xxhash.xxh3_64_intdigest(w) for w in number], dtype=np.uint64)
+            row = (
+                _pack(np.array(ids, np.int64)), _pack(np.array(parts, np.uint8)),
+                _pack(np.array([len(f) for f in found], np.uint32)), _pack(keys), _pack(np.concatenate(found)),
+            )
+            return _batch([(BLOCK, (task << 32) + turn, (task + 7 * turn) % shards, -1, *row)])
 
-def _plain(rows: DataFrame, vocabulary, c) -> DataFrame:
-    """doc_id, n_tokens, n_known and base (sum of log10(c + 0.5)) over END and vocabulary words, and the other words."""
-    shared = rows.sparkSession.sparkContext.broadcast((vocabulary, c))
+        for batch in batches:
+            for doc_id, part, data in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                listed = words(data)
+                t = np.zeros(len(listed) + 1, np.uint32)
+                t[:-1] = np.fromiter(map(number.__getitem__, listed), np.uint32, len(listed))
+                ids.append(doc_id), parts.append(part), found.append(t)
+                size += len(t)
+                if size > block_events:
+                    yield block()
+                    turn += 1
+                    ids, parts, found, size, number = [], [], [], 0, _Numbers()
+        if found:
+            yield block()
+
+    return rows.mapInArrow(run, ROW)
+
+
+class _Totals(NamedTuple):
+    """What a block needs to know of the whole corpus: training and deleted documents, the least level of words with
+    counts of their own, and tokens and deleted tokens of all other training words."""
+
+    docs: int
+    deleted_docs: int
+    least: int
+    other: int
+    other_deleted: int
+
+
+class _Block:
+    def __init__(self, row: dict):
+        self.name = row["block"], row["place"]
+        self.ids, self.parts = _unpack(row["a"], np.int64), _unpack(row["b"], np.uint8)
+        self.lengths = _unpack(row["c"], np.uint32).astype(np.int64)
+        self.keys, self.tokens = _unpack(row["d"], np.uint64), _unpack(row["e"], np.uint32).astype(np.int64)
+        self.part = np.repeat(self.parts, self.lengths)
+        self.other = len(self.keys) + START + 1
+        self.number = np.arange(self.other)
+
+    def learn(self, replies: dict, totals: _Totals, shards: int) -> None:
+        """Counts of the block's words: ``seen`` of each word itself, ``c`` and ``d`` by token number of the model."""
+        kept, deleted = _answered(self.keys, replies[WORDS], shards)
+        ends = [totals.docs] * 2
+        self.seen = np.r_[ends, kept + deleted]
+        self.inside = np.r_[True, True, (self.seen[2:] > 0) & (_count_level(self.seen[2:]) >= totals.least)]
+        if totals.least:
+            self.number = np.where(self.inside, self.number, self.other)
+        self.c = np.r_[self.seen, totals.other]
+        self.d = np.r_[[totals.deleted_docs] * 2, deleted, totals.other_deleted]
+
+    def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Contexts, words and keys of the distinct bigrams, and the bigram of every token."""
+        t = self.number[self.tokens]
+        context = np.r_[START, t[:-1]]
+        context[1:][t[:-1] == END] = START
+        pairs, at = np.unique(context * (self.other + 1) + t, return_inverse=True)
+        context, word = pairs // (self.other + 1), pairs % (self.other + 1)
+        h = np.r_[END_KEY, START_KEY, self.keys, OTHER_KEY]
+        return context, word, mixed(mixed(h[context]) * STEP + h[word]), at
+
+    def counted(self, at: np.ndarray, size: int) -> list[np.ndarray]:
+        """Training and deleted tokens by ``at``."""
+        return [np.bincount(at[self.part == p], minlength=size) for p in (0, 2)]
+
+    def asks(self, kinds, shards: int) -> list[tuple]:
+        out = []
+        for kind in kinds:
+            if kind == WORDS:
+                keys, (kept, deleted) = self.keys, (x[2:] for x in self.counted(self.tokens, self.other))
+            else:
+                _, _, keys, at = self.bigrams()
+                kept, deleted = self.counted(at, len(keys))
+            for s, p in _split_blocks(keys.view(np.int64), shards):
+                lists = _pack_sorted(keys.view(np.int64)[p]), _pack(kept[p]), _pack(deleted[p])
+                out.append((kind, *self.name, s, *lists))
+        return out
+
+
+def _answered(keys: np.ndarray, replies: dict[int, tuple[bytes, bytes]], shards: int) -> tuple[np.ndarray, np.ndarray]:
+    kept, deleted = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+    for s, p in _split_blocks(keys.view(np.int64), shards):
+        kept[p], deleted[p] = (_unpack(x, np.int64) for x in replies[s])
+    return kept, deleted
+
+
+def _count_level(counts: np.ndarray) -> np.ndarray:
+    return np.floor(np.log2(np.maximum(counts, 1)) * 16).astype(np.int64)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Block, dict]]:
+    """The blocks of a shuffle partition, each with its replies by kind and shard."""
+    blocks, replies = [], {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["kind"] == BLOCK:
+                blocks.append(row)
+            else:
+                of = replies.setdefault(row["block"], {WORDS: {}, BIGRAMS: {}})
+                of[row["kind"]][row["shard"]] = row["a"], row["b"]
+    while blocks:  # a block that is done is let go
+        row = blocks.pop()
+        yield _Block(row), replies.pop(row["block"], {WORDS: {}, BIGRAMS: {}})
+
+
+def _totals_of(asked: DataFrame, shards: int) -> DataFrame:
+    """Replies to all asks, training and deleted tokens in the order asked, and a row of kind LEVELS per shard: level of a
+    word's count, and words, tokens and deleted tokens at that level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, c = shared.value
-        number = {w: i for i, w in enumerate(vocabulary)}
-        end, logs = len(vocabulary), np.log10(c + 0.5)
+        held: dict[int, list] = {WORDS: [], BIGRAMS: []}
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                n_tokens, known, base, other = [], [], [], []
-                for data in part.column(1).to_pylist():
-                    found = words(data)
-                    inside = [number[w] for w in found if w in number]
-                    n_tokens.append(len(found) + 1)
-                    known.append(len(inside) + int(c[end] > 0))
-                    base.append(float(logs[inside].sum() + logs[end]) if inside else float(logs[end]))
-                    other.append([w for w in found if w not in number] if len(inside) < len(found) else [])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()),
-                        pa.array(base, pa.float64()), pa.array(other, pa.list_(pa.binary())),
-                    ],
-                    names=["doc_id", "n_tokens", "n_known", "base", "other"],
-                )
-
-    return rows.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_tokens long, n_known long, base double, other array<binary>"
-    )
-
-
-def score(docs: DataFrame, vocabulary: int = 200_000, hot_share: float = 1e-6) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, one row per doc_id. Runs jobs."""
+            for r in batch.to_pylist():
+                lists = _unpack_sorted(r["a"]), _unpack(r["b"], np.int64), _unpack(r["c"], np.int64)
+                held[r["kind"]].append(((r["kind"], r["block"], r["place"], r["shard"]), *lists))
+        for kind, rows in held.items():
+            if not rows:
+                continue
+            keys, at = np.unique(np.concatenate([r[1] for r in rows]), return_inverse=True)
+            kept, deleted = (
+                np.bincount(at, weights=np.concatenate([r[k] for r in rows]), minlength=len(keys)).astype(np.int64) for k in (2, 3)
+            )
+            start = 0
+            for name, asked_keys, _, _ in rows:
+                mine = at[start : start + len(asked_keys)]
+                start += len(asked_keys)
+                yield _batch([(*name, _pack(kept[mine]), _pack(deleted[mine]))])
+            if kind == WORDS:
+                c = kept + deleted
+                levels, where = np.unique(_count_level(c[c > 0]), return_inverse=True)
+                sums = [np.bincount(where, weights=x, minlength=len(levels)) for x in (c[c > 0] > 0, c[c > 0], deleted[c > 0])]
+                yield _batch([(LEVELS, -1, 0, 0, np.array([levels, *sums]).astype(np.int64).tobytes())])
+
+    return asked.repartitionById(shards, "shard").mapInArrow(run, ROW)
+
+
+def score(
+    docs: DataFrame, vocabulary: int | None = None, hot_share: float = 1e-6, block_events: int = BLOCK_EVENTS
+) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, one row per doc_id. Runs jobs. ``hot_share``
+    is taken from callers of an earlier form and changes nothing: a frequent bigram is one entry per block."""
     rows = _rows(docs)
     shards = partitions(docs.sparkSession)
-    counts = stored(word_counts(rows), "words")
-    listed, c, d = _vocabulary(counts, vocabulary)
-    all_words = counts.agg(F.count(F.lit(1)), F.sum("c"), F.sum("d")).first()
-    distinct, word_tokens, deleted_tokens = (int(x or 0) for x in all_words)
+    blocks = stored(token_blocks(rows, shards, block_events), "blocks")
+
+    def ask(source: DataFrame, *kinds: int, totals: _Totals | None = None) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for block, replies in _gathered(batches):
+                if totals is not None:
+                    block.learn(replies, totals, shards)
+                asked = block.asks(kinds, shards)
+                if asked:
+                    yield _batch(asked)
+
+        return stored(_totals_of(source.mapInArrow(run, ROW), shards), "totals")
+
+    def gathered(*replies: DataFrame) -> DataFrame:
+        out = blocks
+        for r in replies:
+            out = out.unionByName(r.where(F.col("kind") != LEVELS))
+        return out.repartitionById(shards, "place")
+
+    replies = [ask(blocks, WORDS, BIGRAMS) if vocabulary is None else ask(blocks, WORDS)]
+    levels = [np.frombuffer(r["a"], np.int64).reshape(4, -1) for r in replies[0].where(F.col("kind") == LEVELS).select("a").collect()]
+    level, n, c, d = np.concatenate([*levels, np.zeros((4, 0), np.int64)], axis=1)
+    distinct, word_tokens, deleted_tokens = int(n.sum()), int(c.sum()), int(d.sum())
+    # All words of a count class are in or out together.
+    least = 0
+    if vocabulary is not None and distinct > vocabulary:
+        least = int(level.max()) + 1
+        while least > 0 and n[level >= least - 1].sum() <= vocabulary:
+            least -= 1
+    listed = int(n[level >= least].sum())
     ends = rows.select("part").agg(F.count_if(F.col("part") != 1), F.count_if(F.col("part") == 2)).first()
     n_docs, n_deleted = int(ends[0]), int(ends[1])
+    totals = _Totals(n_docs, n_deleted, least, int(c[level < least].sum()), int(d[level < least].sum()))
+    if vocabulary is not None:
+        replies.append(ask(gathered(*replies), BIGRAMS, totals=totals))
     total = word_tokens + n_docs
+    kept_total = max(1, total - deleted_tokens - n_deleted)
     kinds = distinct + int(n_docs > 0)
-    # END, OTHER, START behind the vocabulary; a context's count is its token count.
-    c_all = np.r_[c, n_docs, word_tokens - c.sum(), n_docs].astype(np.int64)
-    d_all = np.r_[d, n_deleted, deleted_tokens - d.sum(), n_deleted].astype(np.int64)
-
-    evidence = stored(bigram_evidence(rows, listed, c_all, d_all, shards, hot_share), "evidence")
-    cells = evidence.where("kind = 0").groupBy("a", "b", "x").agg(F.sum("n").alias("n")).toArrow()
-    cells = np.column_stack([cells.column(k).to_numpy() for k in range(4)]) if cells.num_rows else np.zeros((0, 4), np.int64)
-    weights = weights_by_em(cells, 1.0 / (len(c_all) - 1))
-    hot = evidence.where("kind = 1").select("a", "b").orderBy("a").toArrow()  # at most 1 / hot_share rows
-    bigrams = _block_scores(rows, listed, c_all, weights, hot.column(0).to_numpy(), hot.column(1).to_numpy(), shards)
-
-    plain = stored(_plain(rows, listed, c_all), "plain")
-    other_total, other_kinds = int(c_all[-2]), distinct - len(listed)
-    spread = math.log10(other_total + 0.5 * (other_kinds + 1))
-    count = F.coalesce("c", F.lit(0))
-    others = (
-        plain.select("doc_id", F.explode("other").alias("word")).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
-        .join(counts.select("word", "c"), "word", "left")
-        .select(
-            "doc_id", F.lit(0).cast("long").alias("n_tokens"), F.when(count > 0, F.col("n")).otherwise(0).alias("n_known"),
-            (F.col("n") * F.log10(count + 0.5)).alias("base"), (F.col("n") * (F.log10(count + 0.5) - spread)).alias("score"),
-        )
-    )
-    zero = F.lit(0).cast("long")
-    parts = (
-        plain.select("doc_id", "n_tokens", "n_known", "base", F.lit(0.0).alias("score"))
-        .unionByName(others)
-        .unionByName(bigrams.select("doc_id", zero.alias("n_tokens"), zero.alias("n_known"), F.lit(0.0).alias("base"), "score"))
-    )
+    size = listed + 3
+
+    def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, found in _gathered(batches):
+            block.learn(found, totals, shards)
+            context, word, keys, at = block.bigrams()
+            weight = block.counted(at, len(keys))[1]
+            on = weight > 0
+            before = (block.c - block.d)[context[on]]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                p2 = np.where(before > 0, _answered(keys, found[BIGRAMS], shards)[0][on] / before, 0.0)
+            p1 = (block.c - block.d)[word[on]] / kept_total
+            codes, where = np.unique((_bucket(before) * 1024 - _level(p2)) * 1024 - _level(p1), return_inverse=True)
+            n = np.bincount(where, weights=weight[on], minlength=len(codes)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], names=["code", "n"])
+
+    cells = gathered(*replies).mapInArrow(evidence, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    code, n_cell = (cells.column(k).to_numpy() for k in range(2))
+    cells = np.column_stack([code >> 20, -(code >> 10 & 1023), -(code & 1023), n_cell]).astype(np.int64)
+    weights = weights_by_em(cells[np.lexsort(cells.T[::-1])], 1.0 / (size - 1))
+    spread = math.log10(totals.other + 0.5 * (distinct - listed + 1))
     whole = math.log10(total + 0.5 * (kinds + 1))
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, found in _gathered(batches):
+            block.learn(found, totals, shards)
+            context, word, keys, at = block.bigrams()
+            kept, deleted = _answered(keys, found[BIGRAMS], shards)
+            of = np.repeat(np.arange(len(block.ids)), block.lengths)
+            by_doc = lambda x: np.bincount(of, weights=x[block.tokens], minlength=len(block.ids))  # noqa: E731, B023
+            logs = _log_mix(kept + deleted, context, word, block.c, total, weights, size)
+            base = np.log10(block.seen + 0.5)
+            drawn = np.where(block.inside, 0.0, base - spread)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(block.ids), pa.array(block.lengths), pa.array(by_doc(block.seen > 0).astype(np.int64)),
+                    pa.array(by_doc(base)), pa.array(by_doc(drawn) + np.bincount(of, weights=logs[at], minlength=len(block.ids))),
+                ],
+                names=["doc_id", "n_tokens", "n_known", "base", "score"],
+            )
+
+    parts = gathered(*replies).mapInArrow(settle, "doc_id long, n_tokens long, n_known long, base double, score double")
     per_doc = parts.groupBy("doc_id").agg(*[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "score")])
     ids = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     return per_doc.select(

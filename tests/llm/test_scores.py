@@ -92,6 +92,18 @@ def test_scores_equal_the_plain_model(make, vocabulary, hot):
         assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-9)
 
 
+def test_every_word_has_its_own_bigrams(make):
+    """No size of the vocabulary at which words lose their own counts; blocks smaller than a document change nothing."""
+    rng = random.Random(16)
+    rows = [(i, " ".join(f"x{rng.randrange(900_000)} w{rng.randrange(9)}" for _ in range(3500))) for i in range(90)]
+    want = model_scores(rows, 10**9)
+    assert len({w for _, t in rows for w in t.split()}) > 220_000
+    for r in lm_score.score(make(rows), block_events=20_000).collect():
+        n, known, total, base, score = want[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
+        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-9)
+
+
 def test_scores_hard_rows(make, hard):
     docs = make(hard)
     got = lm_score.score(docs).collect()

@@ -6,9 +6,10 @@
    character lattices: each written character may stand for itself, for a letter it resembles, or for nothing. The best
    path under channel and language model, found by Viterbi search, is the restored text. Other words pass unchanged.
 3. Words of restored texts are weighed against ``labels.toxic``: each word's document counts by label (equal texts count
-   once) give a likelihood-ratio statistic; the words above ``least_g2`` and ``relative_g2`` of the strongest one, at
-   most ``most_words`` of them, enter a ridge logistic regression fitted on patterns of those words. Every labelled
-   training row takes part in the counts; the fit reads at most ``fit_patterns`` distinct patterns, the most frequent ones.
+   once) give a likelihood-ratio statistic G2. All words above ``least_g2`` whose false-discovery rate (Benjamini-Hochberg
+   over the words in three or more rows) is at most ``discovery`` enter a ridge logistic regression fitted on patterns of
+   those words; the ridge shrinks weak ones. Every labelled training row takes part in the counts; the fit reads at most
+   ``fit_patterns`` distinct patterns, the most frequent ones.
 
 The label model sees restored words only: ids, languages, sources and labels are never inputs of a score.
 
@@ -182,8 +183,7 @@ def labelled_words(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> Dat
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, least_g2: float = 20.0, relative_g2: float = 0.03, most_words: int = 4096,
-    fit_patterns: int = 200_000,
+    docs: DataFrame, labels: DataFrame, least_g2: float = 20.0, discovery: float = 0.05, fit_patterns: int = 200_000,
 ) -> tuple[np.ndarray, dict[bytes, float], float]:
     """(character model, word weights, bias). Runs jobs."""
     model = character_model(character_counts(_bytes_of(docs.where(fold() != 0)).select("text")))
@@ -203,31 +203,50 @@ def fit(
         part(k, m * share) + part(m - k, m * (1 - share)) + part(positive - k, (n - m) * share)
         + part((n - positive) - (m - k), (n - m) * (1 - share))
     )
-    chosen = (
+    tested = stored(
         rows.select("toxic", F.explode("words").alias("word")).groupBy("word")
-        .agg(F.sum("toxic").alias("k"), F.count(F.lit(1)).alias("n"))
-        .where((F.col("k") >= 3) & (k / m > share))
-        .select("word", g2.alias("g2")).where(F.col("g2") >= least_g2)
-        .orderBy(F.desc("g2"), "word").limit(most_words).collect()
+        .agg(F.sum("toxic").alias("k"), F.count(F.lit(1)).alias("n")).where("n >= 3")
+        .select("word", F.when((F.col("k") >= 3) & (k / m > share), g2).otherwise(0.0).alias("g2")),
+        "tested",
     )
-    chosen = [bytes(r["word"]) for r in chosen if r["g2"] >= relative_g2 * chosen[0]["g2"]]
+    level = F.floor(F.log2("g2") * 64)
+    levels = tested.where(F.col("g2") >= least_g2).groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least = _discovery_level([(r["level"], r["n"]) for r in levels], tested.count(), discovery)
+    chosen = tested.where((F.col("g2") >= least_g2) & (level >= F.lit(float(least)))).select("word").orderBy("word").collect()
+    chosen = [bytes(r["word"]) for r in chosen]
     if not chosen:
         return model, {}, bias
-    wanted = F.array(*[F.lit(bytearray(w)) for w in chosen])
+    wanted = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(chosen)})
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = wanted.value
+        for batch in batches:
+            found = [sorted(number[w] for w in words if w in number) for words in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "words"])
+
     patterns = (
-        rows.select("toxic", F.array_sort(F.array_intersect("words", wanted)).alias("words"))
+        rows.select("toxic", "words").mapInArrow(numbered, "toxic int, words array<int>")
         .groupBy("toxic", "words").agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "toxic", "words").limit(fit_patterns).collect()
     )
-    number = {w: i for i, w in enumerate(chosen)}
     row = np.concatenate([np.full(len(p["words"]), i) for i, p in enumerate(patterns)]).astype(int)
-    column = np.array([number[bytes(w)] for p in patterns for w in p["words"]], dtype=int)
+    column = np.array([w for p in patterns for w in p["words"]], dtype=int)
     y = np.array([p["toxic"] for p in patterns], dtype=float)
     count = np.array([p["n"] for p in patterns], dtype=float)
     weights, bias = _ridge_logistic(row, column, y, count, len(chosen), bias)
     return model, dict(zip(chosen, weights.tolist(), strict=True)), bias
 
 
+def _discovery_level(levels: list[tuple[int, int]], tested: int, rate: float) -> float:
+    """The least level (64 to a power of two) from which all G2 above it keep the false-discovery rate."""
+    least, above = math.inf, 0
+    for level, n in sorted(levels, reverse=True):
+        above += n
+        if math.erfc(math.sqrt(2.0 ** (level / 64) / 2)) * tested <= rate * above:
+            least = level
+    return least
+
+
 def _ridge_logistic(row, column, y, count, width, bias, ridge=0.05, rounds=600):
     """Weighted logistic regression on a sparse 0/1 matrix, by gradient steps with momentum and per-word step sizes."""
     w, b = np.zeros(width), bias

@@ -219,6 +219,19 @@ def test_held_out_labels_do_not_count(spark, make):
     assert a == b
 
 
+def test_a_rarer_insult_is_weighed_beside_a_common_one(spark, make):
+    rng = random.Random(12)
+    words = ["river", "window", "letter", "summer", "garden", "silver", "market", "people", "morning", "thing"]
+    rows, truth = [], {}
+    for i in range(3000):
+        truth[i] = int(i % 3 == 0)
+        insult = [] if not truth[i] else ["wretch"] if i % 150 == 0 else ["idiot"]
+        rows.append((i, " ".join([*rng.choices(words, k=15), *insult, str(i)])))
+    labels = spark.createDataFrame(list(truth.items()), "doc_id long, toxic int")
+    _, weights, _ = toxicity.fit(make(rows), labels)
+    assert {b"idiot", b"wretch"} <= set(weights)
+
+
 def test_toxicity_hard_rows(make, hard, labels):
     for docs in (make(hard), make(hard).where("false")):
         got = toxicity.score(docs, labels).collect()

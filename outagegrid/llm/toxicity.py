@@ -8,8 +8,8 @@
 3. Words of restored texts are weighed against ``labels.toxic``: each word's document counts by label (equal texts count
    once) give a likelihood-ratio statistic G2. All words above ``least_g2`` whose false-discovery rate (Benjamini-Hochberg
    over the words in three or more rows) is at most ``discovery`` enter a ridge logistic regression fitted on patterns of
-   those words; the ridge shrinks weak ones. Every labelled training row takes part in the counts; the fit reads at most
-   ``fit_patterns`` distinct patterns, the most frequent ones.
+   those words; the ridge shrinks weak ones. Every labelled training row takes part in the counts and in the fit, whose
+   loss and gradient are summed over all patterns in Spark.
 
 The label model sees restored words only: ids, languages, sources and labels are never inputs of a score.
 
@@ -183,7 +183,7 @@ def labelled_words(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> Dat
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, least_g2: float = 20.0, discovery: float = 0.05, fit_patterns: int = 200_000,
+    docs: DataFrame, labels: DataFrame, least_g2: float = 20.0, discovery: float = 0.05
 ) -> tuple[np.ndarray, dict[bytes, float], float]:
     """(character model, word weights, bias). Runs jobs."""
     model = character_model(character_counts(_bytes_of(docs.where(fold() != 0)).select("text")))
@@ -224,16 +224,12 @@ def fit(
             found = [sorted(number[w] for w in words if w in number) for words in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "words"])
 
-    patterns = (
+    patterns = stored(
         rows.select("toxic", "words").mapInArrow(numbered, "toxic int, words array<int>")
-        .groupBy("toxic", "words").agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "toxic", "words").limit(fit_patterns).collect()
+        .groupBy("words").agg(F.sum("toxic").alias("k"), F.count(F.lit(1)).alias("n")),
+        "patterns",
     )
-    row = np.concatenate([np.full(len(p["words"]), i) for i, p in enumerate(patterns)]).astype(int)
-    column = np.array([w for p in patterns for w in p["words"]], dtype=int)
-    y = np.array([p["toxic"] for p in patterns], dtype=float)
-    count = np.array([p["n"] for p in patterns], dtype=float)
-    weights, bias = _ridge_logistic(row, column, y, count, len(chosen), bias)
+    weights, bias = _ridge_logistic(patterns, len(chosen), bias)
     return model, dict(zip(chosen, weights.tolist(), strict=True)), bias
 
 
@@ -247,20 +243,56 @@ def _discovery_level(levels: list[tuple[int, int]], tested: int, rate: float) ->
     return least
 
 
-def _ridge_logistic(row, column, y, count, width, bias, ridge=0.05, rounds=600):
-    """Weighted logistic regression on a sparse 0/1 matrix, by gradient steps with momentum and per-word step sizes."""
-    w, b = np.zeros(width), bias
-    seen = np.bincount(column, weights=count[row], minlength=width)
-    step = 1.0 / (0.25 * seen * 4 + ridge)
-    speed, speed_b = np.zeros(width), 0.0
-    for _ in range(rounds):
-        z = b + np.bincount(row, weights=w[column], minlength=len(y))
-        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) * count
-        grad = np.bincount(column, weights=error[row], minlength=width) + ridge * w
-        speed = 0.9 * speed - step * grad
-        speed_b = 0.9 * speed_b - 0.5 / count.sum() * error.sum()
-        w, b = w + speed, b + speed_b
-    return w, float(b)
+def _ridge_logistic(patterns: DataFrame, width: int, bias: float, ridge: float = 0.05) -> tuple[np.ndarray, float]:
+    """Weights and bias of the ridge logistic regression on rows of (words, k toxic of n): limited-memory BFGS until the
+    gradient vanishes. Every step sums over all patterns; a task returns one row."""
+
+    def sums(at: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            loss, grad, seen = 0.0, np.zeros(width + 1), np.zeros(width + 1)
+            for batch in batches:
+                lists, k, n = batch.column(0), *(batch.column(c).to_numpy().astype(float) for c in (1, 2))
+                row = np.repeat(np.arange(len(n)), np.diff(lists.offsets.to_numpy()))
+                column = lists.flatten().to_numpy()
+                z = at[-1] + np.bincount(row, weights=at[column], minlength=len(n))
+                error = n / (1 + np.exp(-np.clip(z, -40, 40))) - k
+                loss += float((n * np.logaddexp(0, z) - k * z).sum())
+                for out, x in ((grad, error), (seen, n)):
+                    out[:-1] += np.bincount(column, weights=x[row], minlength=width)
+                    out[-1] += x.sum()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([loss]), pa.array([grad.tobytes()]), pa.array([seen.tobytes()])], names=["loss", "grad", "seen"]
+            )
+
+        rows = patterns.select("words", "k", "n").mapInArrow(run, "loss double, grad binary, seen binary").collect()
+        loss, grad, seen = (sum(x) for x in zip(*[(r[0], np.frombuffer(r[1]), np.frombuffer(r[2])) for r in rows], strict=True))
+        return loss + ridge / 2 * float(at[:-1] @ at[:-1]), grad + np.r_[ridge * at[:-1], 0.0], seen
+
+    at = np.r_[np.zeros(width), bias]
+    loss, grad, seen = sums(at)
+    inverse = 1.0 / (0.25 * seen + ridge)  # of a bound of the curvature
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    while float(grad @ (inverse * grad)) > 1e-10 * (1 + loss):
+        way, parts = grad.copy(), []
+        for s, y in reversed(steps):
+            parts.append((s @ way) / (s @ y))
+            way -= parts[-1] * y
+        way *= inverse
+        for (s, y), part in zip(steps, reversed(parts), strict=True):
+            way += (part - (y @ way) / (s @ y)) * s
+        size = 1.0
+        while True:
+            then, then_grad, _ = sums(at - size * way)
+            if then <= loss - 1e-4 * size * float(grad @ way) or size < 1e-9:
+                break
+            size /= 2
+        if then >= loss:  # no further descent in floating point
+            break
+        steps = [*steps[-9:], (-size * way, then_grad - grad)]
+        if steps[-1][0] @ steps[-1][1] <= 0:
+            steps.pop()
+        at, loss, grad = at - size * way, then, then_grad
+    return at[:-1], float(at[-1])
 
 
 def with_score(docs: DataFrame, labels: DataFrame, name: str = "score", **settings) -> DataFrame:

@@ -232,6 +232,23 @@ def test_a_rarer_insult_is_weighed_beside_a_common_one(spark, make):
     assert {b"idiot", b"wretch"} <= set(weights)
 
 
+def test_the_fit_reads_all_patterns(spark):
+    """Weights equal the optimum over every pattern, however often a pattern is there and whatever its label."""
+    rng = random.Random(13)
+    rows = collections.Counter()
+    for _ in range(400):
+        words = tuple(sorted(w for w in range(6) if rng.random() < 0.3))
+        rows[words, int(rng.random() < 1 / (1 + math.exp(2 - sum(words))))] += 1
+    patterns = spark.createDataFrame(
+        [(list(w), rows[w, 1], rows[w, 0] + rows[w, 1]) for w in {w for w, _ in rows}], "words array<int>, k long, n long"
+    )
+    got, bias = toxicity._ridge_logistic(patterns.repartition(3), 6, -1.0)
+    x = np.array([[w in words for w in range(6)] + [True] for words, _ in rows], dtype=float)
+    y, n = np.array([t for _, t in rows]), np.array(list(rows.values()))
+    p = 1 / (1 + np.exp(-x @ np.r_[got, bias]))
+    assert np.abs(x.T @ (n * (p - y)) + 0.05 * np.r_[got, 0.0]).max() < 1e-2
+
+
 def test_toxicity_hard_rows(make, hard, labels):
     for docs in (make(hard), make(hard).where("false")):
         got = toxicity.score(docs, labels).collect()

@@ -2,9 +2,12 @@
 
 1. A character language model (orders 1 to 4 over 28 symbols, Witten-Bell interpolation) is counted over the training
    rows' whole texts; its table has a fixed size, 28^4 cells.
-2. Disguised spans (leetspeak inside a word, letters drawn out three times or more, single letters set apart) become
-   character lattices: each written character may stand for itself, for a letter it resembles, or for nothing. The best
-   path under channel and language model, found by Viterbi search, is the restored text. Other words pass unchanged.
+2. Disguised spans become character lattices: words with digits or symbols in any place, letters drawn out three times
+   or more, words whose parts are set apart by other characters, and runs of parts of up to four characters set apart by
+   blanks. Each written character may stand for itself, for a letter it resembles, or for nothing, a star inside a word for
+   any letter, and what sets parts apart may be deleted. The best path under channel and language model, found by Viterbi
+   search, is the restored text. Where parts are joined, and where a word has no plain letter, the written parts count as
+   words beside the restored ones. Other words pass unchanged.
 3. Words of restored texts are weighed against ``labels.toxic``: each word's document counts by label (equal texts count
    once) give a likelihood-ratio statistic G2. All words above ``least_g2`` whose false-discovery rate (Benjamini-Hochberg
    over the words in three or more rows) is at most ``discovery`` enter a ridge logistic regression fitted on patterns of
@@ -15,7 +18,7 @@ The label model sees restored words only: ids, languages, sources and labels are
 
 Cases: null and empty texts get the score of a text without any weighed word; without labelled rows that is the prior of
 ``toxic`` of one in a hundred; labels that are null are unlabelled rows; a document labelled more than once counts once
-per label; very long words (over 40 bytes) are not restored, as no word is that long; repeated ids and null ids are
+per label; runs of one character are read as three of them, and words of any length are restored; repeated ids and null ids are
 scored row by row; other columns are ignored.
 """
 
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outagegrid.llm.common import fold, stored, text_or_empty
+from outagegrid.llm.common import LOWER_BYTES, fold, stored, text_or_empty
 
 # Which letters a written character may stand for.
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "+": "t", "|": "il"}
@@ -41,12 +44,16 @@ KEPT = set(range(97, 123)) | set(range(48, 58)) | set(SYMBOLS) | set(range(128,
 CLEAN_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b in KEPT else 32 for b in range(256))
 ORDER, SIZE = 4, 28  # symbols: 0 blank, 1-26 letters, 27 any other letter
 SYMBOL_BYTES = bytes(b - 64 if 65 <= b <= 90 else b - 96 if 97 <= b <= 122 else 27 if b >= 128 else 0 for b in range(256))
-APART = re.compile(rb"(?<![^ ])[a-z0-9@$!+|](?: +[a-z0-9@$!+|]){3,}(?![^ ])")
+STARRED = bytes(42 if b == 42 else c for b, c in enumerate(CLEAN_BYTES))  # with the stars left
+STAR = re.compile(rb"(?<=[a-z0-9@$!+|])\*+(?=[a-z0-9@$!+|])")
+# Parts of up to four bytes, set apart by blanks.
+APART = re.compile(rb"(?<![^ ])[a-z0-9@$!+|]{1,4}(?: +[a-z0-9@$!+|]{1,4})+(?![^ ])")
+RUN = re.compile(rb"(.)\1{3,}", re.DOTALL)
 DRAWN_OUT = re.compile(rb"([a-z])\1\1")
 LETTERS, STRANGE = re.compile(rb"[a-z]"), re.compile(rb"[0-9@$!+|]")
-LONGEST = 40
 # Channel log-probabilities: a letter disguised, a written character that stands for nothing, a blank inside a word.
 DISGUISED, NOTHING, JOINED = math.log(0.3), math.log(0.2), math.log(0.5)
+ANY = DISGUISED
 
 
 def character_counts(texts: DataFrame) -> np.ndarray:
@@ -101,29 +108,34 @@ def decode(written: bytes, model: np.ndarray) -> bytes:
             options = [(ord(c) - 96, 0.0)]
             if c == before:
                 options.append((-1, NOTHING))
+        elif c == "*":
+            options = [(x, ANY) for x in range(1, 27)] + [(0, JOINED), (-1, NOTHING)]
         elif c in LOOKALIKES:
             options = [(ord(x) - 96, DISGUISED) for x in LOOKALIKES[c]] + [(-1, 2 * NOTHING)]
         else:
             options = [(27, 0.0)]
         before = c
         steps.append(options)
-    best: dict[int, tuple[float, bytes]] = {0: (0.0, b"")}
+    best: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}  # state: (score, path as linked symbols)
     top = SIZE ** (ORDER - 1)
-    for k, options in enumerate([*steps, [(0, 0.0)]]):
-        then: dict[int, tuple[float, bytes]] = {}
-        for state, (score, text) in best.items():
+    for options in [*steps, [(0, 0.0)]]:
+        then: dict[int, tuple[float, tuple | None]] = {}
+        for state, (score, path) in best.items():
             for symbol, cost in options:
                 if symbol < 0:
-                    to, total, out = state, score + cost, text
+                    to, total, out = state, score + cost, path
                 else:
                     at = state * SIZE + symbol
-                    to, total = at % top, score + cost + float(model[at])
-                    out = text + (b" " if symbol == 0 else bytes([symbol + 96]) if symbol < 27 else b"?")
+                    to, total, out = at % top, score + cost + float(model[at]), (path, symbol)
                 held = then.get(to)
-                if held is None or (total, out) > held:
+                if held is None or total > held[0]:
                     then[to] = (total, out)
         best = then
-    return max(best.values())[1].strip()
+    path, symbols = max(best.values(), key=lambda x: x[0])[1], []
+    while path is not None:
+        path, symbol = path
+        symbols.append(32 if symbol == 0 else symbol + 96 if symbol < 27 else 63)
+    return bytes(symbols[::-1]).strip()
 
 
 class Restored(dict):
@@ -136,12 +148,14 @@ class Restored(dict):
     def __missing__(self, word: bytes) -> tuple[bytes, ...]:
         if len(self) > 500_000:
             self.clear()
-        core = word.rstrip(SYMBOLS)
-        strange = DRAWN_OUT.search(core) or STRANGE.search(core)
-        if strange and len(core) <= LONGEST and len(LETTERS.findall(core)) >= 2:
-            out = tuple(decode(core, self.model).split())
+        if b" " in word or b"*" in word:  # parts set apart: what is joined counts beside what is written
+            out = tuple(decode(RUN.sub(rb"\1\1\1", word), self.model).split())
+        elif DRAWN_OUT.search(word) or STRANGE.search(word):
+            out = tuple(decode(RUN.sub(rb"\1\1\1", word), self.model).split())
+            if not LETTERS.search(word):
+                out += (word,)
         else:
-            out = (core.strip(SYMBOLS),) if core.strip(SYMBOLS) else ()
+            out = (word,)
         self[word] = out
         return out
 
@@ -149,9 +163,16 @@ class Restored(dict):
 def restored_words(data: bytes, memo: Restored) -> set[bytes]:
     """Distinct clean words of a whole text."""
     clean = data.translate(CLEAN_BYTES)
-    if APART.search(clean):
-        clean = APART.sub(lambda m: b" " + decode(re.sub(rb" +", b" ", m.group()), memo.model) + b" ", clean)
-    return {w for written in set(clean.split()) for w in memo[written]}
+    written = set(clean.split())
+    for m in APART.finditer(clean):
+        written.add(re.sub(rb" +", b" ", m.group()))
+    # Parts of one written word, set apart by characters that are neither blank nor kept; stars inside it.
+    for word in set(data.translate(LOWER_BYTES).split()):
+        if word.translate(CLEAN_BYTES) != word:
+            span = b" ".join(STAR.sub(b"\0", word.translate(STARRED)).replace(b"*", b" ").replace(b"\0", b"*").split())
+            if b" " in span or b"*" in span:
+                written.add(span)
+    return {w for span in written for w in memo[span]}
 
 
 def _bytes_of(docs: DataFrame) -> DataFrame:

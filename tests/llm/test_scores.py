@@ -249,6 +249,31 @@ def test_the_fit_reads_all_patterns(spark):
     assert np.abs(x.T @ (n * (p - y)) + 0.05 * np.r_[got, 0.0]).max() < 1e-2
 
 
+@pytest.fixture(scope="module")
+def memo():
+    counts = np.zeros(toxicity.SIZE**toxicity.ORDER)
+    clean = "river window letter summer garden silver market people morning thing it is in the of a an".split()
+    text = " ".join(random.Random(4).choices(clean, k=4000) + ["idiot", "worthless", "stupid", "die", "ass"] * 30)
+    s = [0, 0, 0, *text.encode().translate(toxicity.SYMBOL_BYTES), 0]
+    for k in range(len(s) - 3):
+        counts[((s[k] * 28 + s[k + 1]) * 28 + s[k + 2]) * 28 + s[k + 3]] += 1
+    return toxicity.Restored(toxicity.character_model(counts))
+
+
+@pytest.mark.parametrize("written,word", [
+    ("worthle$$", "worthless"), ("an id1o+ it", "idiot"), ("1d107", "idiot"), ("@$$", "ass"), ("st" + "u" * 60 + "pid", "stupid"),
+    ("d i e", "die"), ("an id iot is", "idiot"), ("an id.iot", "idiot"), ("wor-thless", "worthless"), ("st*pid", "stupid"),
+    ("idiot!", "idiot"),
+])
+def test_each_disguise_is_restored(memo, written, word):
+    assert word.encode() in toxicity.restored_words(written.encode(), memo)
+
+
+def test_plain_words_stay(memo):
+    assert toxicity.restored_words(b"The river, in summer. It is 100", memo) >= {b"the", b"river", b"in", b"summer", b"it", b"is", b"100"}
+    assert toxicity.restored_words(b"a1" * 20_000, memo)
+
+
 def test_toxicity_hard_rows(make, hard, labels):
     for docs in (make(hard), make(hard).where("false")):
         got = toxicity.score(docs, labels).collect()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from outagegrid.llm import (
     bpe, decontaminate, exact_dedup, lm_score, near_dedup, pii, substring_dedup, token_counts, token_files,
-    toxicity,
+    toxicity, vector_codes,
 )
 from outagegrid.llm.common import table
 from outagegrid.session import scratch_path
@@ -118,3 +118,52 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.attribute(docs, path, ["source", "lang", "text"], separator=" ")
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """The rounds written out: w0 assigns to the seeds b0, b1 has their means, and so on; the last w is the result."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+    w{k} AS MATERIALIZED (
+        SELECT i, part, m % {entries} AS e, m // {entries} AS d FROM (
+            SELECT p.i, p.part, min({entries} * list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) + b.e) AS m
+            FROM p JOIN b{k} b ON b.part = p.part GROUP BY p.i, p.part)
+    )""")
+        if k < rounds:
+            steps.append(f"""
+    s{k} AS (
+        SELECT w.part, w.e, u.pos, sum(p.v[u.pos]) AS s, count(*) AS n
+        FROM w{k} w JOIN p ON p.i = w.i AND p.part = w.part, unnest(range(1, len(p.v) + 1)) AS u(pos) GROUP BY ALL
+    ),
+    m{k} AS (
+        SELECT part, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS v FROM s{k} GROUP BY part, e
+    ),
+    b{k + 1} AS MATERIALIZED (
+        SELECT b.part, b.e, coalesce(m.v, b.v) AS v FROM b{k} b LEFT JOIN m{k} m ON m.part = b.part AND m.e = b.e
+    )""")
+    return f"""
+    WITH k AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY vec_id) AS i, vec_id, label,
+               list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    p AS MATERIALIZED (
+        SELECT i, q.part, list_slice(v, q.part * len(v) // {parts} + 1, (q.part + 1) * len(v) // {parts}) AS v
+        FROM k, unnest(range({parts})) AS q(part)
+    ),
+    b0 AS MATERIALIZED (SELECT part, i - 1 AS e, v FROM p WHERE i <= {entries}), {",".join(steps)},
+    r AS (
+        SELECT i, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+        FROM w{rounds} GROUP BY i
+    ),
+    h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM b{rounds})
+    SELECT k.vec_id, r.code, r.error, CAST(sum(r.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error, h.codebooks_sha256
+    FROM k JOIN r ON r.i = k.i, h
+    """
+
+
+@query(_codes_sql())
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(table(spark, folder, "embeddings"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outagegrid.llm import (
-    bpe, decontaminate, exact_dedup, lm_score, near_dedup, pii, substring_dedup, token_counts, token_files,
+    block_search, bpe, decontaminate, exact_dedup, lm_score, near_dedup, pii, substring_dedup, token_counts, token_files,
     toxicity, vector_codes,
 )
 from outagegrid.llm.common import table
@@ -120,6 +120,23 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.attribute(docs, path, ["source", "lang", "text"], separator=" ")
 
 
+@query("""
+    WITH v AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), d AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+        FROM v q JOIN v c ON len(c.v) = len(q.v) AND c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+    )
+    SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM d
+    WINDOW w AS (PARTITION BY query_id ORDER BY score, vec_id) QUALIFY row_number() OVER w <= 10
+""")
+def op11_block_search(spark: SparkSession, folder: str) -> DataFrame:
+    return block_search.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
     """The rounds written out: w0 assigns to the seeds b0, b1 has their means, and so on; the last w is the result."""
     steps = []

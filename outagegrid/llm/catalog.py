@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outagegrid.llm import (
-    block_search, bpe, decontaminate, exact_dedup, lm_score, near_dedup, pii, substring_dedup, token_counts, token_files,
-    toxicity, vector_codes,
+    block_search, bpe, decontaminate, exact_dedup, lm_score, near_dedup, pii, spelling, substring_dedup, token_counts,
+    token_files, toxicity, vector_codes,
 )
 from outagegrid.llm.common import table
 from outagegrid.session import scratch_path
@@ -184,3 +184,52 @@ def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
 @query(_codes_sql())
 def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.compress(table(spark, folder, "embeddings"))
+
+
+def _crc_nibbles(polynomial: int = 0xEDB88320) -> list[int]:
+    """The sixteen steps of a reflected crc32 by half bytes."""
+    table = list(range(16))
+    for _ in range(4):
+        table = [(c >> 1) ^ polynomial if c & 1 else c >> 1 for c in table]
+    return table
+
+
+# Half a byte at a time, low half first; text to UTF-8 bytes for letters below 0x800.
+_CRC_SQL = f"""xor(list_reduce(
+    flatten(list_transform(flatten(list_transform(string_split(t, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)]
+        ELSE [192 + unicode(c) // 64, 128 + unicode(c) % 64] END)), lambda b: [CAST(b % 16 AS BIGINT), CAST(b // 16 AS BIGINT)])),
+    lambda c, b: xor(c >> 4, CAST({_crc_nibbles()}[xor(c % 16, b) + 1] AS BIGINT)), CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+
+@query(f"""
+    WITH RECURSIVE r AS (
+        SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{{7,}}')),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+    ), d AS (SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS t, count(*) AS n FROM r GROUP BY ALL),
+    h AS (SELECT run, n, {_CRC_SQL} AS h FROM d),
+    o AS (
+        SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+        FROM h
+    ), w AS MATERIALIZED (
+        SELECT word, CAST(sum(n) AS BIGINT) AS n FROM o WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+    ), c AS MATERIALIZED (
+        SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+        FROM w, unnest(range(1, length(word) + 1)) AS u(i)
+    ), p AS (
+        SELECT a.word AS a, b.word AS b FROM c a JOIN c b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+        UNION SELECT c.word, w.word FROM c JOIN w ON c.rest = w.word
+        UNION SELECT w.word, c.word FROM c JOIN w ON c.rest = w.word
+    ), g AS (
+        SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, encode(b)) AS best, max(n) AS best_n
+        FROM p JOIN w ON w.word = b GROUP BY a
+    ), f AS MATERIALIZED (
+        SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * w.n THEN best END AS form,
+               CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n
+        FROM w LEFT JOIN g ON g.word = w.word
+    ), z AS (
+        SELECT word, word AS root FROM f UNION ALL SELECT z.word, f.form FROM z JOIN f ON f.word = z.root WHERE f.form IS NOT NULL
+    ), t AS (SELECT z.word, z.root FROM z JOIN f ON f.word = z.root WHERE f.form IS NULL)
+    SELECT f.word, f.form, t.root, f.n, f.n_near, f.form_n FROM f JOIN t ON t.word = f.word
+""")
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))

@@ -46,40 +46,43 @@ def _edge_constants(ring: list[tuple[float, float]]) -> Column:
     )
 
 
-def inside_ring(lon: Column, lat: Column, ring: list[tuple[float, float]]) -> Column:
-    """Even-odd rule, with points on an edge counted as outside. A bounding-box test runs first."""
-    edges = _edge_constants(ring)
+def crosses_east(lon: Column, lat: Column, e: Column) -> Column:
+    """Whether a ray east from the place crosses the edge."""
+    x = (e["x1"] - e["x0"]) * (lat - e["y0"]) / F.nullif(e["y1"] - e["y0"], F.lit(0.0)) + e["x0"]
+    return F.coalesce(((e["y0"] > lat) != (e["y1"] > lat)) & (lon < x), F.lit(False))
+
+
+def touches(lon: Column, lat: Column, e: Column) -> Column:
+    """Whether the place is on the edge."""
+    turn = (e["x1"] - e["x0"]) * (lat - e["y0"]) - (e["y1"] - e["y0"]) * (lon - e["x0"])
+    return (
+        (turn == 0)
+        & lon.between(F.least(e["x0"], e["x1"]), F.greatest(e["x0"], e["x1"]))
+        & lat.between(F.least(e["y0"], e["y1"]), F.greatest(e["y0"], e["y1"]))
+    )
 
-    def crosses(e: Column) -> Column:
-        return ((e["y0"] > lat) != (e["y1"] > lat)) & (
-            lon < (e["x1"] - e["x0"]) * (lat - e["y0"]) / F.nullif(e["y1"] - e["y0"], F.lit(0.0)) + e["x0"]
-        )
 
-    def touches(e: Column) -> Column:
-        turn = (e["x1"] - e["x0"]) * (lat - e["y0"]) - (e["y1"] - e["y0"]) * (lon - e["x0"])
-        return (
-            (turn == 0)
-            & lon.between(F.least(e["x0"], e["x1"]), F.greatest(e["x0"], e["x1"]))
-            & lat.between(F.least(e["y0"], e["y1"]), F.greatest(e["y0"], e["y1"]))
-        )
+def edge_degrees(lon: Column, lat: Column, e: Column) -> Column:
+    """Distance of the place to the edge."""
+    dx, dy = e["x1"] - e["x0"], e["y1"] - e["y0"]
+    along = ((lon - e["x0"]) * dx + (lat - e["y0"]) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0))))
+    ex, ey = lon - (e["x0"] + t * dx), lat - (e["y0"] + t * dy)
+    return F.sqrt(ex * ex + ey * ey)
+
 
-    odd = F.size(F.filter(edges, lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1
+def inside_ring(lon: Column, lat: Column, ring: list[tuple[float, float]]) -> Column:
+    """Even-odd rule, with points on an edge counted as outside. A bounding-box test runs first."""
+    edges = _edge_constants(ring)
+    odd = F.size(F.filter(edges, lambda e: crosses_east(lon, lat, e))) % 2 == 1
     xs, ys = [float(p[0]) for p in ring], [float(p[1]) for p in ring]
     in_box = lon.between(min(xs), max(xs)) & lat.between(min(ys), max(ys))
-    return F.when(in_box, odd & ~F.exists(edges, touches)).otherwise(False)
+    return F.when(in_box, odd & ~F.exists(edges, lambda e: touches(lon, lat, e))).otherwise(False)
 
 
 def boundary_km(lon: Column, lat: Column, ring: list[tuple[float, float]]) -> Column:
     """Shortest distance to any edge of the ring, degrees times 111."""
-
-    def to_edge(e: Column) -> Column:
-        dx, dy = e["x1"] - e["x0"], e["y1"] - e["y0"]
-        along = ((lon - e["x0"]) * dx + (lat - e["y0"]) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
-        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0))))
-        ex, ey = lon - (e["x0"] + t * dx), lat - (e["y0"] + t * dy)
-        return F.sqrt(ex * ex + ey * ey)
-
-    return F.array_min(F.transform(_edge_constants(ring), to_edge)) * F.lit(float(KM_PER_DEGREE))
+    return F.array_min(F.transform(_edge_constants(ring), lambda e: edge_degrees(lon, lat, e))) * F.lit(float(KM_PER_DEGREE))
 
 
 def circle_ring(lat: Column, lon: Column, radius_km: Column, vertices: int = 64) -> Column:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from outagegrid.functions import geo
-from outagegrid.operators import alerts, graph, spatial
+from outagegrid.operators import alerts, areas, graph, spatial
 from outagegrid.plans.alerting import storm_alerts
 from outagegrid.plans.catalog import CTES, query, rounded
 from outagegrid.plans.views import RING, frame
+from outagegrid.sources import geojson
 
 STORM, AVERAGE_RISK = "Hurricane Cat 1", 0.3
 
@@ -194,6 +195,80 @@ def boundary_distance(spark, folder):
     return _subs(spark, folder).select("node_id", F.round(km, 6).alias("edge_km"))
 
 
+# Every nation is a storm of two parts, the first with a hole, which overlaps other storms. Both sides draw the same rings.
+AREA_RINGS = [
+    (0, 0, [(0.0, 0.0), (0.62, 0.05), (0.55, 0.31), (0.3, 0.2), (0.02, 0.33)]),
+    (0, 1, [(0.2, 0.06), (0.42, 0.08), (0.3, 0.15)]),
+    (1, 0, [(0.7, 0.1), (0.95, 0.1), (0.8, 0.35)]),
+]
+CTES["a_rings"] = "SELECT * FROM (VALUES {}) AS t(part, ring, i, dx, dy)".format(
+    ", ".join(f"({p}, {r}, {i}, {x}e0, {y}e0)" for p, r, ring in AREA_RINGS for i, (x, y) in enumerate([*ring, ring[0]]))
+)
+CTES["a_places"] = """
+SELECT concat('storm_', CAST(n_nationkey AS VARCHAR)) AS storm, part, ring, i,
+       (-74e0 + (n_nationkey % 5) * 0.3e0) + dx AS lon, (40.45e0 + (n_nationkey // 5) * 0.11e0) + dy AS lat
+FROM nation CROSS JOIN a_rings"""
+CTES["a_edges"] = """
+SELECT a.storm, a.part, a.lon AS x0, a.lat AS y0, b.lon AS x1, b.lat AS y1
+FROM a_places a JOIN a_places b ON b.storm = a.storm AND b.part = a.part AND b.ring = a.ring AND b.i = a.i + 1"""
+CTES["a_tests"] = """
+SELECT s.node_id, storm, part,
+       CASE WHEN (y0 > lat) <> (y1 > lat) AND lon < (x1 - x0) * (lat - y0) / nullif(y1 - y0, 0e0) + x0 THEN 1 ELSE 0 END AS crossing,
+       CASE WHEN (x1 - x0) * (lat - y0) - (y1 - y0) * (lon - x0) = 0 AND lon BETWEEN least(x0, x1) AND greatest(x0, x1)
+             AND lat BETWEEN least(y0, y1) AND greatest(y0, y1) THEN 1 ELSE 0 END AS touching,
+       greatest(0e0, least(1e0, ((lon - x0) * (x1 - x0) + (lat - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) AS t,
+       lon, lat, x0, y0, x1, y1
+FROM v_sub s CROSS JOIN a_edges"""
+CTES["a_exposed"] = """
+SELECT node_id, storm, bool_or(inside) AS in_storm_zone, min(km) AS edge_km FROM (
+  SELECT node_id, storm, part, sum(crossing) % 2 = 1 AND max(touching) = 0 AS inside,
+         min(sqrt((lon - (x0 + t * (x1 - x0))) * (lon - (x0 + t * (x1 - x0))) + (lat - (y0 + t * (y1 - y0))) * (lat - (y0 + t * (y1 - y0))))) * 111e0 AS km
+  FROM a_tests GROUP BY node_id, storm, part) GROUP BY node_id, storm"""
+
+
+def _areas(spark, folder):
+    """The nations' storms as GeoJSON documents, read back as an area table."""
+    key = F.col("n_nationkey")
+    lon, lat = F.lit(-74.0) + (key % 5) * F.lit(0.3), F.lit(40.45) + F.floor(key / 5) * F.lit(0.11)
+    ring = lambda places: F.array(*[F.array(lon + x, lat + y) for x, y in [*places, places[0]]])
+    parts = [F.array(*[ring(places) for p, _, places in AREA_RINGS if p == part]) for part in (0, 1)]
+    feature = F.struct(
+        F.struct(F.concat(F.lit("storm_"), key.cast("string")).alias("storm")).alias("properties"),
+        F.struct(F.lit("MultiPolygon").alias("type"), F.array(*parts).alias("coordinates")).alias("geometry"),
+    )
+    nations = spark.read.parquet(f"{folder}/nation.parquet")
+    return geojson.area_rows(nations.select(key.cast("string").alias("path"), F.to_json(F.struct(F.array(feature).alias("features"))).alias("value")))
+
+
+@query("SELECT node_id, storm FROM a_exposed WHERE in_storm_zone")
+def point_in_area(spark, folder):
+    return areas.points_in_areas(_subs(spark, folder), _areas(spark, folder)).select("node_id", "storm")
+
+
+@query("SELECT node_id, storm, round(edge_km, 6) AS edge_km FROM a_exposed WHERE edge_km < 30")
+def area_boundary_distance(spark, folder):
+    """Distances to the boundaries of all storms within 30 km, from inside and outside."""
+    found = areas.exposure(_subs(spark, folder), areas.area_index(_areas(spark, folder), 30.0), 30.0)
+    return found.where(F.col("edge_km").isNotNull()).select("node_id", "storm", F.round("edge_km", 6).alias("edge_km"))
+
+
+@query("""
+SELECT node_id, storm, in_storm_zone, round(risk, 6) AS adjusted_risk FROM (
+  SELECT b.node_id, e.storm, e.in_storm_zone,
+         CASE WHEN in_storm_zone THEN least(0.999e0, base_risk * m)
+              WHEN edge_km < 30 THEN least(0.999e0, base_risk * m * (1 - edge_km / 60)) END AS risk
+  FROM (SELECT *, CASE WHEN CAST(substr(storm, 7) AS INT) % 2 = 0 THEN 2e0 ELSE 1.5e0 END AS m FROM a_exposed) e
+  JOIN g_base b ON b.node_id = e.node_id
+  UNION ALL SELECT node_id, NULL, false, base_risk FROM g_base) WHERE risk > 0.4e0""")
+def at_risk_by_area(spark, folder):
+    """Substations at risk under each of several storms at once, and those at risk without any."""
+    storms = _areas(spark, folder)
+    even = F.substring("storm", 7, 9).cast("int") % 2 == 0
+    types = storms.select("storm").distinct().withColumn("storm_type", F.when(even, "Hurricane Cat 1").otherwise("Winter Storm"))
+    found = areas.at_risk_by_area(graph.base_risk(_nodes(spark, folder), AVERAGE_RISK), storms, types)
+    return found.select("node_id", "storm", "in_storm_zone", F.round("adjusted_risk", 6).alias("adjusted_risk"))
+
+
 @query(
     "SELECT node_id, base_risk, in_storm_zone, round(edge_km, 6) AS edge_km, round(adjusted_risk, 6) AS adjusted_risk "
     "FROM g_exposed"

@@ -292,6 +292,11 @@ def _mixed_order():
     return [(hours * 7919 + F.col("fips").cast("bigint") * 104729) % 1000003, F.col("fips"), F.col("hour")]
 
 
+def _mixed_digit():
+    """The leading part of the mixed order, some thousands of values."""
+    return F.floor(_mixed_order()[0] / 256)
+
+
 @query(
     f"""SELECT fips, hour, year, outage_label FROM (
   SELECT *, row_number() OVER (PARTITION BY year, outage_label ORDER BY {MIXED_SQL}, fips, hour) AS rn,
@@ -299,7 +304,7 @@ def _mixed_order():
 WHERE outage_label = 1 OR rn <= 4 * positives"""
 )
 def negative_downsample(spark, folder):
-    kept = sampling.negative_downsample(_labelled(spark, folder), order=_mixed_order())
+    kept = sampling.negative_downsample(_labelled(spark, folder), order=_mixed_order(), digit=_mixed_digit())
     return kept.select("fips", "hour", "year", "outage_label")
 
 
@@ -310,13 +315,13 @@ def negative_downsample(spark, folder):
 WHERE rn <= least(150000, positives)"""
 )
 def balanced_sample(spark, folder):
-    kept = sampling.balanced_sample(_labelled(spark, folder), order=_mixed_order())
+    kept = sampling.balanced_sample(_labelled(spark, folder), order=_mixed_order(), digit=_mixed_digit())
     return kept.select("fips", "hour", "outage_label")
 
 
 @query(f"SELECT fips, hour, outage_label FROM c_labelled ORDER BY {MIXED_SQL}, fips, hour LIMIT 1000")
 def uniform_sample(spark, folder):
-    return sampling.uniform_sample(_labelled(spark, folder), 1000, order=_mixed_order()).select(
+    return sampling.uniform_sample(_labelled(spark, folder), 1000, order=_mixed_order(), digit=_mixed_digit()).select(
         "fips", "hour", "outage_label"
     )
 

@@ -159,6 +159,20 @@ def line_rows(documents: DataFrame) -> DataFrame:
     )
 
 
+def area_rows(documents: DataFrame) -> DataFrame:
+    """storm, part, hole, ring: all polygons of all features, a row per ring. A storm is named by the property ``storm``,
+    else ``name``; features of one name are parts of one storm, those without a name have a number of their own."""
+    found = _features(documents).where(F.col("kind").isin("Polygon", "MultiPolygon"))
+    one = F.array(F.from_json("coordinates", "array<array<array<double>>>"))
+    polygons = F.when(F.col("kind") == "Polygon", one).otherwise(F.from_json("coordinates", "array<array<array<array<double>>>>"))
+    named = F.coalesce(*[F.nullif(F.try_element_at("p", F.lit(k)), F.lit("")) for k in ("storm", "name")])
+    return (
+        found.select(F.coalesce(named, F.concat(F.lit("area_"), F.col("ord").cast("string"))).alias("storm"), "ord", F.posexplode(polygons).alias("at", "polygon"))
+        .select("storm", F.struct("ord", "at").alias("part"), F.explode(_rings(F.col("polygon"))).alias("r"))
+        .select("storm", "part", "r.hole", "r.ring")
+    )
+
+
 def read_storm_ring(spark: SparkSession, path: str) -> list[tuple[float, float]]:
     """The outline of the first feature of one storm file, as a parameter for the risk operators. A missing file raises."""
     ring = F.from_json("value", OUTLINE)["features"][0]["geometry"]["coordinates"][0]

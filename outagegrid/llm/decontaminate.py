@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outagegrid.llm.common import stored, text_or_empty
+from outagegrid.llm.common import fresh, quoted, stored, text_or_empty
 from outagegrid.llm.shingles import MEMO_WORDS, STEP, WordHashes, mixed
 
 NO_ID = 2**63 - 1
@@ -223,6 +223,7 @@ def leaks(docs: DataFrame, bench: DataFrame, least: int = 5, coverage: float = 0
 
 def without_leaks(docs: DataFrame, bench: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
-    gone = leaks(docs, bench, **settings).where("contaminated").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"))
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    return keyed.join(gone, "_id", "left_anti").select(*docs.columns)
+    id_ = fresh(docs, "_id")
+    gone = leaks(docs, bench, **settings).where("contaminated").select(F.coalesce("doc_id", F.lit(NO_ID)).alias(id_))
+    keyed = docs.withColumn(id_, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    return keyed.join(gone, id_, "left_anti").select(*quoted(docs))

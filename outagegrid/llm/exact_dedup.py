@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outagegrid.llm.common import lower_ascii, text_or_empty, with_settings
+from outagegrid.llm.common import fresh, lower_ascii, quoted, text_or_empty, with_settings
 from outagegrid.session import scratch_path
 
 NO_ID = -(2**63)
@@ -76,14 +76,14 @@ def update_state(spark: SparkSession, prints: str, state: str) -> DataFrame:
 
 
 def decide(
-    docs: DataFrame, state: str | None = None, digest: Callable[[Column], Column] = sha256_bytes
+    docs: DataFrame, state: str | None = None, digest: Callable[[Column], Column] = sha256_bytes, prints: str | None = None
 ) -> DataFrame:
     """doc_id, keep_id, group_size, kept, locator (of the row that stays) and digest for every document.
 
     Runs jobs while it is called: it writes fingerprints and state to the shared folder.
     """
     spark = docs.sparkSession
-    prints, held = scratch_path(spark, "prints"), scratch_path(spark, "state")
+    prints, held = prints or scratch_path(spark, "prints"), scratch_path(spark, "state")
     fingerprints(docs, digest).write.parquet(prints)
     update_state(spark, prints, state or scratch_path(spark, "dedup")).write.parquet(held)
     groups, rows = spark.read.parquet(held), spark.read.parquet(prints).drop("locator")
@@ -122,11 +122,18 @@ def _finish(df: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of equal texts the row with the largest doc_id."""
-    gone = decide(docs).where("not kept").select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("digest").alias("_digest")
-    )
-    keyed = docs.withColumns({
-        "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_digest": sha256_bytes(lower_ascii(text_or_empty())),
-    })
-    return keyed.join(gone, ["_id", "_digest"], "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that stay: of equal texts the row with the largest doc_id. Of rows that repeat both, one stays,
+    the largest by all columns."""
+    spark = docs.sparkSession
+    id_, digest = fresh(docs, "_id"), fresh(docs, "_digest")
+    prints = scratch_path(spark, "prints")
+    key = [F.coalesce("doc_id", F.lit(NO_ID)).alias(id_), F.col("digest").alias(digest)]
+    gone = decide(docs, prints=prints).where("not kept").select(*key)
+    repeated = spark.read.parquet(prints).groupBy(*key).count().where(F.col("count") > 1).select(id_, digest)
+    stay = docs.withColumns({
+        id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), digest: sha256_bytes(lower_ascii(text_or_empty())),
+    }).join(gone, [id_, digest], "left_anti")
+    if repeated.isEmpty():
+        return stay.select(*quoted(docs))
+    twice = stay.join(repeated, [id_, digest], "left_semi").groupBy(id_, digest).agg(F.max(F.struct(*quoted(docs))).alias(id_ + "row"))
+    return stay.join(repeated, [id_, digest], "left_anti").select(*quoted(docs)).unionByName(twice.select(id_ + "row.*"))

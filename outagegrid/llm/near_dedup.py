@@ -2,8 +2,9 @@
 
 Two small collections of ``rows`` keys are computed per document, each key made of ``band`` minhashes. Table (i, j) is
 keyed by the pair (u_i, v_j): ``rows``^2 tables for 2 x ``rows`` x ``band`` minhashes, the square root of what separate
-tables would need. Two documents of similarity s meet in some table with probability (1 - (1 - s^band)^rows)^2; with the
-defaults 7e-5 of the pairs exactly at 0.85 stay apart, and 4e-6 at 0.90.
+tables would need. Two documents of similarity s meet in some table with probability (1 - (1 - s^band)^rows)^2.
+``rows`` follows from the threshold, so that at most ``MOST_MISSED`` of the pairs exactly at it stay apart: 8 rows (7e-5) at
+0.85, 10 rows (7e-5) at 0.80.
 
 Documents with equal sets are one node from the start, by a 128-bit digest of the set. In every table each node is
 checked against a few of the table's nodes (the smallest id and the smallest under two hashes) on full shingle sets, which
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outagegrid.llm.common import stored, text_or_empty
+from outagegrid.llm.common import fresh, quoted, stored, text_or_empty
 from outagegrid.llm.components import components
 from outagegrid.llm.shingles import STEP, WordHashes, mixed, shingle_hashes
 
@@ -35,6 +36,8 @@ NO_ID = 2**63 - 1
 SKETCH_WORDS = 16
 SKETCH_SIGMAS = 6.0
 CENTERS = 3
+MOST_MISSED = 1e-4  # of the pairs exactly at the threshold, those that share no table
+MOST_ROWS = 64  # 4,096 tables
 
 
 def _minhashes(sets: list[np.ndarray], n: int, seed: int) -> np.ndarray:
@@ -205,12 +208,21 @@ def _remaining_pairs(shared: DataFrame, labels: DataFrame, nodes: DataFrame, set
     ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
+def rows_for(percent: int, band: int, most_missed: float = MOST_MISSED) -> int:
+    """The fewest rows a side for which a pair at ``percent`` shares no table with a probability of ``most_missed`` at most."""
+    rows, apart = 1, 1 - (percent / 100) ** band
+    while 1 - (1 - apart**rows) ** 2 > most_missed and rows < MOST_ROWS:
+        rows += 1
+    return rows
+
+
 def near_duplicates(
-    docs: DataFrame, width: int = 5, percent: int = 80, band: int = 2, rows: int = 8
+    docs: DataFrame, width: int = 5, percent: int = 80, band: int = 2, rows: int | None = None
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable over links), kept, copy_of (the node that stands
     for all documents with the same set). Documents are linked when 100 x intersection >= ``percent`` x union of their
     ``width``-word shingle sets. Runs jobs while it is called."""
+    rows = rows_for(percent, band) if rows is None else rows
     members = stored(sketches(docs, width, band, rows), "sketches")
     nodes = stored(
         members.where("n > 0").groupBy("set_a", "set_b", "n").agg(
@@ -248,6 +260,7 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near duplicates the one with the smallest doc_id."""
-    gone = near_duplicates(docs, **settings).where("not kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"))
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    return keyed.join(gone, "_id", "left_anti").select(*docs.columns)
+    id_ = fresh(docs, "_id")
+    gone = near_duplicates(docs, **settings).where("not kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias(id_))
+    keyed = docs.withColumn(id_, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    return keyed.join(gone, id_, "left_anti").select(*quoted(docs))

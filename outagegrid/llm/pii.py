@@ -11,7 +11,8 @@ the pattern counts.
 How positions are found: ``split`` by a pattern gives the text between matches, ``regexp_extract_all`` the matches, and
 their lengths add up to positions in code points. Java's matcher recurses on repeated groups, which very long texts would
 overflow; so separators that stand between two digits (dots between two domain characters) are first marked by one
-private character, and every pattern is a run of one character class.
+private character, and every pattern is a run of one character class. A run is tried from its first place only, and matches
+are put together in blocks, so time grows with the text and the number of matches, not with their squares.
 
 Cases: a null or empty text has no spans; numbers of any length are consumed whole; repeated ids and null ids are scored
 row by row; without any candidate the classifier adds nothing; other columns are ignored.
@@ -43,13 +44,28 @@ LABELERS = ["shape", "check", "gazetteer", "context", "company"]
 SPAN = "struct<start:int,end:int,match:string,before:string,after:string>"
 
 
-def _matches(pieces: Column, found: Column, context: int = 0) -> Column:
-    """Leftmost non-overlapping matches with their places: array of (start, end, match, before, after), the last two up to
-    ``context`` code points long. ``pieces`` is the text between the matches."""
-    none = F.array().cast(f"array<{SPAN}>")
+BLOCK = 64
+
+
+def _zipped(pieces: Column, found: Column) -> Column:
+    """Blocks of (gap, match, next gap): what is appended to an array is copied with it, so arrays stay short."""
     zipped = F.arrays_zip(
         F.slice(pieces, 1, F.size(found)).alias("gap"), found.alias("match"), F.slice(pieces, 2, F.size(found)).alias("next")
     )
+    blocks = F.sequence(F.lit(0), F.ceil(F.size(found) / BLOCK).cast("int") - 1)
+    return F.when(F.size(found) > 0, F.transform(blocks, lambda b: F.slice(zipped, b * BLOCK + 1, BLOCK)))
+
+
+def _lengths(blocks: Column) -> Column:
+    return F.transform(
+        blocks, lambda block: F.aggregate(block, F.lit(0), lambda n, p: n + F.length(p["gap"]) + F.length(p["match"]))
+    )
+
+
+def _matches(blocks: Column, lengths: Column, context: int = 0) -> Column:
+    """Leftmost non-overlapping matches with their places: array of (start, end, match, before, after), the last two up to
+    ``context`` code points long."""
+    none = F.array().cast(f"array<{SPAN}>")
 
     def add(state: Column, part: Column) -> Column:
         start = state["at"] + F.length(part["gap"])
@@ -61,7 +77,11 @@ def _matches(pieces: Column, found: Column, context: int = 0) -> Column:
         )
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(one.cast(SPAN))).alias("out"))
 
-    return F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda s: s["out"])
+    def placed(block: Column, k: Column) -> Column:
+        before = F.aggregate(F.slice(lengths, F.lit(1), k), F.lit(0), lambda n, x: n + x)
+        return F.aggregate(block, F.struct(before.alias("at"), none.alias("out")), add, lambda s: s["out"])
+
+    return F.flatten(F.transform(blocks, placed))
 
 
 def _digits(match: Column) -> Column:
@@ -92,14 +112,20 @@ def _marked_dots(text: Column) -> Column:
     return F.regexp_replace(F.translate(text, MARK, UNMARKED), r"(?<=[A-Za-z0-9-])\.(?=[A-Za-z0-9-])", MARK)
 
 
+def _run(chars: str) -> str:
+    """A whole run of a class, tried where it starts or where the last match ended: never again from every place inside, so
+    a search stays linear in the text."""
+    return rf"(?:\G|(?<![{chars}]))[{chars}]++"
+
+
 #: Name: (column to search, pattern, column that says whether a match is possible, context kept).
 PATTERNS = {
-    "email": ("dotted", f"[A-Za-z0-9._%+{MARK}-]+@[A-Za-z0-9-]+{MARK}[A-Za-z0-9{MARK}-]*", "has_at", 0),
-    "ip": ("t", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "has_digit", 0),
+    "email": ("dotted", _run(f"A-Za-z0-9._%+{MARK}-") + f"@[A-Za-z0-9-]+{MARK}[A-Za-z0-9{MARK}-]*", "has_at", 0),
+    "ip": ("t", _run("0-9") + r"\.[0-9]++\.[0-9]++\.[0-9]+", "has_digit", 0),
     "card": ("digits", f"[0-9][0-9{MARK}]+", "has_digit", 0),
     "phone": ("t", r"\+[0-9][\x20().0-9-]+[0-9]", "has_plus", 0),
     "number": ("digits", rf"(?<![\p{{L}}0-9])[+(]?[0-9][0-9{MARK}()./]+[0-9](?![\p{{L}}0-9])", "has_digit", 32),
-    "at": ("t", r"[^\x09-\x0D\x20@<>]+@[^\x09-\x0D\x20@<>]+", "has_at", 32),
+    "at": ("t", r"(?:\G|(?<=[\x09-\x0D\x20@<>]))[^\x09-\x0D\x20@<>]++@[^\x09-\x0D\x20@<>]+", "has_at", 32),
     "key": ("t", r"[A-Za-z0-9_]{16,}", "has_long", 32),
 }
 
@@ -124,10 +150,12 @@ def _matched(docs: DataFrame, keep: list[str]) -> DataFrame:
         )
     df = df.select(*keep, *[c.alias(k) for k, c in searched.items()])
     none = F.array().cast(f"array<{SPAN}>")
+    df = df.select(*keep, *[_zipped(F.col(f"gaps_{k}"), F.col(f"found_{k}")).alias(f"blocks_{k}") for k in PATTERNS])
+    df = df.select("*", *[_lengths(F.col(f"blocks_{k}")).alias(f"lengths_{k}") for k in PATTERNS])
     return df.select(
         *keep,
         *[
-            F.coalesce(_matches(F.col(f"gaps_{k}"), F.col(f"found_{k}"), context), none).alias(k)
+            F.coalesce(_matches(F.col(f"blocks_{k}"), F.col(f"lengths_{k}"), context), none).alias(k)
             for k, (_, _, _, context) in PATTERNS.items()
         ],
     )

@@ -215,10 +215,9 @@ def repeats_in_block(rows: list[tuple[int, int, int, bytes]], least: int) -> lis
     lengths = np.array([len(r[3]) for r in rows])
     ends = np.cumsum(lengths + 1)
     begins = ends - lengths - 1
-    text = np.frombuffer(b"\0".join(r[3] for r in rows) + b"\0", dtype=np.uint8).astype(np.int16) + 1
-    text[ends - 1] = 1  # behind every segment
+    text = np.frombuffer(b"\0".join(r[3] for r in rows) + b"\0", dtype=np.uint8).astype(np.int16) + 2
+    text[ends - 1] = 1  # behind every segment, and no byte's symbol
     text[-1] = 0
-    text[np.flatnonzero(text == 1)] = 1
     which = np.repeat(np.arange(len(rows)), lengths + 1)
     place = np.arange(len(text)) - begins[which]
     whole = place + least <= lengths[which]

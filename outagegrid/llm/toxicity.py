@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outagegrid.llm.common import LOWER_BYTES, fold, stored, text_or_empty
+from outagegrid.llm.common import LOWER_BYTES, fold, fresh, quoted, stored, text_or_empty
 
 # Which letters a written character may stand for.
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "+": "t", "|": "il"}
@@ -341,4 +341,5 @@ def score(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
 
 def reject(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic."""
-    return with_score(docs, labels, "_toxic_score", **settings).where("_toxic_score < 0.5").select(*docs.columns)
+    name = fresh(docs, "_toxic_score")
+    return with_score(docs, labels, name, **settings).where(F.col(name) < 0.5).select(*quoted(docs))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from outagegrid.llm import exact_dedup, near_dedup, substring_dedup
+from outagegrid.llm import decontaminate, exact_dedup, near_dedup, substring_dedup
 from outagegrid.llm.components import components
 from outagegrid.llm.suffix_array import permuted_common_prefixes, suffix_array
 
@@ -181,6 +181,42 @@ def test_repeats_against_all_windows(make, settings):
     assert got == brute_repeats(rows, 100)
 
 
+def test_segments_with_nul_bytes():
+    rng = random.Random(2)
+    for _ in range(300):
+        texts = ["".join(rng.choices("a\0b", k=rng.randint(4, 9))) for _ in range(rng.randint(2, 6))]
+        texts = list(dict.fromkeys(texts))
+        rows = [(i, 0, 0, t.encode()) for i, t in enumerate(texts)]
+        gone = {i: set() for i in range(len(texts))}
+        for i, _, a, b in substring_dedup.repeats_in_block(rows, 4):
+            gone[i] |= set(range(a, b))
+        for i, (n, removed, _, _) in brute_repeats(list(enumerate(texts)), 4).items():
+            assert len(gone[i]) == removed
+    rows = [(i, 0, 0, t) for i, t in enumerate([b"abcd", b"efgh", b"ccxx", b"cd\0efgz"])]
+    assert substring_dedup.repeats_in_block(rows, 4) == []
+
+
+def test_rows_that_stay_keep_all_their_columns(spark, make):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, text), (2, text), (3, text + " more"), (4, "other words"), (4, "other words"), (4, "OTHER words"), (None, "x y"), (None, "x y")]
+    docs = make(rows).selectExpr(
+        "*", "concat('u', doc_id) AS _id", "'d' AS _digest", "0.5 AS _toxic_score", "'p' AS `a.b`", "'k' AS keep_id", "'g' AS component_id"
+    )
+    exact = exact_dedup.keep_one(docs)
+    assert exact.columns == docs.columns
+    assert sorted((r.doc_id or 0, r._id, r._digest, r["a.b"]) for r in exact.collect()) == [
+        (0, None, "d", "p"), (2, "u2", "d", "p"), (3, "u3", "d", "p"), (4, "u4", "d", "p")]
+    near = near_dedup.keep_one(docs, width=5, percent=80)
+    assert near.columns == docs.columns and {(r.doc_id, r._id) for r in near.collect()} == {(1, "u1"), (4, "u4"), (None, None)}
+    bench = spark.createDataFrame([(1, text)], "item_id long, text string")
+    clean = decontaminate.without_leaks(docs, bench)
+    assert clean.columns == docs.columns and {(r.doc_id, r._id) for r in clean.collect()} == {(4, "u4"), (None, None)}
+
+
+def test_rows_follow_from_the_threshold():
+    assert [near_dedup.rows_for(p, 2) for p in (85, 80)] == [8, 10]
+
+
 def test_repeats_hard_rows(make, hard):
     got = substring_dedup.remove_repeats(make(hard)).collect()
     by = {r.doc_id: r for r in got if r.doc_id is not None}

@@ -12,7 +12,8 @@ How positions are found: ``split`` by a pattern gives the text between matches,
 their lengths add up to positions in code points. Java's matcher recurses on repeated groups, which very long texts would
 overflow; so separators that stand between two digits (dots between two domain characters) are first marked by one
 private character, and every pattern is a run of one character class. A run is tried from its first place only, and matches
-are put together in blocks, so time grows with the text and the number of matches, not with their squares.
+are put together in blocks, so finding them takes time in proportion to the text. Candidates are held against the base spans of their document pair by
+pair.
 
 Cases: a null or empty text has no spans; numbers of any length are consumed whole; repeated ids and null ids are scored
 row by row; without any candidate the classifier adds nothing; other columns are ignored.
@@ -48,12 +49,16 @@ BLOCK = 64
 
 
 def _zipped(pieces: Column, found: Column) -> Column:
-    """Blocks of (gap, match, next gap): what is appended to an array is copied with it, so arrays stay short."""
-    zipped = F.arrays_zip(
+    """array of (gap, match, next gap)."""
+    return F.arrays_zip(
         F.slice(pieces, 1, F.size(found)).alias("gap"), found.alias("match"), F.slice(pieces, 2, F.size(found)).alias("next")
     )
-    blocks = F.sequence(F.lit(0), F.ceil(F.size(found) / BLOCK).cast("int") - 1)
-    return F.when(F.size(found) > 0, F.transform(blocks, lambda b: F.slice(zipped, b * BLOCK + 1, BLOCK)))
+
+
+def _blocks(zipped: Column) -> Column:
+    """The same in blocks: what is appended to an array is copied with it, so arrays stay short."""
+    numbers = F.sequence(F.lit(0), F.ceil(F.size(zipped) / BLOCK).cast("int") - 1)
+    return F.when(F.size(zipped) > 0, F.transform(numbers, lambda b: F.slice(zipped, b * BLOCK + 1, BLOCK)))
 
 
 def _lengths(blocks: Column) -> Column:
@@ -150,7 +155,8 @@ def _matched(docs: DataFrame, keep: list[str]) -> DataFrame:
         )
     df = df.select(*keep, *[c.alias(k) for k, c in searched.items()])
     none = F.array().cast(f"array<{SPAN}>")
-    df = df.select(*keep, *[_zipped(F.col(f"gaps_{k}"), F.col(f"found_{k}")).alias(f"blocks_{k}") for k in PATTERNS])
+    df = df.select(*keep, *[_zipped(F.col(f"gaps_{k}"), F.col(f"found_{k}")).alias(f"zipped_{k}") for k in PATTERNS])
+    df = df.select(*keep, *[_blocks(F.col(f"zipped_{k}")).alias(f"blocks_{k}") for k in PATTERNS])
     df = df.select("*", *[_lengths(F.col(f"blocks_{k}")).alias(f"lengths_{k}") for k in PATTERNS])
     return df.select(
         *keep,

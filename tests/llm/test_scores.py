@@ -151,11 +151,11 @@ def test_base_spans_equal_the_patterns(make):
 
 
 def test_time_follows_the_text(make):
-    """A run of a million letters beside an address, and a hundred thousand addresses in one text."""
-    texts = ["a" * 1_000_000 + " x@y.de " + "7" * 1_000_000 + " 1.2.3.4", "a@b.de " * 100_000]
+    """A run of a million letters beside an address, and thousands of addresses in one text."""
+    texts = ["a" * 1_000_000 + " x@y.de " + "7" * 1_000_000 + " 1.2.3.4", "a@b.de " * 4_000]
     rows = {r.doc_id: r for r in pii.find(make(texts)).select("doc_id", F.size("base").alias("n"), F.element_at("base", -1).alias("last")).collect()}
     assert rows[0].n == 2 and (rows[0].last.start, rows[0].last.end) == (2_000_009, 2_000_016)
-    assert rows[1].n == 100_000 and rows[1].last.start == 7 * 99_999
+    assert rows[1].n == 4_000 and rows[1].last.start == 7 * 3_999
 
 
 def test_added_spans_keep_the_base(make):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from outagegrid import fixed
 from outagegrid.functions import codes, geo
-from outagegrid.operators.graph import best_source, facility_rule, of_type
+from outagegrid.operators.graph import best_walks, facility_rule, land_adjacency, of_type
 
 ORDER_BITS = 48
 LAST_ORDER = (1 << ORDER_BITS) - 1
@@ -70,7 +70,11 @@ def alert_score(risk: Column, weight: Column, hops: Column) -> Column:
 
 
 def facility_alerts(nodes: DataFrame, edges: DataFrame, at_risk_subs: DataFrame, k: int = fixed.MOST_HOPS) -> DataFrame:
-    """One alert per facility in reach: the feeder with the highest score, ties by risk and then substation order.
+    return alerts_on(nodes, land_adjacency(edges), at_risk_subs, k)
+
+
+def alerts_on(nodes: DataFrame, adjacency: DataFrame, at_risk_subs: DataFrame, k: int = fixed.MOST_HOPS) -> DataFrame:
+    """One alert per facility in reach: the feeder with the highest score, ties by risk, then substation order, then id.
 
     A feeder travels along the edges as one number, its risk in ten-thousandths followed by its reversed order, so every
     round is a hash aggregate of plain numbers; names are joined once at the end.
@@ -78,7 +82,7 @@ def facility_alerts(nodes: DataFrame, edges: DataFrame, at_risk_subs: DataFrame,
     packed = F.shiftleft(F.round(F.col("adjusted_risk") * 10_000).cast("long"), ORDER_BITS) + (
         F.lit(LAST_ORDER) - F.col("ord")
     )
-    reached = best_source(edges, at_risk_subs, packed, k)
+    reached = best_walks(adjacency, at_risk_subs, packed, k)
     risk = F.shiftrightunsigned("best", ORDER_BITS) / 10_000
     facilities = nodes.where(facility_rule("weight").isNotNull()).select(
         F.col("node_id").alias("node"), F.col("name").alias("facility_name"), F.col("node_type").alias("facility_type"),
@@ -94,13 +98,14 @@ def facility_alerts(nodes: DataFrame, edges: DataFrame, at_risk_subs: DataFrame,
         .agg(F.max(F.struct(alert_score(risk, F.col("weight"), F.col("hop")).alias("score"), "best", "hop")).alias("w"))
         .select("node", "w.score", "w.best", "w.hop")
     )
-    feeders = at_risk_subs.select(
-        F.col("ord").alias("_feeder"), F.col("node_id").alias("feeding_substation_id"), F.col("name").alias("feeding_substation"),
+    feeder = F.struct(
+        F.col("node_id").alias("feeding_substation_id"), F.col("name").alias("feeding_substation"),
         F.col("lat").alias("feeding_sub_lat"), F.col("lon").alias("feeding_sub_lon"), "in_storm_zone",
     )
-    feeder = F.lit(LAST_ORDER) - F.col("best").bitwiseAND(F.lit(LAST_ORDER))
+    # Substations that share risk and order are one number; the first id stands for them.
+    feeders = at_risk_subs.groupBy(packed.alias("best")).agg(F.min(feeder).alias("f")).select("best", "f.*")
     return (
-        best.withColumn("_feeder", feeder).join(facilities, "node").join(feeders, "_feeder")
+        best.join(facilities, "node").join(feeders, "best")
         .select(
             F.col("node").alias("facility_id"), "facility_name", "facility_type", "priority", "lat", "lon",
             "feeding_substation_id", "feeding_substation", "feeding_sub_lat", "feeding_sub_lon", risk.alias("substation_risk"),

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outagegrid import fixed
 from outagegrid.functions.codes import voltage_class
 from outagegrid.operators.spatial import nearest
-from outagegrid.session import keep
+from outagegrid.session import keep, scratch_path
 
 NODE_COLUMNS = [
     "node_id", "node_type", "name", "voltage", "subtype", "lat", "lon", "priority", "priority_score", "props", "ord",
@@ -158,44 +160,58 @@ def _cut(df: DataFrame, hop: int, k: int) -> DataFrame:
     return keep(df) if hop % 3 == 0 and hop < k else df
 
 
-def k_hop(edges: DataFrame, sources: DataFrame, k: int = fixed.MOST_HOPS) -> DataFrame:
-    """(src, node, hop) for every node within ``k`` hops of every source (a table with ``node_id``), sources included.
+def land_adjacency(edges: DataFrame, buckets: int | None = None) -> DataFrame:
+    """(node, next) both ways, written once as a table bucketed and sorted by ``node``. Joins on ``node`` then read it where it
+    lies: rounds of hops move their own rows only, never the edges."""
+    spark = edges.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"adjacency_{uuid.uuid4().hex}"
+    (
+        both_ways(edges).repartition(buckets, "node").write.bucketBy(buckets, "node").sortBy("node")
+        .option("path", scratch_path(spark, "adjacency")).saveAsTable(name)
+    )
+    return spark.table(name)
 
-    In an undirected graph a node next to ring ``h`` lies in ring ``h-1``, ``h`` or ``h+1``, so each round is checked
-    against the last two rings only. A ring is read by the next rounds and by the result, so it is stored once.
-    """
-    steps = keep(both_ways(edges))
-    ring = sources.select(F.col("node_id").alias("src"), F.col("node_id").alias("node")).distinct()
-    before = None
-    rings = [ring.withColumn("hop", F.lit(0))]
-    for hop in range(1, k + 1):
-        reached = ring.join(steps, "node").select("src", F.col("next").alias("node")).distinct()
-        reached = reached.join(ring, ["src", "node"], "left_anti")
-        if before is not None:
-            reached = reached.join(before, ["src", "node"], "left_anti")
-        before, ring = ring, keep(reached) if hop < k else reached
-        rings.append(ring.withColumn("hop", F.lit(hop)))
-    out = rings[0]
-    for r in rings[1:]:
+
+def _union(rounds: list[DataFrame]) -> DataFrame:
+    out = rounds[0]
+    for r in rounds[1:]:
         out = out.unionByName(r)
     return out
 
 
-def best_source(edges: DataFrame, sources: DataFrame, best: Column, k: int = fixed.MOST_HOPS) -> DataFrame:
+def hops(adjacency: DataFrame, sources: DataFrame, k: int = fixed.MOST_HOPS) -> DataFrame:
+    """(src, node, hop) for every node within ``k`` hops of every source (a table with ``node_id``), sources included.
+
+    A round holds the ends of all walks of its length, one row per source and node. A node is as far as its shortest walk,
+    so rounds need no look at earlier ones; a walk that turns back adds rows of rings already reached, no further ones."""
+    state = sources.select(F.col("node_id").alias("src"), F.col("node_id").alias("node")).distinct()
+    rounds = [state.withColumn("hop", F.lit(0))]
+    for hop in range(1, k + 1):
+        state = _cut(state.join(adjacency, "node").select("src", F.col("next").alias("node")).distinct(), hop, k)
+        rounds.append(state.withColumn("hop", F.lit(hop)))
+    return _union(rounds).groupBy("src", "node").agg(F.min("hop").alias("hop"))
+
+
+def k_hop(edges: DataFrame, sources: DataFrame, k: int = fixed.MOST_HOPS) -> DataFrame:
+    return hops(land_adjacency(edges), sources, k)
+
+
+def best_walks(adjacency: DataFrame, sources: DataFrame, best: Column, k: int = fixed.MOST_HOPS) -> DataFrame:
     """(node, hop, best): for every node and walk length up to ``k`` the greatest ``best`` among the sources that reach
     it. State is one row per node, not one per source and node; partial maxima are taken before each shuffle."""
-    steps = keep(both_ways(edges))
     state = sources.select(F.col("node_id").alias("node"), best.alias("best"))
     rounds = []
     for hop in range(1, k + 1):
         state = _cut(
-            state.join(steps, "node").groupBy(F.col("next").alias("node")).agg(F.max("best").alias("best")), hop, k
+            state.join(adjacency, "node").groupBy(F.col("next").alias("node")).agg(F.max("best").alias("best")), hop, k
         )
         rounds.append(state.withColumn("hop", F.lit(hop)))
-    out = rounds[0]
-    for r in rounds[1:]:
-        out = out.unionByName(r)
-    return out
+    return _union(rounds)
+
+
+def best_source(edges: DataFrame, sources: DataFrame, best: Column, k: int = fixed.MOST_HOPS) -> DataFrame:
+    return best_walks(land_adjacency(edges), sources, best, k)
 
 
 def graph_summary(nodes: DataFrame, edges: DataFrame) -> DataFrame:

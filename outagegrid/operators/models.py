@@ -32,7 +32,7 @@ def standardizer(features: list[str] = fixed.FEATURES) -> Pipeline:
 
 def fit_logistic(
     train: DataFrame, features: list[str] = fixed.FEATURES, n: int = 300_000, seed: int = 42, c: float = 0.1,
-    max_iter: int = 1000, order: list[Column] | None = None,
+    max_iter: int = 1000, order: list[Column] | None = None, tol: float = 1e-6,
 ) -> PipelineModel:
     """Balanced logistic regression on standardized features; the scaler sees all rows, the fit a uniform sample.
 
@@ -48,7 +48,7 @@ def fit_logistic(
     )
     model = LogisticRegression(
         featuresCol="scaled", labelCol="outage_label", weightCol="weight", regParam=1.0 / (c * max(rows, 1)),
-        maxIter=max_iter, standardization=False,
+        maxIter=max_iter, tol=tol, standardization=False,
     ).fit(weighted)
     sample.unpersist()
     return PipelineModel(stages=[*scaler.stages, model])

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from outagegrid import fixed
 from outagegrid.functions import codes
-from outagegrid.operators import metrics, models, priority, sampling
+from outagegrid.operators import features, metrics, model_tables, models, priority, sampling
 from outagegrid.plans.catalog import CTES, query, rounded
-from outagegrid.plans.catalog_outages import SPLIT, _flagship
+from outagegrid.plans.catalog_outages import MIXED_SQL, SPLIT, _flagship, _mixed_order
 from outagegrid.plans.scoring import ranked_counties
 from outagegrid.plans.views import frame
-from outagegrid.session import keep
+from outagegrid.session import keep, scratch_path
+from outagegrid.sources import files
 
 SCENARIO, HORIZON = "Thunderstorm", 12
 
@@ -511,3 +512,159 @@ def gbt_scores(spark, folder):
 def feature_importance(spark, folder):
     train = _split_features(spark, folder).where(F.col("split") == "train")
     return models.feature_importance(spark, models.fit_gbt(train))
+
+
+# Two learners whose results SQL can state: a logistic model of two features by Newton's steps, and two boosted stumps over
+# features of few values. Both are turned into tables, written, read back and scored from there.
+LINEAR_FEATURES, STUMP_FEATURES = ["lagged_labels", "wind"], ["any_storm", "hour_of_day"]
+
+
+def _newton_sql(rounds: int, penalty: float = 10.0) -> dict[str, str]:
+    """Steps l_0, l_1, ... of the weighted logistic fit with a ridge on both coefficients; each solves a 3 x 3 system."""
+    out = {"l_0": "SELECT 0e0 AS b0, 0e0 AS b1, 0e0 AS b2"}
+    for k in range(1, rounds + 1):
+        out[f"l_{k}"] = f"""
+SELECT b0 - (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det AS b0,
+       b1 - (h00 * (g1 * h22 - g2 * h12) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det AS b1,
+       b2 - (h00 * (h11 * g2 - h12 * g1) - h01 * (h01 * g2 - h02 * g1) + g0 * (h01 * h12 - h11 * h02)) / det AS b2
+FROM (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det FROM (
+  SELECT any_value(b0) AS b0, any_value(b1) AS b1, any_value(b2) AS b2,
+         sum(r) AS g0, sum(r * x1) + {penalty}e0 * any_value(b1) AS g1, sum(r * x2) + {penalty}e0 * any_value(b2) AS g2,
+         sum(h) AS h00, sum(h * x1) AS h01, sum(h * x2) AS h02, sum(h * x1 * x1) + {penalty}e0 AS h11,
+         sum(h * x1 * x2) AS h12, sum(h * x2 * x2) + {penalty}e0 AS h22
+  FROM (SELECT *, w * (p - y) AS r, w * p * (1 - p) AS h FROM (
+    SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM l_rows CROSS JOIN l_{k - 1}))))"""
+    return out
+
+
+NEWTON_ROUNDS = 12
+CTES["l_all"] = "SELECT *, lag_24h_label + lag_168h_label AS lagged_labels FROM c_features"
+CTES["l_scale"] = """
+SELECT avg(lagged_labels) AS m1, stddev_samp(lagged_labels) AS d1, avg(wind) AS m2, stddev_samp(wind) AS d2
+FROM l_all WHERE year IN (1, 2)"""
+CTES["l_rows"] = """
+SELECT outage_label AS y, (lagged_labels - m1) / d1 AS x1, (wind - m2) / d2 AS x2,
+       count(*) OVER () / (2e0 * count(*) OVER (PARTITION BY outage_label)) AS w
+FROM l_all CROSS JOIN l_scale WHERE year IN (1, 2)"""
+CTES |= _newton_sql(NEWTON_ROUNDS)
+
+
+def _learning(spark, folder):
+    rows = _flagship(spark, folder).withColumns({
+        "lagged_labels": F.col("lag_24h_label") + F.col("lag_168h_label"), "hour_of_day": F.hour("hour"),
+    })
+    parts = sampling.assign_split(keep(rows), **SPLIT)
+    return parts.where(F.col("split") == "train"), parts.where(F.col("split") == "test")
+
+
+def _read_back(spark, rows, label):
+    path = scratch_path(spark, label)
+    files.write_table(rows, path)
+    return spark.read.parquet(path)
+
+
+def _linear(spark, train):
+    model = models.fit_logistic(train, LINEAR_FEATURES, n=1 << 40, tol=1e-12)
+    return _read_back(spark, model_tables.linear_table(spark, model, LINEAR_FEATURES), "linear")
+
+
+@query(f"""
+SELECT feature, round(mean, 6) AS mean, round(deviation, 6) AS deviation, round(coefficient, 3) AS coefficient FROM (
+  SELECT '{LINEAR_FEATURES[0]}' AS feature, m1 AS mean, d1 AS deviation, b1 AS coefficient FROM l_scale, l_{NEWTON_ROUNDS}
+  UNION ALL SELECT '{LINEAR_FEATURES[1]}', m2, d2, b2 FROM l_scale, l_{NEWTON_ROUNDS}
+  UNION ALL SELECT NULL, NULL, NULL, b0 FROM l_{NEWTON_ROUNDS})""")
+def logistic_table(spark, folder):
+    """The fitted model as rows, written and read back."""
+    return rounded(_linear(spark, _learning(spark, folder)[0]), mean=6, deviation=6, coefficient=3)
+
+
+@query(f"""
+SELECT fips, hour, outage_label,
+       round(1 / (1 + exp(-(b0 + b1 * (lagged_labels - m1) / d1 + b2 * (wind - m2) / d2))), 3) AS outage_proba
+FROM l_all, l_scale, l_{NEWTON_ROUNDS} WHERE year = 4""")
+def logistic_table_scores(spark, folder):
+    train, test = _learning(spark, folder)
+    scored = model_tables.score_linear(test, _linear(spark, train), LINEAR_FEATURES)
+    return rounded(scored.select("fips", "hour", "outage_label", "outage_proba"), outage_proba=3)
+
+
+STUMP_RATE = 0.5
+CTES["t_sample"] = f"""
+SELECT CAST(any_storm AS DOUBLE) AS x0, CAST(hour_of_day AS DOUBLE) AS x1, 2e0 * outage_label - 1 AS y FROM (
+  SELECT *, row_number() OVER (PARTITION BY outage_label ORDER BY {MIXED_SQL}, fips, hour) AS rn,
+         count(*) FILTER (outage_label = 1) OVER () AS positives FROM c_features WHERE year IN (1, 2))
+WHERE rn <= least(150000, positives)"""
+
+
+def _stump_sql(tree: int, target: str, rows: str) -> dict[str, str]:
+    """The split of largest gain in variance over both features and the means on its two sides."""
+    return {
+        f"t_{tree}_long": f"SELECT 0 AS f, x0 AS x, {target} AS t FROM {rows} UNION ALL SELECT 1, x1, {target} FROM {rows}",
+        f"t_{tree}_cuts": f"""
+SELECT f, (x + next) / 2 AS threshold FROM (
+  SELECT f, x, lead(x) OVER (PARTITION BY f ORDER BY x) AS next FROM (SELECT DISTINCT f, x FROM t_{tree}_long)) WHERE next IS NOT NULL""",
+        f"t_{tree}": f"""
+SELECT f, threshold, below / nb AS low, above / na AS high,
+       (bb + aa) / (nb + na) - ((below + above) / (nb + na)) ** 2
+       - nb / (nb + na) * (bb / nb - (below / nb) ** 2) - na / (nb + na) * (aa / na - (above / na) ** 2) AS gain, nb + na AS n
+FROM (SELECT c.f, threshold, CAST(count(*) FILTER (x <= threshold) AS DOUBLE) AS nb, CAST(count(*) FILTER (x > threshold) AS DOUBLE) AS na,
+             sum(t) FILTER (x <= threshold) AS below, sum(t) FILTER (x > threshold) AS above,
+             sum(t * t) FILTER (x <= threshold) AS bb, sum(t * t) FILTER (x > threshold) AS aa
+      FROM t_{tree}_cuts c JOIN t_{tree}_long l ON l.f = c.f GROUP BY c.f, threshold)
+ORDER BY gain DESC, f, threshold LIMIT 1""",
+    }
+
+
+CTES |= _stump_sql(0, "y", "t_sample")
+CTES["t_left"] = """
+SELECT x0, x1, 4 * y / (1 + exp(2 * y * CASE WHEN CASE f WHEN 0 THEN x0 ELSE x1 END <= threshold THEN low ELSE high END)) AS y
+FROM t_sample CROSS JOIN t_0"""
+CTES |= _stump_sql(1, "y", "t_left")
+NAMES = "CASE f WHEN 0 THEN '{}' ELSE '{}' END".format(*STUMP_FEATURES)
+
+
+def _stumps(spark, train):
+    model = models.fit_gbt(train, STUMP_FEATURES, trees=2, depth=1, rate=STUMP_RATE, subsample=1.0, order=_mixed_order())
+    return _read_back(spark, model_tables.tree_table(spark, model, STUMP_FEATURES), "stumps")
+
+
+@query(f"""
+SELECT tree, node, feature, threshold, round(value, 4) AS value FROM (
+  SELECT 0 AS tree, 0 AS node, {NAMES} AS feature, threshold, NULL AS value FROM t_0
+  UNION ALL SELECT 0, 1, NULL, NULL, low FROM t_0 UNION ALL SELECT 0, 2, NULL, NULL, high FROM t_0
+  UNION ALL SELECT 1, 0, {NAMES}, threshold, NULL FROM t_1
+  UNION ALL SELECT 1, 1, NULL, NULL, low FROM t_1 UNION ALL SELECT 1, 2, NULL, NULL, high FROM t_1)""")
+def boosted_table(spark, folder):
+    """The nodes of the fitted trees, written and read back."""
+    rows = _stumps(spark, _learning(spark, folder)[0])
+    value = F.when(F.col("feature").isNull(), F.round("value", 4)).alias("value")
+    return rows.select("tree", "node", "feature", "threshold", value)
+
+
+@query(f"""
+SELECT fips, hour, outage_label, round(1 / (1 + exp(-2 * (
+         CASE WHEN CASE a.f WHEN 0 THEN any_storm ELSE hour_of_day END <= a.threshold THEN a.low ELSE a.high END
+         + {STUMP_RATE}e0 * CASE WHEN CASE b.f WHEN 0 THEN any_storm ELSE hour_of_day END <= b.threshold THEN b.low ELSE b.high END))), 6) AS outage_proba
+FROM c_features, t_0 a, t_1 b WHERE year = 4""")
+def boosted_table_scores(spark, folder):
+    train, test = _learning(spark, folder)
+    scored = model_tables.score_trees(test, _stumps(spark, train), STUMP_FEATURES)
+    return rounded(scored.select("fips", "hour", "outage_label", "outage_proba"), outage_proba=6)
+
+
+@query(f"""
+SELECT feature, round(sum(g) / (SELECT sum(gain * n) FROM (SELECT gain, n FROM t_0 UNION ALL SELECT gain, n FROM t_1)), 6) AS importance,
+       CASE feature WHEN 'any_storm' THEN 'storm' ELSE 'temporal' END AS feature_group
+FROM (SELECT {NAMES} AS feature, gain * n AS g FROM t_0 UNION ALL SELECT {NAMES}, gain * n FROM t_1) GROUP BY feature""")
+def boosted_importance(spark, folder):
+    found = model_tables.importance(_stumps(spark, _learning(spark, folder)[0]))
+    return rounded(found.select("feature", "importance", "feature_group"), importance=6)
+
+
+@query("""
+SELECT fips, hour, CASE WHEN hour_of_day % 3 = 0 THEN 0 ELSE lag_1h_peak END AS lag_1h_peak, CAST(any_storm AS INT) AS any_storm
+FROM c_features""")
+def filled_features(spark, folder):
+    """Features that are missing in a third of the hours count as zero."""
+    rows = _flagship(spark, folder).withColumn("lag_1h_peak", F.when(F.hour("hour") % 3 != 0, F.col("lag_1h_peak")))
+    return features.fill_features(rows).select("fips", "hour", "lag_1h_peak", F.col("any_storm").cast("int").alias("any_storm"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from outagegrid.functions import codes
-from outagegrid.operators import metrics, models, priority
+from outagegrid.operators import metrics, model_tables, models, priority
 
 SCORES = [(1, 0.9), (1, 0.8), (0, 0.8), (1, 0.6), (0, 0.4), (0, 0.4), (1, 0.2), (0, 0.1)]
 
@@ -162,6 +162,24 @@ def test_models_learn_save_and_load(spark, tmp_path):
     assert top[0].feature == "wind" and top[0].feature_group == "storm" and top[1].feature_group == "temporal"
 
 
+def test_model_tables_score_like_the_models(spark):
+    data = spark.range(500).select(
+        (F.col("id") % 4).cast("string").alias("fips"), F.col("id").alias("hour"),
+        ((F.col("id") * 7919 % 100) + (F.col("id") % 5) * 9 > 70).cast("int").alias("outage_label"),
+        (F.col("id") * 7919 % 100).cast("double").alias("wind"), F.when(F.col("id") % 9 > 0, (F.col("id") % 5).cast("double")).alias("noise"),
+        F.lit(1.0).alias("level"),
+    )
+    names = ["wind", "noise", "level"]
+    for fitted, table, score in (
+        (models.fit_logistic(data, names, max_iter=30), model_tables.linear_table, model_tables.score_linear),
+        (models.fit_gbt(data, names, trees=4, depth=3), model_tables.tree_table, model_tables.score_trees),
+    ):
+        both = score(models.score(fitted, data, names, "own"), table(spark, fitted, names), names)
+        assert both.where(F.abs(F.col("own") - F.col("outage_proba")) > 1e-9).count() == 0 and both.count() == 500
+    shares = {r.feature: r.importance for r in model_tables.importance(model_tables.tree_table(spark, fitted, names)).collect()}
+    assert shares == pytest.approx({n: v for n, v in zip(names, fitted.stages[-1].featureImportances.toArray()) if v})
+
+
 def test_unseen_forecast_combination_is_zero(spark):
     train = spark.createDataFrame([("a", 0, 1.0), ("a", 0, 3.0)], "fips string, any_storm int, log_peak_customers double")
     forecast = models.quantile_forecast(train)

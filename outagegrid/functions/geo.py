@@ -121,8 +121,8 @@ def area_centroid(rings: Column) -> Column:
     return _weighted_centre(F.transform(rings, piece), F.get(rings, F.lit(0))["ring"], 3)
 
 
-def line_centroid(places: Column) -> Column:
-    """Length-weighted centre of a line; the vertex mean where the length is zero."""
+def line_centroid(lines: Column) -> Column:
+    """Length-weighted centre of ``array<array<place>>``; the vertex mean where all lengths are zero."""
 
     def piece(e: Column) -> Column:
         dx, dy = e["x1"] - e["x0"], e["y1"] - e["y0"]
@@ -132,7 +132,13 @@ def line_centroid(places: Column) -> Column:
             (length * (e["y0"] + e["y1"]) / 2).alias("cy"),
         )
 
-    return _weighted_centre(F.transform(ring_edges(places), piece), places, 1)
+    edges = F.flatten(F.transform(F.filter(lines, lambda line: F.size(line) > 1), ring_edges))
+    return _weighted_centre(F.transform(edges, piece), F.flatten(lines), 1)
+
+
+def mean_place(places: Column) -> Column:
+    mean = lambda axis: F.aggregate(places, F.lit(0.0), lambda s, p: s + p[axis]) / F.nullif(F.size(places), F.lit(0))
+    return F.struct(mean("lon").alias("lon"), mean("lat").alias("lat"))
 
 
 def _weighted_centre(pieces: Column, places: Column, scale: int) -> Column:

@@ -668,3 +668,42 @@ def filled_features(spark, folder):
     """Features that are missing in a third of the hours count as zero."""
     rows = _flagship(spark, folder).withColumn("lag_1h_peak", F.when(F.hour("hour") % 3 != 0, F.col("lag_1h_peak")))
     return features.fill_features(rows).select("fips", "hour", "lag_1h_peak", F.col("any_storm").cast("int").alias("any_storm"))
+
+
+@query(f"""
+SELECT fips, hour, outage_label,
+       round(1 / (1 + exp(-(b0 + b1 * (lagged_labels - m1) / d1 + b2 * (wind - m2) / d2))), 3) AS outage_proba
+FROM l_all, l_scale, l_{NEWTON_ROUNDS} WHERE year = 4""")
+def model_round_trip(spark, folder):
+    """The fitted pipeline saved, loaded and applied; the scores stay on the rows they are of."""
+    train, test = _learning(spark, folder)
+    path = scratch_path(spark, "model")
+    models.save_model(models.fit_logistic(train, LINEAR_FEATURES, n=1 << 40, tol=1e-12), path)
+    scored = models.score(models.load_model(path), test, LINEAR_FEATURES)
+    return rounded(scored.select("fips", "hour", "outage_label", "outage_proba"), outage_proba=3)
+
+
+CTES["k_scores"] = f"""
+SELECT 'Logistic Regression' AS model, outage_label AS y,
+       1 / (1 + exp(-(b0 + b1 * (lagged_labels - m1) / d1 + b2 * (wind - m2) / d2))) AS p
+FROM l_all, l_scale, l_{NEWTON_ROUNDS} WHERE year = 4
+UNION ALL
+SELECT 'Gradient Boosting', outage_label, 1 / (1 + exp(-2 * (
+         CASE WHEN CASE a.f WHEN 0 THEN any_storm ELSE hour_of_day END <= a.threshold THEN a.low ELSE a.high END
+         + {STUMP_RATE}e0 * CASE WHEN CASE b.f WHEN 0 THEN any_storm ELSE hour_of_day END <= b.threshold THEN b.low ELSE b.high END)))
+FROM c_features, t_0 a, t_1 b WHERE year = 4"""
+
+
+@query("""
+SELECT model, round((sum(r) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2e0)
+                    / (count(*) FILTER (y = 1) * CAST(count(*) FILTER (y = 0) AS DOUBLE)), 3) AS roc_auc,
+       round(avg((p - y) * (p - y)), 3) AS brier
+FROM (SELECT *, rank() OVER (PARTITION BY model ORDER BY round(p, 9))
+                + (count(*) OVER (PARTITION BY model, round(p, 9)) - 1) / 2e0 AS r FROM k_scores) GROUP BY model""")
+def trained_comparison(spark, folder):
+    """Two trained models scored on the test year and compared."""
+    train, test = _learning(spark, folder)
+    scored = model_tables.score_linear(test, _linear(spark, train), LINEAR_FEATURES, "linear")
+    scored = model_tables.score_trees(scored, _stumps(spark, train), STUMP_FEATURES, "boosted")
+    table = metrics.model_metrics(scored, {"Logistic Regression": "linear", "Gradient Boosting": "boosted"}, "outage_label")
+    return rounded(table.select("model", "roc_auc", "brier"), roc_auc=3, brier=3)

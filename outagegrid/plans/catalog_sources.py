@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from outagegrid.functions import codes
 from outagegrid.functions.timing import parse_iso_ts
-from outagegrid.operators import graph, priority, storms
+from outagegrid.operators import alerts, graph, priority, sampling, storms
 from outagegrid.plans import catalog_outages  # noqa: F401  its queries are landed below
 from outagegrid.plans.catalog import ORACLES, QUERIES, observations, query, rounded
-from outagegrid.plans.catalog_grid import _facilities, _subs, _tables
+from outagegrid.plans.catalog_grid import _areas, _facilities, _subs, _tables
+from outagegrid.plans.catalog_outages import SPLIT, _flagship
 from outagegrid.plans.catalog_scoring import _queue
 from outagegrid.plans.views import frame
 from outagegrid.session import scratch_path
@@ -227,3 +228,150 @@ def _landed(name):
 
 for _name in ("storm_pivot", "county_stats"):
     _landed(_name)
+
+
+# --- results landed and read back, fallback sources, exports ------------------------------------------
+
+
+@query("SELECT fips, round(max_outage_proba, 6) AS max_outage_proba, CAST(rank AS BIGINT) AS rank FROM p_counties")
+def county_priority_table(spark, folder):
+    """County priorities written once and read by those who need two columns of them."""
+    path = scratch_path(spark, "priority")
+    files.write_table(QUERIES["county_priority"](spark, folder), path)
+    return spark.read.parquet(path).select(
+        "fips", F.round("max_outage_proba", 6).alias("max_outage_proba"), F.col("rank").cast("bigint").alias("rank")
+    )
+
+
+@query("SELECT fips, hour, CAST(year AS INT) AS year, outage_label, CAST(any_storm AS INT) AS any_storm FROM c_features WHERE year IN (2, 4)")
+def landed_feature_store(spark, folder):
+    """The feature store in yearly partitions; two years and a few columns of it are read."""
+    path = scratch_path(spark, "features")
+    files.land_parquet(_flagship(spark, folder), path)
+    back = files.scan_parquet(spark, path, ["fips", "hour", "year", "outage_label", "any_storm"], [2, 4])
+    return back.withColumn("any_storm", F.col("any_storm").cast("int")).withColumn("year", F.col("year").cast("int"))
+
+
+@query("SELECT fips, hour, outage_label, split FROM c_split WHERE split <> 'test'")
+def landed_splits(spark, folder):
+    """Splits as partitions of one table: a fit reads its own folder only."""
+    path = scratch_path(spark, "splits")
+    files.land_parquet(sampling.assign_split(_flagship(spark, folder), **SPLIT), path, by="split")
+    return spark.read.parquet(path).where(F.col("split") != "test").select("fips", "hour", "outage_label", "split")
+
+
+@query("""
+SELECT name, coalesce(nullif(voltage, '115'), '115') AS voltage, 'distribution' AS subtype, round(lat, 6) AS lat, round(lon, 6) AS lon,
+       count(*) OVER () AS numbers FROM v_sub""")
+def substation_fallback(spark, folder):
+    """There is no map document, so the chain of sources goes on to the table of substations; voltages that are missing get
+    the default, and every row a number of its own."""
+    root = scratch_path(spark, "substations")
+    voltage = F.when(F.col("voltage") != "115", F.col("voltage")).alias("voltage")
+    files.export_csv(_subs(spark, folder).select("name", voltage, "lat", "lon"), f"{root}/substations.csv")
+    rows = files.first_available(
+        lambda: geojson.substation_rows(geojson.read_documents(spark, f"{root}/substations.geojson")),
+        lambda: files.read_substation_csv(spark, f"{root}/substations.csv"),
+    )
+    numbers = rows.agg(F.count_distinct("node_id")).scalar()
+    return rounded(rows.select("name", "voltage", "subtype", "lat", "lon", numbers.alias("numbers")), lat=6, lon=6)
+
+
+@query("""
+SELECT node_type, name, round(lat, 6) AS lat, round(lon, 6) AS lon, CAST(beds AS VARCHAR) AS beds FROM v_fac
+WHERE node_type <> 'fire_station' AND beds % 7 <> 0""")
+def facility_csv(spark, folder):
+    """Two of the three facility tables exist; rows without a place are dropped, every column is in the property map."""
+    root = scratch_path(spark, "facilities")
+    lat = F.when(F.col("beds") % 7 != 0, F.col("lat")).alias("lat")
+    for kind, file in (("hospital", "hospitals.csv"), ("school", "schools.csv")):
+        rows = frame(spark, folder, "v_fac").where(F.col("node_type") == kind)
+        files.export_csv(rows.select("name", lat, "lon", "beds"), f"{root}/{file}")
+    back = files.read_facilities(spark, root)
+    return rounded(
+        back.select("node_type", "name", "lat", "lon", F.try_element_at("props", F.lit("beds")).alias("beds")), lat=6, lon=6
+    )
+
+
+def _responses(spark, folder, kind, **attributes):
+    fac = frame(spark, folder, "v_fac").where(F.col("node_type") == kind)
+    body = F.struct(*[c.alias(k) for k, c in attributes.items()], F.col("lat").alias("LATITUDE"), F.col("lon").alias("LONGITUDE"))
+    features_ = F.struct(F.array(F.struct(body.alias("attributes"))).alias("features"))
+    return geojson.service_rows(fac.select(F.to_json(features_).alias("value")), kind)
+
+
+@query("""
+SELECT name, CASE WHEN beds % 3 = 0 THEN 'City' ELSE 'Unknown' END AS city_or_none, lat, lon FROM v_fac
+WHERE node_type = 'fire_station'""")
+def fire_station_responses(spark, folder):
+    """Fire stations of a feature service, two thirds of them with an empty city."""
+    city = F.when(F.col("beds") % 3 == 0, "City").otherwise("")
+    rows = _responses(spark, folder, "fire_station", NAME=F.col("name"), CITY=city)
+    known = F.when(F.length("city") > 0, F.col("city")).otherwise("Unknown")
+    return rows.select("name", known.alias("city_or_none"), "lat", "lon")
+
+
+@query("SELECT name, CAST(beds AS INT) AS enrollment, lat, lon FROM v_fac WHERE node_type = 'school'")
+def school_responses(spark, folder):
+    rows = _responses(spark, folder, "school", NAME=F.col("name"), ENROLLMENT=F.col("beds"))
+    return rows.select("name", "enrollment", "lat", "lon")
+
+
+@query("""
+SELECT priority, facility_name, facility_type, feeding_substation, substation_risk, hop_distance, action FROM g_alerts""")
+def export_alert_csv(spark, folder):
+    """The alert brief as a CSV export and read back."""
+    path = scratch_path(spark, "alerts")
+    brief = alerts.alert_brief(_tables(spark, folder).alerts)
+    files.export_csv(brief, path)
+    return spark.read.schema(brief.schema).option("header", True).csv(path)
+
+
+@query("SELECT storm, i, round(lon, 6) AS lon, round(lat, 6) AS lat FROM a_places WHERE part = 0 AND ring = 0")
+def storm_geojson_round_trip(spark, folder):
+    """Outlines written as one document per storm and read back as areas."""
+    path = scratch_path(spark, "storms")
+    outlines = _areas(spark, folder).where((F.col("part.at") == 0) & ~F.col("hole")).select(F.col("storm").alias("name"), "ring")
+    geojson.write_storm_geojson(outlines, path)
+    back = geojson.area_rows(geojson.read_documents(spark, path))
+    places = back.select("storm", F.posexplode("ring").alias("i", "p"))
+    return rounded(places.select("storm", "i", F.col("p.lon").alias("lon"), F.col("p.lat").alias("lat")), lon=6, lat=6)
+
+
+CENTRE_SQL = """
+SELECT name, ord % 7 AS shape, round(lon + CASE ord % 7 WHEN 4 THEN 0.03e0 ELSE 0e0 END, 6) AS lon,
+       round(lat + CASE ord % 7 WHEN 2 THEN 0.01e0 * 4 / 6 ELSE 0e0 END, 6) AS lat, count(*) OVER () AS numbers
+FROM v_sub WHERE ord % 7 <> 6"""
+
+
+@query(CENTRE_SQL)
+def geometry_centroids(spark, folder):
+    """Substations drawn as every kind of geometry, a seventh of them without coordinates; none has an id of its own, so all
+    are numbered over the documents."""
+    lon, lat = F.col("lon"), F.col("lat")
+    at = lambda x, y: F.array(lon + F.lit(x), lat + F.lit(y))
+    text = lambda c: F.to_json(c)
+    square = lambda x: F.array(F.array(*[at(x + a, b) for a, b in [(-0.01, -0.01), (0.01, -0.01), (0.01, 0.01), (-0.01, 0.01), (-0.01, -0.01)]]))
+    line = F.array(at(-0.01, 0.0), at(0.01, 0.0))
+    shapes = [
+        ("MultiPoint", text(F.array(at(-0.01, 0.02), at(0.01, -0.02)))), ("LineString", text(line)),
+        ("MultiLineString", text(F.array(line, F.array(at(0.0, -0.01), at(0.0, 0.03))))), ("Polygon", text(square(0.0))),
+        ("MultiPolygon", text(F.array(square(0.0), square(0.06)))), ("GeometryCollection", None), ("MultiPoint", F.lit("[]")),
+    ]
+    part = lambda kind, c: F.concat(F.lit(f'{{"type":"{kind}","coordinates":'), c, F.lit("}"))
+    nested = F.concat(
+        F.lit('{"type":"GeometryCollection","geometries":['), part("Point", text(at(1.0, 1.0))),
+        F.lit(',{"type":"GeometryCollection","geometries":['), part("LineString", text(F.array(at(2.0, 2.0), at(3.0, 3.0)))), F.lit(","),
+        part("Polygon", text(square(0.0))), F.lit("]}]}"),
+    )
+    geometry = nested
+    for k, (kind, coordinates) in enumerate(shapes):
+        if coordinates is not None:
+            geometry = F.when(F.col("ord") % 7 == k, part(kind, coordinates)).otherwise(geometry)
+    properties = F.to_json(F.struct(F.concat_ws("|", "name", (F.col("ord") % 7).cast("string")).alias("name"), "voltage"))
+    rows = geojson.substation_rows(_documents(_subs(spark, folder), F.col("ord"), properties, geometry))
+    numbers = rows.agg(F.count_distinct("node_id")).scalar()
+    label = F.split("name", "\\|")
+    return rounded(
+        rows.select(label[0].alias("name"), label[1].cast("int").alias("shape"), "lon", "lat", numbers.alias("numbers")), lon=6, lat=6
+    )

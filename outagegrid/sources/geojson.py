@@ -14,7 +14,8 @@ from outagegrid.functions import codes, geo
 from outagegrid.operators.alerts import alert_summary
 
 FEATURES = (
-    "struct<features:array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>>"
+    "struct<features:array<struct<properties:map<string,string>,"
+    "geometry:struct<type:string,coordinates:string,geometries:string>>>>"
 )
 ELEMENTS = "struct<elements:array<struct<type:string,id:bigint,lat:double,lon:double,tags:map<string,string>>>>"
 OUTLINE = "struct<features:array<struct<geometry:struct<type:string,coordinates:array<array<array<double>>>>>>>"
@@ -83,22 +84,78 @@ def element_rows(documents: DataFrame) -> DataFrame:
     return documents.select(F.explode(F.from_json("value", ELEMENTS)["elements"]).alias("e")).select("e.*")
 
 
+BUCKETS = 4096
+
+
 def _features(documents: DataFrame) -> DataFrame:
-    """All features with ``ord``, their number over all documents: documents go by ``path`` where they have one and by
-    their text otherwise, features by their place in the document. A document that is there twice is read once."""
+    """All features with ``ord``, their number over all documents: documents go by a digest of their ``path`` where they have
+    one and of their text otherwise, features by their place in the document. A document that is there twice is read once.
+
+    Digests are dealt to ranges by their first digits. Running sums go over the ranges' totals, a table of at most ``BUCKETS``
+    rows, and over the documents inside each range."""
     key = "path" if "path" in documents.columns else "value"
-    parsed = documents.dropDuplicates([key]).select(
-        F.xxhash64(key).alias("_document"), F.col(key).alias("_key"), F.from_json("value", FEATURES)["features"].alias("features")
+    parsed = documents.select(F.sha2(F.coalesce(F.col(key), F.lit("")), 256).alias("_digest"), "value").dropDuplicates(["_digest"]).select(
+        "_digest", F.from_json("value", FEATURES)["features"].alias("features")
+    )
+    range_ = F.conv(F.substring("_digest", 1, 3), 16, 10).cast("int").alias("_range")
+    sizes = parsed.select("_digest", range_, F.greatest(F.size("features"), F.lit(0)).cast("long").alias("n"))
+    earlier = (Window.unboundedPreceding, -1)
+    totals = sizes.groupBy("_range").agg(F.sum("n").alias("n")).select(
+        "_range", F.coalesce(F.sum("n").over(Window.orderBy("_range").rowsBetween(*earlier)), F.lit(0)).alias("_before")
     )
-    # One row per document, without its text but for the key.
-    sizes = parsed.select("_document", "_key", F.greatest(F.size("features"), F.lit(0)).alias("n"))
-    before = Window.orderBy("_document", "_key").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_document", "_key", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
-    found = parsed.join(starts, ["_document", "_key"])
-    return found.select("_start", F.posexplode("features").alias("_at", "f")).select(
+    inside = Window.partitionBy("_range").orderBy("_digest").rowsBetween(*earlier)
+    starts = sizes.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(totals, "_range").select(
+        "_digest", (F.col("_before") + F.col("_inside")).alias("_start")
+    )
+    return parsed.join(starts, "_digest").select("_start", F.posexplode("features").alias("_at", "f")).select(
         (F.col("_start") + F.col("_at")).alias("ord"), F.col("f.properties").alias("p"), F.col("f.geometry.type").alias("kind"),
-        F.col("f.geometry.coordinates").alias("coordinates"),
+        F.col("f.geometry.coordinates").alias("coordinates"), F.col("f.geometry.geometries").alias("geometries"),
+    )
+
+
+#: Shape of the coordinates by type; a type stands for its multiple by a list of one.
+SHAPES = {
+    "Point": ("array<double>", 0, True), "MultiPoint": ("array<array<double>>", 0, False),
+    "LineString": ("array<array<double>>", 1, True), "MultiLineString": ("array<array<array<double>>>", 1, False),
+    "Polygon": ("array<array<array<double>>>", 2, True), "MultiPolygon": ("array<array<array<array<double>>>>", 2, False),
+}
+NESTED = 4  # collections inside collections that are opened
+
+
+def _parts(geometries: Column, dimension: int) -> Column:
+    """The coordinates of all geometries of one dimension: points, lines or polygons."""
+    found = []
+    for kind, (shape, of, single) in SHAPES.items():
+        if of == dimension:
+            some = F.transform(F.filter(geometries, lambda g: g["type"] == kind), lambda g: F.from_json(g["coordinates"], shape))
+            found.append(some if single else F.flatten(some))
+    return F.filter(F.concat(*found), lambda x: x.isNotNull())
+
+
+def _place(c: Column) -> Column:
+    return F.struct(c[0].alias("lon"), c[1].alias("lat"))
+
+
+def _with_centre(features: DataFrame) -> DataFrame:
+    """Add ``at``, the centroid: of the polygons where there are any, else of the lines, else of the points. Collections are
+    opened first. Null without coordinates."""
+    opened = F.array(F.struct(F.col("kind").alias("type"), "coordinates", "geometries"))
+    inner = "array<struct<type:string,coordinates:string,geometries:string>>"
+    for _ in range(NESTED):
+        opened = F.flatten(F.transform(
+            opened,
+            lambda g: F.when(
+                g["type"] == "GeometryCollection", F.coalesce(F.from_json(g["geometries"], inner), F.array().cast(inner))
+            ).otherwise(F.array(g).cast(inner)),
+        ))
+    parts = features.withColumn("_g", opened).select("*", *[_parts(F.col("_g"), d).alias(f"_d{d}") for d in range(3)])
+    areas = F.flatten(F.transform("_d2", _rings))
+    lines = F.transform("_d1", lambda line: F.transform(line, _place))
+    at = (
+        F.when(F.size("_d2") > 0, geo.area_centroid(areas)).when(F.size("_d1") > 0, geo.line_centroid(lines))
+        .when(F.size("_d0") > 0, geo.mean_place(F.transform("_d0", _place)))
     )
+    return parts.withColumn("at", at).drop("_g", "_d0", "_d1", "_d2")
 
 
 def _places(coordinates: Column) -> Column:
@@ -118,25 +175,16 @@ def _rings(polygon: Column) -> Column:
     )
 
 
+def unplaced(documents: DataFrame) -> DataFrame:
+    """The number of features by type whose geometry is there and has no coordinates: those ``substation_rows`` drops."""
+    found = _with_centre(_features(documents).where(F.col("kind").isNotNull()))
+    return found.where(F.col("at.lon").isNull() | F.col("at.lat").isNull()).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 def substation_rows(documents: DataFrame) -> DataFrame:
-    """GeoJSON features to substations. Features without geometry are skipped; areas and lines are placed at their
-    centroid."""
-    point = F.from_json("coordinates", "array<double>")
-    place = (
-        F.when(F.col("kind") == "Point", F.struct(point[0].alias("lon"), point[1].alias("lat")))
-        .when(
-            F.col("kind") == "Polygon",
-            geo.area_centroid(_rings(F.from_json("coordinates", "array<array<array<double>>>"))),
-        )
-        .when(
-            F.col("kind") == "MultiPolygon",
-            geo.area_centroid(
-                F.flatten(F.transform(F.from_json("coordinates", "array<array<array<array<double>>>>"), _rings))
-            ),
-        )
-        .when(F.col("kind") == "LineString", geo.line_centroid(_places(F.col("coordinates"))))
-    )
-    found = _features(documents).where(F.col("kind").isNotNull()).withColumn("at", place)
+    """GeoJSON features to substations at their centroids. Features without geometry or coordinates are skipped."""
+    found = _with_centre(_features(documents).where(F.col("kind").isNotNull()))
+    found = found.where(F.col("at.lon").isNotNull() & F.col("at.lat").isNotNull())
     osm_id = F.coalesce(F.try_element_at("p", F.lit("osmid")), F.col("ord").cast("string"))
     voltage = codes.first_of(F.col("p"), ["voltage"], fixed.DEFAULT_VOLTAGE)
     name = F.try_element_at("p", F.lit("name"))

@@ -91,7 +91,7 @@ def _queue(spark, folder):
 
 
 COUNTY_ROUNDS = dict(
-    mean_outage_proba=9, max_outage_proba=9, mean_priority_score=4, max_priority_score=4, outage_rate=9
+    mean_outage_proba=8, max_outage_proba=9, mean_priority_score=4, max_priority_score=4, outage_rate=9
 )
 
 

@@ -72,8 +72,27 @@ def use_checkpoint_folder(spark: SparkSession) -> None:
         context.setCheckpointDir(scratch_path(spark, "rounds"))
 
 
+_kept: list[tuple[SparkSession, str]] = []
+
+
+def _forget() -> None:
+    """Delete what ``keep`` has written below a shared folder, as far as the session still lives."""
+    for spark, path in _kept:
+        try:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # noqa: BLE001  the session is gone, and with it the way to the store
+            return
+
+
 def keep(df: DataFrame) -> DataFrame:
-    """Store an intermediate result in the shared checkpoint folder, so that rounds neither repeat earlier rounds nor
-    depend on executors that may be lost."""
-    use_checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    """Store an intermediate result as columns in the shared folder, so that rounds neither repeat earlier rounds nor depend
+    on executors that may be lost, and readers of a few columns read no others. It goes with the process."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "kept")
+    df.write.parquet(path)
+    if spark.conf.get("spark.checkpoint.dir", None):
+        if not _kept:
+            atexit.register(_forget)
+        _kept.append((spark, path))
+    return spark.read.parquet(path)

@@ -12,7 +12,7 @@
    once) give a likelihood-ratio statistic G2. All words above ``least_g2`` whose false-discovery rate (Benjamini-Hochberg
    over the words in three or more rows) is at most ``discovery`` enter a ridge logistic regression fitted on patterns of
    those words; the ridge shrinks weak ones. Every labelled training row takes part in the counts and in the fit, whose
-   loss and gradient are summed over all patterns in Spark.
+   the sums over all patterns are those of Spark's own learner.
 
 The label model sees restored words only: ids, languages, sources and labels are never inputs of a score.
 
@@ -31,6 +31,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -265,55 +267,22 @@ def _discovery_level(levels: list[tuple[int, int]], tested: int, rate: float) ->
 
 
 def _ridge_logistic(patterns: DataFrame, width: int, bias: float, ridge: float = 0.05) -> tuple[np.ndarray, float]:
-    """Weights and bias of the ridge logistic regression on rows of (words, k toxic of n): limited-memory BFGS until the
-    gradient vanishes. Every step sums over all patterns; a task returns one row."""
-
-    def sums(at: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            loss, grad, seen = 0.0, np.zeros(width + 1), np.zeros(width + 1)
-            for batch in batches:
-                lists, k, n = batch.column(0), *(batch.column(c).to_numpy().astype(float) for c in (1, 2))
-                row = np.repeat(np.arange(len(n)), np.diff(lists.offsets.to_numpy()))
-                column = lists.flatten().to_numpy()
-                z = at[-1] + np.bincount(row, weights=at[column], minlength=len(n))
-                error = n / (1 + np.exp(-np.clip(z, -40, 40))) - k
-                loss += float((n * np.logaddexp(0, z) - k * z).sum())
-                for out, x in ((grad, error), (seen, n)):
-                    out[:-1] += np.bincount(column, weights=x[row], minlength=width)
-                    out[-1] += x.sum()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([loss]), pa.array([grad.tobytes()]), pa.array([seen.tobytes()])], names=["loss", "grad", "seen"]
-            )
-
-        rows = patterns.select("words", "k", "n").mapInArrow(run, "loss double, grad binary, seen binary").collect()
-        loss, grad, seen = (sum(x) for x in zip(*[(r[0], np.frombuffer(r[1]), np.frombuffer(r[2])) for r in rows], strict=True))
-        return loss + ridge / 2 * float(at[:-1] @ at[:-1]), grad + np.r_[ridge * at[:-1], 0.0], seen
-
-    at = np.r_[np.zeros(width), bias]
-    loss, grad, seen = sums(at)
-    inverse = 1.0 / (0.25 * seen + ridge)  # of a bound of the curvature
-    steps: list[tuple[np.ndarray, np.ndarray]] = []
-    while float(grad @ (inverse * grad)) > 1e-10 * (1 + loss):
-        way, parts = grad.copy(), []
-        for s, y in reversed(steps):
-            parts.append((s @ way) / (s @ y))
-            way -= parts[-1] * y
-        way *= inverse
-        for (s, y), part in zip(steps, reversed(parts), strict=True):
-            way += (part - (y @ way) / (s @ y)) * s
-        size = 1.0
-        while True:
-            then, then_grad, _ = sums(at - size * way)
-            if then <= loss - 1e-4 * size * float(grad @ way) or size < 1e-9:
-                break
-            size /= 2
-        if then >= loss:  # no further descent in floating point
-            break
-        steps = [*steps[-9:], (-size * way, then_grad - grad)]
-        if steps[-1][0] @ steps[-1][1] <= 0:
-            steps.pop()
-        at, loss, grad = at - size * way, then, then_grad
-    return at[:-1], float(at[-1])
+    """Weights and bias of the ridge logistic regression on rows of (words, k toxic of n), by Spark's own learner on sparse
+    vectors: a pattern is one row of label 1 that weighs k and one of label 0 that weighs n - k. The penalty is per row there
+    and per table here. ``bias`` is what remains without any weight."""
+    vector = F.udf(lambda words: Vectors.sparse(width, words, [1.0] * len(words)), VectorUDT())
+    sides = F.explode(F.array(
+        F.struct(F.lit(1.0).alias("y"), F.col("k").cast("double").alias("w")),
+        F.struct(F.lit(0.0).alias("y"), (F.col("n") - F.col("k")).cast("double").alias("w")),
+    ))
+    rows = patterns.select(vector("words").alias("x"), sides.alias("s")).select("x", "s.y", "s.w").where("w > 0")
+    total = patterns.agg(F.sum("n")).first()[0]
+    if not total:
+        return np.zeros(width), bias
+    model = LogisticRegression(
+        featuresCol="x", labelCol="y", weightCol="w", regParam=ridge / total, standardization=False, maxIter=1000, tol=1e-12,
+    ).fit(rows)
+    return model.coefficients.toArray(), float(model.intercept)
 
 
 def with_score(docs: DataFrame, labels: DataFrame, name: str = "score", **settings) -> DataFrame:

@@ -31,10 +31,11 @@ def words(data: bytes) -> list[bytes]:
     return data.translate(LOWER_BYTES).split()
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends here, and a lost executor costs nothing."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write if codec is None else df.write.option("compression", codec)
+    writer.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -290,21 +290,26 @@ def repeats(docs: DataFrame, least: int = 100, gram: int = 32, block_bytes: int
         .select("doc_id", "tie", "n").distinct(),
         "copies",
     )
-    keys = repeated_keys(rows, least, gram).groupBy("doc_id", "tie").agg(F.collect_list("keys").alias("parts"))
-    keys = keys.join(copies.select("doc_id", "tie"), ["doc_id", "tie"], "left_anti")
+    # A copy is a row of the grouping itself: an anti-join would be moved below it, to every part of every document.
+    marks = copies.select("doc_id", "tie", F.lit(None).cast("binary").alias("keys"), F.lit(True).alias("copy"))
+    keys = (
+        repeated_keys(rows, least, gram).select("doc_id", "tie", "keys", F.lit(False).alias("copy")).unionByName(marks)
+        .groupBy("doc_id", "tie").agg(F.collect_list("keys").alias("parts"), F.max("copy").alias("copy"))
+        .where(~F.col("copy")).drop("copy")
+    )
     found = (
         rows.join(stored(keys, "keys"), ["doc_id", "tie"]).dropDuplicates(["doc_id", "tie"])
         .select("doc_id", "tie", "text", "parts")
         .mapInArrow(_segments_of(least, gram), "key long, doc_id long, tie long, start long, bytes binary")
         .withColumn("digest", F.unhex(F.md5("bytes")))
     )
-    found = stored(found, "segments")
+    found = stored(found, "segments", "zstd")
     distinct = stored(
         found.groupBy("key", "digest").agg(
             F.min(F.struct("doc_id", "tie", "start")).alias("first"), F.first("bytes").alias("bytes"),
             F.count(F.lit(1)).alias("times"),
         ),
-        "distinct",
+        "distinct", "zstd",
     )
     # Segments that are equal from end to end, but for the first.
     again = distinct.where("times > 1").select("key", "digest", "first")

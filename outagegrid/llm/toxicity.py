@@ -11,8 +11,8 @@
 3. Words of restored texts are weighed against ``labels.toxic``: each word's document counts by label (equal texts count
    once) give a likelihood-ratio statistic G2. All words above ``least_g2`` whose false-discovery rate (Benjamini-Hochberg
    over the words in three or more rows) is at most ``discovery`` enter a ridge logistic regression fitted on patterns of
-   those words; the ridge shrinks weak ones. Every labelled training row takes part in the counts and in the fit, whose
-   the sums over all patterns are those of Spark's own learner.
+   those words; the ridge shrinks weak ones. Every labelled training row takes part in the counts and in the fit, which
+   is Spark's own learner over all patterns.
 
 The label model sees restored words only: ids, languages, sources and labels are never inputs of a score.
 

@@ -6,9 +6,10 @@ tables would need. Two documents of similarity s meet in some table with probabi
 ``rows`` follows from the threshold, so that at most ``MOST_MISSED`` of the pairs exactly at it stay apart: 8 rows (7e-5) at
 0.85, 10 rows (7e-5) at 0.80.
 
-Documents with equal sets are one node from the start, by a 128-bit digest of the set. In every table each node is
-checked against a few of the table's nodes (the smallest id and the smallest under two hashes) on full shingle sets, which
-settles large groups with a few pairs per node. Only tables that still hold nodes of different components are then
+Documents with equal sets are one node from the start, by a 128-bit digest of the set. Each node is checked on full shingle
+sets against one node first, the smallest id of all its tables, which settles most of a large group with a pair per node.
+In tables that still hold two components, nodes are checked against a few of the table's nodes of another component (the
+smallest id and the smallest under two hashes). Only tables that still hold nodes of different components are then
 enumerated pair by pair, each pair in its first common table only, within the length bound that the threshold implies and
 a sketch of 1024 one-bit minhashes (a pair at the threshold is dropped six standard deviations away, once in 10^9). There
 is no cap on tables, partners or candidates.
@@ -170,15 +171,18 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(with_sets.mapInArrow(confirm, "a long, b long").distinct(), "links")
 
 
-def _remaining_pairs(shared: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
-    """(a, b): pairs that share a table and may be linked, but are not known to be in one component."""
+def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of tables that hold nodes of more than one component, with their nodes' components."""
     labelled = stored(
-        shared.select("key", "i", "j", "id", "n").join(labels, "id", "left")
-        .select("key", "i", "j", "id", "n", F.coalesce("label", "id").alias("label")),
-        "labelled",
+        shared.join(labels, "id", "left").select(*shared.columns, F.coalesce("label", "id").alias("label")), "labelled"
     )
     open_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    left = stored(labelled.join(open_keys, "key"), "open")
+    return stored(labelled.join(open_keys, "key"), "open")
+
+
+def _remaining_pairs(shared: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
+    """(a, b): pairs that share a table and may be linked, but are not known to be in one component."""
+    left = _open(shared.select("key", "i", "j", "id", "n"), labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,15 +238,28 @@ def near_duplicates(
     sets = _full_sets(shared.select("id").distinct(), docs, width)
     close = F.least("n", "c.m") * 100 >= F.greatest("n", "c.m") * percent
     pair = [F.least("id", "c.a").alias("a"), F.greatest("id", "c.a").alias("b")]
+    to_centers = lambda rows: rows.select("*", F.explode("centers").alias("c")).where((F.col("id") != F.col("c.a")) & close)
+    # One pair a node settles most of a large group: the smallest id of all its tables.
+    first = stored(
+        to_centers(shared.select("id", "n", "centers")).where(F.col("c.a") < F.col("id")).groupBy("id")
+        .agg(F.min("c.a").alias("a")).select("a", F.col("id").alias("b")),
+        "first",
+    )
+    links = _linked(first, sets, percent)
+    labels = components(links)
+    shared = _open(shared, labels)
+    center = labels.select(F.col("id").alias("a"), F.col("label").alias("center_label"))
     stars = stored(
-        shared.select("id", "n", F.explode("centers").alias("c")).where((F.col("id") != F.col("c.a")) & close)
-        .select(*pair).distinct(),
+        to_centers(shared.select("id", "n", "label", "centers")).select("id", "n", "label", "c", F.col("c.a").alias("a"))
+        .join(center, "a", "left").where(F.col("label") != F.coalesce("center_label", "a")).select(*pair).distinct()
+        .join(first, ["a", "b"], "left_anti"),
         "stars",
     )
-    links = _linked(stars, sets, percent)
+    links = stored(links.unionByName(_linked(stars, sets, percent)), "links")
     labels = components(links)
+    tried = first.unionByName(stars)
     rest = stored(
-        _remaining_pairs(shared, labels, nodes, sets, percent, rows).join(stars, ["a", "b"], "left_anti"), "rest"
+        _remaining_pairs(shared.drop("label"), labels, nodes, sets, percent, rows).join(tried, ["a", "b"], "left_anti"), "rest"
     )
     if not rest.isEmpty():
         labels = components(links.unionByName(_linked(rest, sets, percent)))

@@ -220,3 +220,41 @@ def test_published_alert_document(spark):
     assert got == sorted(map(tuple, published.select(columns).collect()))
     totals = alerts.alert_summary(ours, published).first().asDict()
     assert totals == {k: v for k, v in summary.first().asDict().items() if k in totals}
+
+
+def test_hops_leave_the_edges_where_they_lie(spark):
+    edges = spark.range(200).select(
+        F.concat(F.lit("n"), F.col("id")).alias("u"), F.concat(F.lit("n"), (F.col("id") * 7 + 1) % 200).alias("v")
+    )
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        adjacency = graph.land_adjacency(edges)
+        reached = graph.hops(adjacency, spark.createDataFrame([("n0",), ("n5",)], "node_id string"), 3)
+        plan = reached._jdf.queryExecution().sparkPlan().toString() + reached._jdf.queryExecution().executedPlan().toString()
+        rows = {(r.src, r.node): r.hop for r in reached.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # Joins on node read the buckets as they lie: what is moved by node is the walks' ends, once a round.
+    assert "Bucketed: true" in plan and plan.count("Bucketed: false") == 0
+    near = {}
+    for u, v in [(r.u, r.v) for r in edges.collect()]:
+        near.setdefault(u, set()).add(v)
+        near.setdefault(v, set()).add(u)
+    for src in ("n0", "n5"):
+        ring, seen = {src}, {src: 0}
+        for hop in (1, 2, 3):
+            ring = {n for m in ring for n in near[m]} - seen.keys()
+            seen |= {n: hop for n in ring}
+        assert {n: h for (s, n), h in rows.items() if s == src} == seen
+
+
+def test_substations_that_share_order_and_risk_give_one_alert(spark):
+    nodes = spark.createDataFrame(
+        [("sub_b", "substation", "B", 1), ("sub_a", "substation", "A", 1), ("hospital_1", "hospital", "H", 9)],
+        "node_id string, node_type string, name string, ord long",
+    ).selectExpr("*", "40.0 AS lat", "-73.0 AS lon", "map('beds', '3') AS props")
+    edges = spark.createDataFrame([("hospital_1", "sub_a"), ("hospital_1", "sub_b")], "u string, v string")
+    risky = nodes.where("node_type = 'substation'").selectExpr("node_id", "name", "lat", "lon", "ord", "0.9 AS adjusted_risk", "true AS in_storm_zone")
+    got = alerts.facility_alerts(nodes, edges, risky).collect()
+    assert [(r.facility_id, r.feeding_substation_id, r.hop_distance) for r in got] == [("hospital_1", "sub_a", 1)]

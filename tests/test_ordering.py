@@ -92,3 +92,22 @@ def test_balanced_and_county_samples(hours):
     sizes = {r.outage_label: r["count"] for r in sampling.balanced_sample(hours, 50).groupBy("outage_label").count().collect()}
     assert sizes == {0: 50, 1: 50}
     assert sampling.county_sample(hours, 2).select("fips").distinct().count() == 2
+
+
+@pytest.mark.parametrize("ratio", [0, 1, 3, 100])
+def test_radix_selection_takes_the_first_rows(spark, ratio):
+    """Against a sort: years without positives, without negatives, ties in the leading digit, labels that are null."""
+    rows = [(y, h, 1 if (h * 7 + y) % 5 == 0 and y != 2 else None if h % 11 == 0 else 0 if y != 3 else 1) for y in (1, 2, 3, 4) for h in range(60)]
+    df = spark.createDataFrame(rows, "year int, hour int, outage_label int").repartition(3)
+    order = [(F.col("hour") * 31) % 7, F.col("hour")]
+    got = {tuple(r) for r in sampling.negative_downsample(df, ratio, order=order).collect()}
+    want = set()
+    for y in (1, 2, 3, 4):
+        mine = [r for r in rows if r[0] == y]
+        positives = [r for r in mine if r[2] == 1]
+        negatives = sorted((r for r in mine if r[2] == 0), key=lambda r: (r[1] * 31 % 7, r[1]))
+        want |= {*positives, *negatives[: ratio * len(positives)]}
+    assert got == want
+    assert sampling.negative_downsample(df.where("false"), ratio, order=order).count() == 0
+    some = sampling.uniform_sample(df, 17 * ratio, order=order).select("hour").collect()
+    assert sorted(r.hour for r in some) == sorted(sorted((r[1] for r in rows), key=lambda h: (h * 31 % 7, h))[: 17 * ratio])

@@ -36,7 +36,16 @@ def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     writer = df.write if codec is None else df.write.option("compression", codec)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out.stored_at = path
+    return out
+
+
+def spent(df: DataFrame) -> None:
+    """Delete a table of ``stored`` that nothing reads any more; what was made of it has to be stored."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outagegrid.llm.common import fresh, quoted, stored, text_or_empty
+from outagegrid.llm.common import fresh, quoted, spent, stored, text_or_empty
 from outagegrid.llm.components import components
 from outagegrid.llm.shingles import STEP, WordHashes, mixed, shingle_hashes
 
@@ -131,7 +131,7 @@ def _shared_tables(nodes: DataFrame) -> DataFrame:
         *[F.min(F.struct(o.alias("o"), F.col("id").alias("id"), F.col("n").alias("n"))).alias(f"c{k}") for k, o in enumerate(orders)],
     ).where("size > 1")
     listed = F.array_distinct(F.array(*[F.struct(F.col(f"c{k}.id").alias("a"), F.col(f"c{k}.n").alias("m")) for k in range(CENTERS)]))
-    return stored(tables.join(centers.select("key", listed.alias("centers")), "key"), "shared")
+    return stored(tables.join(centers.select("key", listed.alias("centers")), "key"), "shared", "zstd")
 
 
 def _full_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -173,11 +173,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of tables that hold nodes of more than one component, with their nodes' components."""
-    labelled = stored(
-        shared.join(labels, "id", "left").select(*shared.columns, F.coalesce("label", "id").alias("label")), "labelled"
-    )
+    labelled = shared.join(labels, "id", "left").select(*shared.columns, F.coalesce("label", "id").alias("label"))
     open_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    return stored(labelled.join(open_keys, "key"), "open")
+    return stored(labelled.join(stored(open_keys, "open-keys"), "key"), "open", "zstd")
 
 
 def _remaining_pairs(shared: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
@@ -247,7 +245,8 @@ def near_duplicates(
     )
     links = _linked(first, sets, percent)
     labels = components(links)
-    shared = _open(shared, labels)
+    all_shared, shared = shared, _open(shared, labels)
+    spent(all_shared)  # first, links, sets and the open tables are stored
     center = labels.select(F.col("id").alias("a"), F.col("label").alias("center_label"))
     stars = stored(
         to_centers(shared.select("id", "n", "label", "centers")).select("id", "n", "label", "c", F.col("c.a").alias("a"))

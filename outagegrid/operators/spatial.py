@@ -4,6 +4,9 @@ A cap turns "nearest" into a local question: with cells as wide as the cap, ever
 the query. Where points are dense that block may hold a large share of all points, so cells are refined step by step,
 and per query only cells that can still hold a winner are opened. No pair list of a whole cell is ever built, and no
 candidate is capped: a cell is skipped only when enough points are known to lie nearer than its nearest corner.
+
+A query becomes many rows while its cells are opened, which no shuffle before that shows. Queries are therefore dealt out by
+their number, and of a leaf, which is one row with its points, a query takes along its nearest ones only.
 """
 
 from __future__ import annotations
@@ -13,10 +16,12 @@ from pyspark.sql import functions as F
 
 from outagegrid.fixed import KM_PER_DEGREE
 from outagegrid.functions.geo import degree_km
+from outagegrid.session import keep
 
 SPLIT_BITS = 2  # each refinement cuts a cell into 4 x 4
 DEEPEST = 8  # 25 km cells end below half a metre
 LEAF_POINTS = 64
+QUERIES_PER_TASK = 10_000
 SLACK = 1 + 1e-9  # covers rounding in cell arithmetic; only ever opens more cells
 
 
@@ -76,6 +81,23 @@ def _prune(frontier: DataFrame, keys: list[str], level: int, need: int) -> DataF
     )
 
 
+def _dealt(queries: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a query together, and no more queries a task than it can open cells for in memory."""
+    tasks = -(-queries.count() // QUERIES_PER_TASK)
+    least = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return queries.repartition(max(least, tasks), *keys)
+
+
+def _leaves(points: DataFrame, depth: int) -> DataFrame:
+    """(cy, cx, pts): a cell's points in a row, or in several where a cell of the last level holds more than a leaf's worth."""
+    placed = points.withColumns({"cy": _cell("pu", depth), "cx": _cell("pv", depth)})
+    nth = F.row_number().over(Window.partitionBy("cy", "cx").orderBy("near_ord", "near_id"))
+    return (
+        placed.withColumn("_part", F.floor((nth - 1) / LEAF_POINTS)).groupBy("cy", "cx", "_part")
+        .agg(F.collect_list(F.struct("near_ord", "near_id", "near_lat", "near_lon")).alias("pts")).drop("_part")
+    )
+
+
 def nearest(
     queries: DataFrame, points: DataFrame, keys: list[str], k: int, cap_km: float, exclude_self: bool = False
 ) -> DataFrame:
@@ -99,10 +121,11 @@ def nearest(
         .drop("_nth")
         .withColumns({"pu": F.col("near_lat") / unit, "pv": F.col("near_lon") / unit})
     )
+    points = keep(points)  # every level reads them
     depth = _depth(points)
     around = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
     frontier = (
-        queries.withColumns({"qu": F.col("lat") / unit, "qv": F.col("lon") / unit})
+        _dealt(queries, keys).withColumns({"qu": F.col("lat") / unit, "qv": F.col("lon") / unit})
         .select("*", F.explode(around).alias("_a"))
         .select(
             *queries.columns, "qu", "qv",
@@ -120,13 +143,18 @@ def nearest(
                 children, (F.col("cy") == F.col("_py")) & (F.col("cx") == F.col("_px"))
             ).select(*queries.columns, "qu", "qv", F.col("_cy").alias("cy"), F.col("_cx").alias("cx"), "n")
             frontier = _prune(opened, keys, level, need)
-    leaves = points.withColumns({"cy": _cell("pu", depth), "cx": _cell("pv", depth)}).drop("pu", "pv")
-    pairs = frontier.join(leaves, ["cy", "cx"]).select(
-        *queries.columns, "near_id", "near_lat", "near_lon", "near_ord",
-        degree_km(F.col("lat"), F.col("lon"), F.col("near_lat"), F.col("near_lon")).alias("km"),
+
+    def measured(p: Column) -> Column:
+        km = degree_km(F.col("lat"), F.col("lon"), p["near_lat"], p["near_lon"])
+        names = ("near_ord", "near_id", "near_lat", "near_lon")
+        return F.struct(km.alias("km"), *[p[c].alias(c) for c in names])
+
+    def chosen(p: Column) -> Column:
+        return (p["km"] < cap_km) & (p["near_id"] != F.col(keys[0])) if exclude_self else p["km"] < cap_km
+
+    best = F.slice(F.array_sort(F.filter(F.transform("pts", measured), chosen)), 1, k)
+    pairs = frontier.join(_leaves(points, depth), ["cy", "cx"]).select(*queries.columns, F.explode(best).alias("_b")).select(
+        *queries.columns, "_b.near_id", "_b.near_lat", "_b.near_lon", "_b.near_ord", "_b.km"
     )
-    pairs = pairs.where(F.col("km") < cap_km)
-    if exclude_self:
-        pairs = pairs.where(F.col("near_id") != F.col(keys[0]))
     by_distance = Window.partitionBy(*keys).orderBy("km", "near_ord", "near_id")
     return pairs.withColumn("rank", F.row_number().over(by_distance)).where(F.col("rank") <= k).drop("near_ord")

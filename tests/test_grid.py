@@ -258,3 +258,30 @@ def test_substations_that_share_order_and_risk_give_one_alert(spark):
     risky = nodes.where("node_type = 'substation'").selectExpr("node_id", "name", "lat", "lon", "ord", "0.9 AS adjusted_risk", "true AS in_storm_zone")
     got = alerts.facility_alerts(nodes, edges, risky).collect()
     assert [(r.facility_id, r.feeding_substation_id, r.hop_distance) for r in got] == [("hospital_1", "sub_a", 1)]
+
+
+def test_queries_are_dealt_by_their_number(spark, monkeypatch):
+    """A task opens the cells of a bounded number of queries, however few bytes all of them have."""
+    monkeypatch.setattr(spatial, "QUERIES_PER_TASK", 50)
+    points = grid_points(spark, 600, 0)
+    near = spatial.nearest(points, points, ["node_id"], 3, 25, exclude_self=True)
+    assert near.rdd.getNumPartitions() >= 12
+
+
+def test_a_full_cell_of_the_last_level_is_read_in_parts(spark):
+    """Far more points than a leaf's worth within some centimetres."""
+    i = F.col("id")
+    points = spark.range(200).select(
+        F.concat(F.lit("p"), i).alias("node_id"), i.alias("ord"),
+        (40.7 + (i * 79 % 211) / 1e9).alias("lat"), (-73.4 + (i * 37 % 199) / 1e9).alias("lon"),
+    ).persist()
+    unit = 25 / 111
+    placed = points.select((F.col("lat") / unit).alias("pu"), (F.col("lon") / unit).alias("pv"), *[
+        F.col(c).alias(f"near_{n}") for c, n in (("node_id", "id"), ("ord", "ord"), ("lat", "lat"), ("lon", "lon"))
+    ])
+    assert max(len(r.pts) for r in spatial._leaves(placed, spatial.DEEPEST).collect()) == spatial.LEAF_POINTS
+    rows = points.collect()
+    table = {r.node_id: (r.ord, r.lat, r.lon) for r in rows}
+    got = spatial.nearest(points, points, ["node_id"], 3, 25, exclude_self=True)
+    want = brute({r.node_id: (r.lat, r.lon) for r in rows}, table, 3, 25, True)
+    assert {q: [p for p, _ in v] for q, v in found(got).items()} == {q: [p for p, _ in v] for q, v in want.items()}

@@ -191,3 +191,14 @@ def test_unseen_forecast_combination_is_zero(spark):
 def test_label_round_trip(spark):
     row = spark.range(1).select(codes.fips_of_label(codes.county_label(F.lit("01001"), F.lit("AL"), F.lit(0.5))).alias("x"))
     assert row.first().x == "01001"
+
+
+def test_a_boosting_sample_takes_as_few_tasks_as_its_rows_need(spark, monkeypatch):
+    """Its parts, and with them the rows every tree draws, do not depend on the session's shuffle partitions."""
+    rows = spark.range(400).select(
+        F.lit("01001").alias("fips"), F.timestamp_seconds(F.col("id") * 3600).alias("hour"), "id"
+    ).repartition(16, "id")
+    assert models.packed(rows).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 100)
+    packed = models.packed(rows)
+    assert packed.rdd.getNumPartitions() == 4 and sorted(r.id for r in packed.collect()) == list(range(400))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from outagegrid.llm import bpe, decontaminate, exact_dedup, near_dedup, toxicity
 from outagegrid.llm.common import stored, table
+from outagegrid.session import configure
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,12 +44,21 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+
+def _configured(stage):
+    """A stage may be run on its own; the batches of its Python tasks are then bounded as in ``run``."""
+    return lambda spark, docs, sf_dir: stage(configure(spark), docs, sf_dir)
+
+
 STAGES = [
-    ("toxicity", reject_toxic),
-    ("exact_dedup", exact_duplicates),
-    ("near_dedup", near_duplicates),
-    ("decontamination", benchmark_leaks),
-    ("byte_bpe", token_ids),
+    (name, _configured(stage))
+    for name, stage in (
+        ("toxicity", reject_toxic),
+        ("exact_dedup", exact_duplicates),
+        ("near_dedup", near_duplicates),
+        ("decontamination", benchmark_leaks),
+        ("byte_bpe", token_ids),
+    )
 ]
 
 #: The toxicity model, the tiling and the merges are not expressible in SQL; tests compare them with brute force.

@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from outagegrid.llm import near_dedup
+from outagegrid.session import REQUIRED
 
 
 def test_names():
@@ -32,3 +33,15 @@ def test_stage_on_hard_rows(spark, make, hard, data, name):
     stage = dict(corpus_pipeline.STAGES)[name]
     for df in (docs, docs.where("false")):
         stage(spark, df, data).collect()
+
+
+def test_a_stage_on_its_own_bounds_its_batches(spark, make, hard, data):
+    """The toxicity stage took over 3,000 MB of an executor where nobody had configured the session."""
+    docs = make(hard).select("doc_id", "text", "lang", "source", "n_chars")
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    try:
+        dict(corpus_pipeline.STAGES)["byte_bpe"](spark, docs, data)
+        assert spark.conf.get(key) == REQUIRED[key]
+    finally:
+        spark.conf.set(key, REQUIRED[key])

@@ -7,6 +7,7 @@ depend on it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -16,12 +17,51 @@ from tokenizers import Tokenizer
 
 from outagegrid.llm.units import units
 
-MOST_UNITS, MOST_WORDS = 150_000, 200_000
+MOST_UNITS, MOST_RECENT, MOST_WORDS = 500_000, 50_000, 50_000
 LONGEST = 100  # characters; longer words and units are not remembered
 MARKS = frozenset(".,;:!?)")
 # How byte-level vocabularies write bytes: printable ones as themselves, the others in order from U+0100.
 _PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 BYTE_LETTERS = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+BLANK = chr(BYTE_LETTERS[0x20])
+
+
+class Known(dict):
+    """What is known of a word, made by ``make`` when it is first asked for. Beyond ``most`` entries new ones are remembered
+    for a while only, long ones never."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most = make, most
+        self.recent: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.recent.get(key)
+        if ids is not None:
+            return ids
+        ids = self.make(key)
+        if len(key) > LONGEST:
+            return ids
+        if len(self) < self.most:
+            self[key] = ids
+        else:
+            if len(self.recent) >= MOST_RECENT:
+                self.recent.clear()
+            self.recent[key] = ids
+        return ids
+
+
+class Units(Known):
+    """Units without their leading blank. Letters before a mark are not kept: the letters are."""
+
+    def __init__(self, encoder: TextEncoder):
+        super().__init__(encoder.unit_ids, MOST_UNITS)
+        self.words = encoder.words
+
+    def __missing__(self, unit: str) -> bytes:
+        if unit[-1:] in MARKS and (letters := unit[:-1]).isalpha():
+            return self[letters] + self.words[unit[-1]]
+        return super().__missing__(unit)
 
 
 class TextEncoder:
@@ -33,45 +73,40 @@ class TextEncoder:
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError(f"{self.tokenizer.get_vocab_size()} ids do not fit two bytes")
         self.split = regex.compile(pattern)
-        self.words: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
-
-    def _word_ids(self, missing: list[str]) -> dict[str, bytes]:
-        """Ids of unknown words; they are remembered while there is room."""
-        tokenize, out = self.tokenizer.model.tokenize, {}
-        for w in missing:
-            written = w.encode().decode("latin-1").translate(BYTE_LETTERS)
-            out[w] = np.array([t.id for t in tokenize(written)], dtype="<u2").tobytes()
-        if len(self.words) < MOST_WORDS:
-            self.words.update((w, ids) for w, ids in out.items() if len(w) <= LONGEST)
-        return out
-
-    def _cut(self, text: str) -> list[str]:
-        """Matches of the split pattern; letters alone, and letters before one mark, need no search."""
-        core = text[1:] if text[:1] == " " else text
-        if core.isalpha():
-            return [text]
-        if core[-1:] in MARKS and core[:-1].isalpha():
-            return [text[:-1], text[-1]]
-        return self.split.findall(text)
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        cut, known = [self._cut(t) for t in texts], self.words
-        new = self._word_ids(list({w for words in cut for w in words if w not in known}))
-        return [b"".join([known[w] if w in known else new[w] for w in words]) for words in cut]
+        self.tokenize = self.tokenizer.model.tokenize
+        self.bytes_of = [i.to_bytes(2, "little") for i in range(1 << 16)]
+        self.words = Known(self.tokenized, MOST_WORDS)
+        self.units = Units(self)
+
+    def tokenized(self, word: str) -> bytes:
+        """Ids of one match of the split pattern, by the tokenizer's model."""
+        written = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        bytes_of = self.bytes_of
+        return b"".join([bytes_of[t.id] for t in self.tokenize(written)])
+
+    def unit_ids(self, unit: str) -> bytes:
+        """Ids of a unit that is written without its leading blank; letters alone are one word."""
+        if not unit.isalpha():
+            return b"".join(map(self.word_ids, self.split.findall(" " + unit)))
+        if not unit.isascii():
+            return self.tokenized(" " + unit)
+        bytes_of = self.bytes_of
+        return b"".join([bytes_of[t.id] for t in self.tokenize(BLANK + unit)])
+
+    def word_ids(self, word: str) -> bytes:
+        """Ids of one match of the split pattern; letters after a blank are a unit."""
+        return self.units[word[1:]] if word[:1] == " " and word[1:].isalpha() else self.words[word]
+
+    def first_ids(self, text: str) -> bytes:
+        """Ids of a text's first unit, which may be the whole text."""
+        return self.words[text] if text.isalpha() else b"".join(map(self.word_ids, self.split.findall(text)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut, known = [units(t) for t in texts], self.rest
-        found = [list(map(known.get, rest)) for _, rest in cut]  # None where unknown
-        gaps = [k for k, f in enumerate(found) if None in f]
-        missing = list({u for k in gaps for u, ids in zip(cut[k][1], found[k], strict=True) if ids is None})
-        new = dict(zip(missing, self._encoded([" " + u for u in missing]), strict=True))
-        for k in gaps:
-            found[k] = [new[u] if ids is None else ids for u, ids in zip(cut[k][1], found[k], strict=True)]
-        if len(known) < MOST_UNITS:
-            known.update((u, ids) for u, ids in new.items() if len(u) <= LONGEST)
-        first = self._encoded([f or "" for f, _ in cut])
-        return [f + b"".join(ids) for f, ids in zip(first, found, strict=True)]
+        known, out = self.units.__getitem__, []
+        for text in texts:
+            first, rest = units(text)
+            out.append(self.first_ids(first or "") + b"".join(map(known, rest)))
+        return out
 
 
 @lru_cache(maxsize=2)

@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from outagegrid.llm import bpe, token_counts, token_files
+from outagegrid.llm import bpe, token_counts, token_files, token_ids
 from outagegrid.llm.units import units
 
 RANKS, JSON = P.path("byte_bpe_50k.tiktoken"), P.path("byte_bpe_50k.json")
@@ -70,6 +70,26 @@ def test_encode_hard_rows(make, hard, reference):
     assert bpe.encode(make(hard).where("false"), RANKS, P.PATTERN).count() == 0
 
 
+def test_known_words_are_not_asked_for_again(monkeypatch):
+    """Not from text to text, not before another mark, and not when there is no room to remember them for good."""
+    monkeypatch.setattr(token_ids, "MOST_UNITS", 2)
+    definition = token_ids.read_definition(P.path("byte_bpe_50k.json"))
+    encoder, library, asked = token_ids.TextEncoder(definition), Tokenizer.from_str(definition), []
+    tokenize = encoder.tokenizer.model.tokenize
+    monkeypatch.setattr(encoder, "tokenize", lambda w: asked.append(w) or tokenize(w), raising=False)
+    texts = ["The wide river, the river. A river; rivières 12", "rivières. The wide the river\n river's  12, 12", "", " wide"]
+    for text in texts * 2:
+        ids = np.frombuffer(encoder.encode([text])[0], "<u2")
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert "\u0120river" in asked and len(asked) == len(set(asked))
+
+
+def test_a_space_that_touches_is_found():
+    for white in (" ", "\t", "\r", "\x85", "\xa0", "\u2003", "\u3000"):
+        assert units(f"a b {white}c") == (f"a b {white}c", []) and units(f"a{white} b") == (f"a{white} b", [])
+    assert units("a\u2003b c\n") == ("a\u2003b", ["c\n"])
+
+
 def test_token_files_round_trip(spark, make, tokenizer, texts, tmp_path):
     path = str(tmp_path / "files")
     docs = make([((i * 37) % 401, t) for i, t in enumerate(texts)])

@@ -52,6 +52,10 @@ STAR = re.compile(rb"(?<=[a-z0-9@$!+|])\*+(?=[a-z0-9@$!+|])")
 APART = re.compile(rb"(?<![^ ])[a-z0-9@$!+|]{1,4}(?: +[a-z0-9@$!+|]{1,4})+(?![^ ])")
 RUN = re.compile(rb"(.)\1{3,}", re.DOTALL)
 DRAWN_OUT = re.compile(rb"([a-z])\1\1")
+DOUBLED = re.compile(rb"([a-z])\1")
+PARTS = re.compile(rb"[a-z]+(?: [a-z]+)+")
+INSIDE = re.compile(rb"[a-z0-9@$!+|\x80-\xff][^a-z0-9@$!+|\x80-\xff]+[a-z0-9@$!+|\x80-\xff]")
+LETTER_BYTES = [bytes([b]) for b in range(256)]
 LETTERS, STRANGE = re.compile(rb"[a-z]"), re.compile(rb"[0-9@$!+|]")
 # Channel log-probabilities: a letter disguised, a written character that stands for nothing, a blank inside a word.
 DISGUISED, NOTHING, JOINED = math.log(0.3), math.log(0.2), math.log(0.5)
@@ -64,6 +68,7 @@ def character_counts(texts: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, dtype=np.int64)
+        codes, held = [], 0
         for batch in batches:
             for data in batch.column(0).to_pylist():
                 s = np.frombuffer(data.translate(SYMBOL_BYTES), dtype=np.uint8)
@@ -73,8 +78,13 @@ def character_counts(texts: DataFrame) -> np.ndarray:
                 code = s[:n]
                 for k in range(1, ORDER):
                     code = code * SIZE + s[k : k + n]
-                at, seen = np.unique(code, return_counts=True)
-                total[at] += seen
+                codes.append(code)
+                held += n
+                if held > cells:
+                    total += np.bincount(np.concatenate(codes), minlength=cells)
+                    codes, held = [], 0
+        if codes:
+            total += np.bincount(np.concatenate(codes), minlength=cells)
         at = np.flatnonzero(total)
         for k in range(0, len(at), 50_000):
             part = at[k : k + 50_000]
@@ -140,12 +150,123 @@ def decode(written: bytes, model: np.ndarray) -> bytes:
     return bytes(symbols[::-1]).strip()
 
 
+class PartSymbols(dict):
+    """The symbols of a part of a-z; none for a single letter or one with a letter doubled, which leave more paths."""
+
+    def __missing__(self, part: bytes) -> bytes:
+        if len(self) > 100_000:
+            self.clear()
+        symbols = self[part] = b"" if len(part) < 2 or DOUBLED.search(part) else part.translate(SYMBOL_BYTES)
+        return symbols
+
+
+def decode_parts(span: bytes, model: list[float], known: PartSymbols) -> bytes:
+    """``decode`` for parts of a-z set apart by single blanks. Mostly one path is left, or two that differ in the third
+    symbol from the end: these meet again on the first letter after a blank, or by the blank itself. Sums and ties are those
+    of ``decode``."""
+    top, last_two = SIZE ** (ORDER - 1), SIZE ** (ORDER - 2)
+    paths: dict[int, tuple[float, bytes]] = {0: (0.0, b"")}  # state: (score, text)
+    state, score, text = 0, 0.0, b""  # the first of them, and ``state2`` the second, while ``ways`` is 1 or 2
+    state2, score2, text2 = 0, 0.0, b""
+    ways, first = 0, True
+    for part in span.split(b" "):
+        symbols = known[part] if ways else b""
+        if symbols:
+            at = state * SIZE
+            joined, apart, tail = score + JOINED, score + JOINED + model[at], text
+            if ways == 2:
+                at2 = state2 * SIZE
+                more = score2 + JOINED + model[at2]
+                if more > apart:
+                    apart, tail = more, text2
+            blank = at % top * SIZE + symbols[0]
+            at += symbols[0]
+            joined, apart = joined + model[at], apart + model[blank]
+            if ways == 2:
+                more = score2 + JOINED + model[at2 + symbols[0]]
+                if more > joined:
+                    joined, text = more, text2
+            at, blank = at % top * SIZE + symbols[1], blank % top * SIZE + symbols[1]
+            joined, apart = joined + model[at], apart + model[blank]
+            if len(symbols) == 2:
+                ways, state, state2 = 2, at % top, blank % top
+                score, text, score2, text2 = joined, text + part, apart, tail + b" " + part
+                continue
+            at, blank = at % top * SIZE + symbols[2], blank % top * SIZE + symbols[2]
+            joined, apart = joined + model[at], apart + model[blank]
+            ways, state = 1, at % top
+            score, text = (apart, tail + b" " + part) if apart > joined else (joined, text + part)
+            for c in symbols[3:]:
+                at = state * SIZE + c
+                state, score = at % top, score + model[at]
+            continue
+        if ways:
+            paths = {state: (score, text)}
+            if ways == 2:
+                paths[state2] = (score2, text2)
+        if not first:
+            paths = _over_blank(paths, model)
+        first = False
+        before = -1
+        for c in part:
+            then: dict[int, tuple[float, bytes]] = {}
+            letter = LETTER_BYTES[c]
+            for s, (total, out) in paths.items():
+                at = s * SIZE + c - 96
+                to, more = at % top, total + model[at]
+                held = then.get(to)
+                if held is None or more > held[0]:
+                    then[to] = (more, out + letter)
+                if c == before:
+                    held = then.get(s)
+                    if held is None or total + NOTHING > held[0]:
+                        then[s] = (total + NOTHING, out)
+            paths, before = then, c
+        ways = 0
+        if len(paths) < 3:
+            (state, (score, text)), *second = paths.items()
+            if not second:
+                ways = 1
+            elif second[0][0] % last_two == state % last_two:
+                ways = 2
+                state2, (score2, text2) = second[0]
+    if ways == 1:
+        return text
+    if ways == 2:
+        paths = {state: (score, text), state2: (score2, text2)}
+    ends: dict[int, tuple[float, bytes]] = {}
+    for s, (total, out) in paths.items():
+        to, total = s * SIZE % top, total + model[s * SIZE]
+        held = ends.get(to)
+        if held is None or total > held[0]:
+            ends[to] = (total, out)
+    return max(ends.values(), key=lambda x: x[0])[1]
+
+
+def _over_blank(paths: dict[int, tuple[float, bytes]], model: list[float]) -> dict[int, tuple[float, bytes]]:
+    """Paths that leave a blank out, and paths that write it."""
+    then: dict[int, tuple[float, bytes]] = {}
+    for s, (total, out) in paths.items():
+        total += JOINED
+        held = then.get(s)
+        if held is None or total > held[0]:
+            then[s] = (total, out)
+        to, more = s * SIZE % SIZE ** (ORDER - 1), total + model[s * SIZE]
+        held = then.get(to)
+        if held is None or more > held[0]:
+            then[to] = (more, out + b" ")
+    return then
+
+
 class Restored(dict):
-    """A written word to its clean words, remembered within a task up to a number of words."""
+    """A written word to its clean words, remembered within a task up to a number of words; those that pass unchanged are in
+    ``plain``, runs of plain parts are not remembered."""
 
     def __init__(self, model: np.ndarray):
         super().__init__()
-        self.model = model
+        self.model: list[float] = model.tolist()
+        self.plain: set[bytes] = set()
+        self.symbols = PartSymbols()
 
     def __missing__(self, word: bytes) -> tuple[bytes, ...]:
         if len(self) > 500_000:
@@ -161,20 +282,43 @@ class Restored(dict):
         self[word] = out
         return out
 
+    def words(self, written: set[bytes]) -> set[bytes]:
+        """Clean words of words without blanks."""
+        if len(self.plain) > 500_000:
+            self.plain.clear()
+        found = set(written)
+        others = []
+        for word in written - self.plain:
+            if word not in self and not (DRAWN_OUT.search(word) or STRANGE.search(word)):
+                self.plain.add(word)
+            else:
+                others.append(word)
+        found.difference_update(others)
+        for word in others:
+            found.update(self[word])
+        return found
+
+    def parts(self, span: bytes) -> list[bytes] | tuple[bytes, ...]:
+        """Clean words of parts set apart by single blanks."""
+        if PARTS.fullmatch(span):
+            return decode_parts(RUN.sub(rb"\1\1\1", span), self.model, self.symbols).split()
+        return self[span]
+
 
 def restored_words(data: bytes, memo: Restored) -> set[bytes]:
     """Distinct clean words of a whole text."""
     clean = data.translate(CLEAN_BYTES)
     written = set(clean.split())
-    for m in APART.finditer(clean):
-        written.add(re.sub(rb" +", b" ", m.group()))
-    # Parts of one written word, set apart by characters that are neither blank nor kept; stars inside it.
-    for word in set(data.translate(LOWER_BYTES).split()):
-        if word.translate(CLEAN_BYTES) != word:
+    found = memo.words(written)
+    for span in set(APART.findall(clean)):
+        found.update(memo.parts(re.sub(rb" +", b" ", span) if b"  " in span else span))
+    # Parts of one written word, set apart by characters that are neither blank nor kept; stars inside it. A word of kept
+    # characters only is in ``written``.
+    for word in set(data.translate(LOWER_BYTES).split()) - written:
+        if INSIDE.search(word):
             span = b" ".join(STAR.sub(b"\0", word.translate(STARRED)).replace(b"*", b" ").replace(b"\0", b"*").split())
-            if b" " in span or b"*" in span:
-                written.add(span)
-    return {w for span in written for w in memo[span]}
+            found.update(memo.parts(span))
+    return found
 
 
 def _bytes_of(docs: DataFrame) -> DataFrame:

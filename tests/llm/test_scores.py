@@ -282,6 +282,16 @@ def test_plain_words_stay(memo):
     assert toxicity.restored_words(b"a1" * 20_000, memo)
 
 
+def test_parts_are_decoded_as_by_the_lattice(memo):
+    rng = random.Random(6)
+    parts = ["a", "i", "it", "of", "in", "the", "ass", "aa", "all", "will", "id", "iot", "aaa", "d", "e", "stu", "pid", "river"]
+    for _ in range(3000):
+        span = " ".join(rng.choices(parts, k=rng.randint(2, 9))).encode()
+        assert toxicity.decode_parts(span, memo.model, memo.symbols).strip() == toxicity.decode(span, memo.model)
+        assert toxicity.decode(span, np.array(memo.model, dtype=np.float32)) == toxicity.decode(span, memo.model)
+    assert toxicity.restored_words(b"die  die d  i e", memo) >= {b"die", b"d", b"i", b"e"}
+
+
 def test_toxicity_hard_rows(make, hard, labels):
     for docs in (make(hard), make(hard).where("false")):
         got = toxicity.score(docs, labels).collect()

@@ -93,8 +93,9 @@ def _documents(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated_keys(rows: DataFrame, least: int, gram: int) -> DataFrame:
-    """doc_id, tie, keys (binary, 64-bit): the keys of a document that occur elsewhere too, in parts."""
+def repeated_keys(rows: DataFrame, least: int, gram: int, without: DataFrame | None = None) -> DataFrame:
+    """doc_id, tie, keys (binary, 64-bit): the keys of a document that occur elsewhere too, one row per document that is not
+    in ``without`` (doc_id, tie). A shard answers with a row per group of documents, whatever their number."""
     shards = partitions(rows.sparkSession)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,27 +151,68 @@ def repeated_keys(rows: DataFrame, least: int, gram: int) -> DataFrame:
                     keys.append(np.frombuffer(k, np.int64)), owners.append(np.frombuffer(o, np.int64).reshape(-1, 2))
                     many.append(np.frombuffer(m, np.uint8))
                 else:
-                    passed.append((*np.frombuffer(o, np.int64).tolist(), k))
+                    doc_id, tie = np.frombuffer(o, np.int64).tolist()
+                    passed.append(((doc_id ^ tie) % shards, doc_id, tie, None, k))
             if passed:
-                yield _key_rows(passed)
+                yield _group_rows(passed)
         if not keys:
             return
         keys, owners, many = np.concatenate(keys), np.concatenate(owners), np.concatenate(many)
         _, at, count = np.unique(keys, return_inverse=True, return_counts=True)
         wanted = (count[at] > 1) & (many == 0)
         keys, owners = keys[wanted], owners[wanted]
+        group = (owners[:, 0] ^ owners[:, 1]) % shards
+        order = np.argsort(group, kind="stable")
+        keys, owners, group = keys[order], owners[order], group[order]
+        edges = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]).tolist() if len(keys) else []
+        if edges:
+            yield _group_rows([
+                (int(group[a]), None, None, owners[a:b].tobytes(), keys[a:b].tobytes())
+                for a, b in zip(edges, [*edges[1:], len(keys)], strict=True)
+            ])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, owners, gone = [], [], set()
+        for batch in batches:
+            for _, doc_id, tie, o, k in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k is None:
+                    gone.add((doc_id, tie))
+                    continue
+                keys.append(np.frombuffer(k, np.int64))
+                owners.append(np.broadcast_to((doc_id, tie), (len(keys[-1]), 2)) if o is None else np.frombuffer(o, np.int64).reshape(-1, 2))
+        if not keys:
+            return
+        keys, owners = np.concatenate(keys), np.concatenate(owners)
         order = np.lexsort((owners[:, 1], owners[:, 0]))
         keys, owners = keys[order], owners[order]
-        edges = np.flatnonzero(np.r_[True, (owners[1:] != owners[:-1]).any(axis=1)]) if len(keys) else np.zeros(0, int)
+        edges = np.flatnonzero(np.r_[True, (owners[1:] != owners[:-1]).any(axis=1)])
+        stops = np.r_[edges[1:], len(keys)]
         for at in range(0, len(edges), 10_000):
-            part = edges[at : at + 10_000]
-            stops = [*edges[at + 1 : at + 10_000].tolist(), int(edges[at + 10_000]) if at + 10_000 < len(edges) else len(keys)]
-            yield _key_rows(
-                [(*owners[a].tolist(), keys[a:b].tobytes()) for a, b in zip(part.tolist(), stops, strict=True)]
-            )
+            first, last = edges[at : at + 10_000], stops[at : at + 10_000]
+            found = [
+                (*owner, keys[a:b].tobytes())
+                for owner, a, b in zip(map(tuple, owners[first].tolist()), first.tolist(), last.tolist(), strict=True)
+                if owner not in gone
+            ]
+            if found:
+                yield _key_rows(found)
 
     blocks = rows.mapInArrow(collect, "shard int, keys binary, owner binary, many binary")
-    return blocks.repartitionById(shards, "shard").mapInArrow(merge, "doc_id long, tie long, keys binary")
+    groups = "part int, doc_id long, tie long, owners binary, keys binary"
+    wanted = blocks.repartitionById(shards, "shard").mapInArrow(merge, groups)
+    if without is not None:
+        none = F.lit(None).cast("binary")
+        part = F.pmod(F.col("doc_id").bitwiseXOR(F.col("tie")), F.lit(shards)).cast("int")
+        wanted = wanted.unionByName(without.select(part.alias("part"), "doc_id", "tie", none.alias("owners"), none.alias("keys")))
+    return wanted.repartitionById(shards, "part").mapInArrow(gather, "doc_id long, tie long, keys binary")
+
+
+def _group_rows(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+        names=["part", "doc_id", "tie", "owners", "keys"],
+    )
 
 
 def _key_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -181,14 +223,14 @@ def _key_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 def _segments_of(least: int, gram: int):
-    """mapInArrow function: (doc_id, tie, text, parts of wanted keys) to one row per segment with such a key."""
+    """mapInArrow function: (doc_id, tie, text, wanted keys) to one row per segment with such a key."""
     names = ["key", "doc_id", "tie", "start", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, tie, data, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                wanted = np.frombuffer(b"".join(parts), np.int64)
+            for doc_id, tie, data, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                wanted = np.frombuffer(keys, np.int64)
                 key, first, last = segments(window_keys(data, least, gram)[0])
                 here = np.isin(key, wanted)
                 for k, a, b in zip(key[here].tolist(), first[here].tolist(), last[here].tolist(), strict=True):
@@ -290,16 +332,11 @@ def repeats(docs: DataFrame, least: int = 100, gram: int = 32, block_bytes: int
         .select("doc_id", "tie", "n").distinct(),
         "copies",
     )
-    # A copy is a row of the grouping itself: an anti-join would be moved below it, to every part of every document.
-    marks = copies.select("doc_id", "tie", F.lit(None).cast("binary").alias("keys"), F.lit(True).alias("copy"))
-    keys = (
-        repeated_keys(rows, least, gram).select("doc_id", "tie", "keys", F.lit(False).alias("copy")).unionByName(marks)
-        .groupBy("doc_id", "tie").agg(F.collect_list("keys").alias("parts"), F.max("copy").alias("copy"))
-        .where(~F.col("copy")).drop("copy")
-    )
+    # Copies go where a document's keys are gathered: an anti-join would move all keys once more.
+    keys = repeated_keys(rows, least, gram, copies.select("doc_id", "tie"))
     found = (
         rows.join(stored(keys, "keys"), ["doc_id", "tie"]).dropDuplicates(["doc_id", "tie"])
-        .select("doc_id", "tie", "text", "parts")
+        .select("doc_id", "tie", "text", "keys")
         .mapInArrow(_segments_of(least, gram), "key long, doc_id long, tie long, start long, bytes binary")
         .withColumn("digest", F.unhex(F.md5("bytes")))
     )

@@ -217,6 +217,28 @@ def test_rows_follow_from_the_threshold():
     assert [near_dedup.rows_for(p, 2) for p in (85, 80)] == [8, 10]
 
 
+def test_keys_come_back_in_one_row_a_document(make, spark):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=7)) for _ in range(300)]
+    shared = " ".join(rng.choices(vocabulary, k=400))
+    rows = [(i, shared[i : i + 1500] + " " + " ".join(rng.choices(vocabulary, k=50))) for i in range(20)] + [(7, "short"), (30, None)]
+    rows += [(None, shared), (8, shared), (8, shared)]
+    docs = substring_dedup._documents(make(rows))
+    got = substring_dedup.repeated_keys(docs.repartition(4), 100, 32).collect()
+    assert len(got) == len({(r.doc_id, r.tie) for r in got}) == 22
+    seen = {(r.doc_id, r.tie): set(np.frombuffer(r.keys, np.int64).tolist()) for r in got}
+    rows = [((r.doc_id, r.tie), substring_dedup.window_keys(bytes(r.text), 100, 32)[1].tolist()) for r in docs.collect()]
+    times = {}
+    for _, keys in rows:
+        for k in keys:
+            times[k] = times.get(k, 0) + 1
+    want = {i: {k for k in keys if times[k] > 1} for i, keys in rows}
+    assert seen == {i: k for i, k in want.items() if k}
+    gone = docs.where("doc_id = 8").select("doc_id", "tie").limit(1)
+    left = substring_dedup.repeated_keys(docs, 100, 32, docs.where("doc_id < 5").select("doc_id", "tie").unionByName(gone)).collect()
+    assert {r.doc_id for r in left} <= {r.doc_id for r in got} and all(r.doc_id >= 5 for r in left)
+
+
 def test_repeats_hard_rows(make, hard):
     got = substring_dedup.remove_repeats(make(hard)).collect()
     by = {r.doc_id: r for r in got if r.doc_id is not None}

@@ -72,12 +72,28 @@ def _induce(t: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray, size: int)
 
 
 def _ranks(names: np.ndarray) -> np.ndarray:
-    """Ranks of the suffixes of a string of names, by joining ranks of neighbours recursively until all differ."""
-    width = 1
-    values, rank = np.unique(names, return_inverse=True)
-    while len(values) < len(names):
-        after = np.r_[rank[width:] + 1, np.zeros(min(width, len(rank)), rank.dtype)][: len(rank)]
-        values, rank = np.unique(rank * (len(names) + 1) + after, return_inverse=True)
+    """Ranks of the suffixes of a string of names, by joining ranks of neighbours until all differ. A rank counts the smaller
+    suffixes, so those that differ from all others already keep theirs and are sorted no more."""
+    n, width = len(names), 1
+    order = np.argsort(names, kind="stable")
+    new = np.flatnonzero(np.r_[True, names[order][1:] != names[order][:-1]])
+    size = np.diff(np.r_[new, n])
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.repeat(new, size)
+    open_ = order[np.repeat(size > 1, size)]
+    while len(open_):
+        behind = open_ + width
+        after = np.where(behind < n, rank[np.minimum(behind, n - 1)] + 1, 0)
+        key = rank[open_] * (n + 1) + after
+        by = np.argsort(key)
+        open_, key = open_[by], key[by]
+        shared = rank[open_]
+        group = np.flatnonzero(np.r_[True, shared[1:] != shared[:-1]])
+        place = shared + np.arange(len(open_)) - np.repeat(group, np.diff(np.r_[group, len(open_)]))
+        new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[new, len(open_)])
+        rank[open_] = np.repeat(place[new], size)
+        open_ = open_[np.repeat(size > 1, size)]
         width *= 2
     return rank
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from outagegrid.llm import decontaminate, exact_dedup, near_dedup, substring_dedup
+from outagegrid.llm import decontaminate, exact_dedup, near_dedup, substring_dedup, suffix_array as suffixes
 from outagegrid.llm.components import components
 from outagegrid.llm.suffix_array import permuted_common_prefixes, suffix_array
 
@@ -145,6 +145,19 @@ def test_suffix_array_and_prefixes():
             assert shared[y] == m
 
 
+def test_ranks_sort_only_what_is_open(monkeypatch):
+    rng, sorted_ = random.Random(9), []
+    for _ in range(300):
+        names = np.array(rng.choices(range(rng.randint(1, 6)), k=rng.randint(1, 40)) * rng.choice([1, 1, 3]), dtype=np.int64)
+        want = sorted(range(len(names)), key=lambda i: names[i:].tolist())
+        assert np.argsort(suffixes._ranks(names)).tolist() == want
+    argsort, unique = np.argsort, np.unique
+    monkeypatch.setattr(np, "argsort", lambda a, **kw: (sorted_.append(len(a)), argsort(a, **kw))[1])
+    monkeypatch.setattr(np, "unique", lambda a, **kw: (sorted_.append(len(a)), unique(a, **kw))[1])
+    suffixes._ranks(np.array([*range(1000), *[2000] * 64, *range(3000, 4000)]))
+    assert sum(sorted_) < 3000
+
+
 def brute_repeats(rows, least):
     seen, out = set(), {}
     for i, text in sorted(rows, key=lambda r: r[0]):

@@ -9,10 +9,12 @@ tables would need. Two documents of similarity s meet in some table with probabi
 Documents with equal sets are one node from the start, by a 128-bit digest of the set. Each node is checked on full shingle
 sets against one node first, the smallest id of all its tables, which settles most of a large group with a pair per node.
 In tables that still hold two components, nodes are checked against a few of the table's nodes of another component (the
-smallest id and the smallest under two hashes). Only tables that still hold nodes of different components are then
-enumerated pair by pair, each pair in its first common table only, within the length bound that the threshold implies and
-a sketch of 1024 one-bit minhashes (a pair at the threshold is dropped six standard deviations away, once in 10^9). There
-is no cap on tables, partners or candidates.
+smallest id and the smallest under two hashes). What is left in tables that still hold nodes of different components is
+divided into families of nodes that look somewhat alike. Inside a family nodes meet by what they differ in from a text of
+the family (``_pairs_inside``, without any loss). Only tables that hold several families are enumerated pair by pair, for
+pairs of different families, within the length bound that the threshold implies and a sketch of 1024 one-bit minhashes (a
+pair at the threshold is dropped six standard deviations away, once in 10^9). There is no cap on tables, partners or
+candidates.
 
 Cases: a null text is empty; texts without words have an empty set and link with nothing; rows that share an id are one
 node, linked when any of them is; a null doc_id counts as an id larger than all others; other columns are ignored.
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from outagegrid.llm.common import fresh, quoted, spent, stored, text_or_empty
@@ -37,6 +39,8 @@ NO_ID = 2**63 - 1
 SKETCH_WORDS = 16
 SKETCH_SIGMAS = 6.0
 CENTERS = 3
+FAMILY = 0.3  # how alike, by their sketches, the nodes of a family are step by step; results do not depend on it
+REFERENCES = 15  # nodes that a large family's reference is made of; results do not depend on it
 MOST_MISSED = 1e-4  # of the pairs exactly at the threshold, those that share no table
 MOST_ROWS = 64  # 4,096 tables
 
@@ -110,28 +114,22 @@ def sketches(docs: DataFrame, width: int, band: int, rows: int) -> DataFrame:
 
 
 def _tables(nodes: DataFrame) -> DataFrame:
-    """One row per node and table: key, i, j (the table), id, n."""
-    each = F.flatten(
-        F.transform(
-            "u",
-            lambda a, i: F.transform(
-                "v", lambda b, j: F.struct(F.xxhash64(a, b, i, j).alias("key"), i.cast("byte").alias("i"), j.cast("byte").alias("j"))
-            ),
-        )
-    )
-    return nodes.select(F.explode(each).alias("t"), "id", "n").select("t.key", "t.i", "t.j", "id", "n")
+    """One row per node and table: key, id, n."""
+    each = F.flatten(F.transform("u", lambda a, i: F.transform("v", lambda b, j: F.xxhash64(a, b, i, j))))
+    return nodes.select(F.explode(each).alias("key"), "id", "n")
 
 
 def _shared_tables(nodes: DataFrame) -> DataFrame:
     """Rows of ``_tables`` whose key has two nodes or more, with the key's centers."""
-    tables = _tables(nodes)
+    # Dealt by key once, for the centers and for the join with them.
+    tables = _tables(nodes).repartition("key")
     orders = [F.col("id")] + [F.xxhash64("id", F.lit(k)) for k in range(1, CENTERS)]
     centers = tables.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"),
         *[F.min(F.struct(o.alias("o"), F.col("id").alias("id"), F.col("n").alias("n"))).alias(f"c{k}") for k, o in enumerate(orders)],
     ).where("size > 1")
     listed = F.array_distinct(F.array(*[F.struct(F.col(f"c{k}.id").alias("a"), F.col(f"c{k}.n").alias("m")) for k in range(CENTERS)]))
-    return stored(tables.join(centers.select("key", listed.alias("centers")), "key"), "shared", "zstd")
+    return stored(tables.join(centers.select("key", listed.alias("centers")).hint("merge"), "key"), "shared", "zstd")
 
 
 def _full_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -178,9 +176,8 @@ def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(labelled.join(stored(open_keys, "open-keys"), "key"), "open", "zstd")
 
 
-def _remaining_pairs(shared: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
-    """(a, b): pairs that share a table and may be linked, but are not known to be in one component."""
-    left = _open(shared.select("key", "i", "j", "id", "n"), labels)
+def _sketches_of(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, sketch of the nodes ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,27 +186,133 @@ def _remaining_pairs(shared: DataFrame, labels: DataFrame, nodes: DataFrame, set
                 [batch.column(0), _lists(np.array(found, dtype=np.int64).reshape(-1, SKETCH_WORDS))], names=["id", "sketch"]
             )
 
-    some = sets.join(left.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
-    sketch = some.mapInArrow(run, "id long, sketch array<long>")
-    both = left.join(sketch, "id").join(nodes.select("id", "u", "v"), "id")
+    return stored(sets.join(ids, "id", "left_semi").mapInArrow(run, "id long, sketch array<long>").distinct(), "sketch")
+
+
+def _differing(x: str, y: str):
+    return sum((F.bit_count(F.col(x)[k].bitwiseXOR(F.col(y)[k])) for k in range(SKETCH_WORDS)), F.lit(0))
+
+
+def _families(left: DataFrame, sketch: DataFrame) -> DataFrame:
+    """id, family of the nodes of open tables: nodes are of one family if steps between a node and a table's smallest id lead
+    from one to the other, each between nodes that look ``FAMILY`` alike."""
+    steps = left.select("id", F.col("centers")[0]["a"].alias("a")).where("id != a").distinct()
+    alike = (
+        steps.join(sketch, "id").join(sketch.select(F.col("id").alias("a"), F.col("sketch").alias("other")), "a")
+        .where(_differing("sketch", "other") <= int(64 * SKETCH_WORDS * (1 - FAMILY) / 2)).select("a", F.col("id").alias("b"))
+    )
+    found = components(stored(alike.distinct(), "alike")).withColumnRenamed("label", "family")
+    ids = left.select("id", "label").distinct()
+    return stored(ids.join(found, "id", "left").select("id", "label", F.coalesce("family", "id").alias("family")), "families")
+
+
+def _pairs_across(left: DataFrame, families: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs that share a table and may be linked, but are neither known to be in one component nor of one family."""
+    with_family = left.select("key", "id", "n", "label").join(families.select("id", "family"), "id")
+    mixed_keys = with_family.groupBy("key").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x < y").select("key")
+    both = stored(with_family.join(mixed_keys, "key"), "mixed", "zstd").join(sketch, "id")
     s, bits = percent / 100.0, 64 * SKETCH_WORDS
     p = (1 - s) / 2
     most = int(bits * p + SKETCH_SIGMAS * math.sqrt(bits * p * (1 - p)))
-    differing = sum(
-        (F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(SKETCH_WORDS)), F.lit(0)
-    )
-    earlier = F.lit(False)
-    for at, side in (("i", "u"), ("j", "v")):
-        for k in range(rows - 1):
-            earlier = earlier | ((F.lit(k) < F.col(f"x.{at}")) & (F.col(f"x.{side}")[k] == F.col(f"y.{side}")[k]))
     x, y = both.alias("x"), both.alias("y")
     return x.join(
         y,
-        (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
-        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent) & (differing <= most) & ~earlier,
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.family") != F.col("y.family"))
+        & (F.col("x.label") != F.col("y.label"))
+        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent) & (_differing("x.sketch", "y.sketch") <= most),
     ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
+def _references(sets: DataFrame, families: DataFrame) -> DataFrame:
+    """family, reference: the shingles that most of some of its nodes have (any set will do, see ``_pairs_inside``)."""
+    first = lambda k: F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("o"), F.col("id").alias("id"))).alias(f"r{k}")
+    some = families.groupBy("family").agg(F.count(F.lit(1)).alias("size"), *[first(k) for k in range(REFERENCES)])
+    several = F.array_distinct(F.array(*[F.col(f"r{k}.id") for k in range(REFERENCES)]))
+    read = some.select(
+        "family", F.explode(F.when(F.col("size") > REFERENCES, several).otherwise(F.array("r0.id"))).alias("id")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for each in batch.column(1).to_pylist():
+                values, count = np.unique(np.concatenate([np.frombuffer(s, np.uint64) for s in each]), return_counts=True)
+                found.append(values[2 * count > len(each)].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["family", "reference"])
+
+    of_family = sets.join(read, "id").groupBy("family").agg(F.collect_list("shingles").alias("shingles"))
+    return stored(of_family.mapInArrow(run, "family long, reference binary"), "references")
+
+
+def _pairs_inside(sets: DataFrame, families: DataFrame, percent: int) -> DataFrame:
+    """(a, b): what can be linked of the nodes of one family and different components, by their differences from one set.
+
+    With d the size of a node's difference from the family's reference, n that of its set, and shared the size of what two
+    differences have in common, two sets differ in d + d' - 2 shared places, so nodes are linked if and only if
+    e + e' <= 2 (100 + percent) shared, where e = (100 + percent) d - (100 - percent) n. Nodes with e + e' <= 0 need nothing in
+    common; all such are linked with the node of least e. Of any other pair one node is ``far`` (not linked that way with the
+    least), and both differences hold a shingle in common that still has enough behind it, in an order that begins with what
+    few nodes differ in. So copies of one text meet by a rare change they share, and not by what all have in common."""
+    inner = families.groupBy("family").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("family")
+    families = stored(families.join(inner, "family"), "inner")
+    per_d, per_n = 100 + percent, 100 - percent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            differ, e, which = [], [], []
+            for s, reference in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                own = np.frombuffer(s, np.uint64)
+                differ.append(np.setxor1d(own, np.frombuffer(reference, np.uint64), assume_unique=True).view(np.int64))
+                e.append(per_d * len(differ[-1]) - per_n * len(own))
+                which.append(xxhash.xxh64_intdigest(s) >> 1)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(which, pa.int64()), pa.array(e, pa.int64()), pa.array(differ, pa.list_(pa.int64()))],
+                names=["family", "id", "label", "which", "e", "differ"],
+            )
+
+    # Rows that share an id may have several sets, told apart by ``which``.
+    members = sets.join(families, "id").join(_references(sets, families), "family")
+    members = stored(
+        members.select("family", "id", "label", "shingles", "reference")
+        .mapInArrow(run, "family long, id long, label long, which long, e long, differ array<long>"),
+        "members",
+    )
+    plain = members.select("family", "id", "label", "which", "e")
+    least = plain.groupBy("family").agg(F.min(F.struct("e", "id", "label")).alias("least"))
+    judged = stored(plain.join(least, "family").withColumn("far", F.col("e") + F.col("least.e") > 0), "judged")
+    to_least = judged.where(~F.col("far") & (F.col("id") != F.col("least.id")) & (F.col("label") != F.col("least.label")))
+    to_least = to_least.select(F.least("id", "least.id").alias("a"), F.greatest("id", "least.id").alias("b"))
+    far = judged.where("far").groupBy("family").agg(F.min("e").alias("least_far"))
+    bounds = judged.join(far, "family").select("family", "id", "which", "label", "e", "far", F.col("least.e").alias("least"), "least_far")
+    same = Window.partitionBy("family", "shingle")
+    own = Window.partitionBy("family", "id", "which")
+    placed = (
+        members.select("family", "id", "which", F.explode("differ").alias("shingle"))
+        .withColumn("n", F.count(F.lit(1)).over(same)).where("n > 1")  # what one node alone differs in is shared with none
+        .withColumn("behind", F.count(F.lit(1)).over(own) - F.row_number().over(own.orderBy("n", "shingle")) + 1)
+        .select("family", "id", "which", "shingle", (2 * per_d * F.col("behind")).alias("room"))
+        .join(bounds, ["family", "id", "which"])
+    )
+    placed = stored(placed.where((F.col("e") + F.least("least", "least_far") <= F.col("room"))), "placed", "zstd")
+    x = placed.where(F.col("e") + F.col("least_far") <= F.col("room")).alias("x")
+    y = placed.where("far").alias("y")
+    met = x.join(
+        y,
+        (F.col("x.family") == F.col("y.family")) & (F.col("x.shingle") == F.col("y.shingle"))
+        & (F.col("x.id") != F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
+        & (~F.col("x.far") | (F.col("x.id") < F.col("y.id")))
+        & (F.col("x.e") + F.col("y.e") <= F.least("x.room", "y.room")),
+    ).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+    return to_least.unionByName(met)
+
+
+def _remaining_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs that share an open table and may be linked, but are not known to be in one component."""
+    sketch = _sketches_of(sets, left.select("id").distinct())
+    families = _families(left, sketch)
+    return _pairs_across(left, families, sketch, percent).unionByName(_pairs_inside(sets, families, percent)).distinct()
+
+
 def rows_for(percent: int, band: int, most_missed: float = MOST_MISSED) -> int:
     """The fewest rows a side for which a pair at ``percent`` shares no table with a probability of ``most_missed`` at most."""
     rows, apart = 1, 1 - (percent / 100) ** band
@@ -257,9 +360,8 @@ def near_duplicates(
     links = stored(links.unionByName(_linked(stars, sets, percent)), "links")
     labels = components(links)
     tried = first.unionByName(stars)
-    rest = stored(
-        _remaining_pairs(shared.drop("label"), labels, nodes, sets, percent, rows).join(tried, ["a", "b"], "left_anti"), "rest"
-    )
+    left = _open(shared.drop("label"), labels)
+    rest = stored(_remaining_pairs(left, sets, percent).join(tried, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         labels = components(links.unionByName(_linked(rest, sets, percent)))
     standing = nodes.join(labels, "id", "left").select(

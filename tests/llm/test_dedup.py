@@ -258,3 +258,45 @@ def test_repeats_hard_rows(make, hard):
     want = brute_repeats([r for r in hard if r[0] is not None], 100)
     assert {i: (r.n_bytes, r.n_removed) for i, r in by.items()} == {i: w[:2] for i, w in want.items()}
     assert substring_dedup.remove_repeats(make(hard).where("false")).count() == 0
+
+
+@pytest.mark.parametrize("width,percent", [(3, 85), (5, 80)])
+def test_near_misses_of_a_large_group_are_not_paired_with_all_its_nodes(make, monkeypatch, width, percent):
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(5000)}" for _ in range(120)]
+
+    def varied(edits):
+        text = list(base)
+        for at in rng.sample(range(len(base)), edits):
+            text[at] = f"v{rng.randrange(60)}"
+        return " ".join(text)
+
+    # Some are linked with many, some only with one that shares their changes, most with nothing.
+    rows = [(i, varied(rng.randint(1, 7))) for i in range(500)]
+    rows += [(500 + i, f"{rows[i][1]} and more") for i in range(0, 500, 25)]
+    rows += [(i, rows[i + 1][1]) for i in range(0, 40, 20)]  # ids with two texts
+    counts = {}
+    stored = near_dedup.stored
+
+    def counted(df, label, codec=None):
+        out = stored(df, label, codec)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "stored", counted)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(make(rows), width, percent).collect()}
+    sets = [next(iter(shingle_sets([r], width).values())) for r in rows]
+    root = {i: i for i, _ in rows}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if 100 * len(x & y) >= percent * len(x | y):
+                a, b = sorted((top(rows[i][0]), top(rows[j][0])))
+                root[b] = a
+    assert got == {i: top(i) for i, _ in rows}
+    assert len(set(got.values())) > 50 and counts["rest"] < 2 * len(rows)

@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pandas as pd
@@ -53,6 +53,10 @@ APART = re.compile(rb"(?<![^ ])[a-z0-9@$!+|]{1,4}(?: +[a-z0-9@$!+|]{1,4})+(?![^
 RUN = re.compile(rb"(.)\1{3,}", re.DOTALL)
 DRAWN_OUT = re.compile(rb"([a-z])\1\1")
 DOUBLED = re.compile(rb"([a-z])\1")
+REPEATED = re.compile(rb"([a-z])\1+")
+ONLY_LETTERS = re.compile(rb"[a-z]+")
+BLANKS = re.compile(rb" +")
+HEAD = 12  # letters of a weighed word that a span must hold to be decoded
 PARTS = re.compile(rb"[a-z]+(?: [a-z]+)+")
 INSIDE = re.compile(rb"[a-z0-9@$!+|\x80-\xff][^a-z0-9@$!+|\x80-\xff]+[a-z0-9@$!+|\x80-\xff]")
 LETTER_BYTES = [bytes([b]) for b in range(256)]
@@ -258,12 +262,32 @@ def _over_blank(paths: dict[int, tuple[float, bytes]], model: list[float]) -> di
     return then
 
 
+def _once(letters: bytes) -> bytes:
+    """Letters without blanks, each run of one letter as a single one."""
+    joined = letters.replace(b" ", b"")
+    return REPEATED.sub(rb"\1", joined) if DOUBLED.search(joined) else joined
+
+
+def _any_of(words: set[bytes]) -> bytes:
+    """A pattern for texts that hold one of ``words``, which branches letter by letter."""
+    if b"" in words:
+        return b""
+    heads: dict[bytes, set[bytes]] = {}
+    for word in words:
+        heads.setdefault(word[:1], set()).add(word[1:])
+    return b"(?:" + b"|".join(re.escape(head) + _any_of(tails) for head, tails in sorted(heads.items())) + b")"
+
+
 class Restored(dict):
     """A written word to its clean words, remembered within a task up to a number of words; those that pass unchanged are in
-    ``plain``, runs of plain parts are not remembered."""
+    ``plain``, runs of plain parts are not remembered. With ``wanted``, clean words outside it may be left out."""
 
-    def __init__(self, model: np.ndarray):
+    def __init__(self, model: np.ndarray, wanted: Collection[bytes] | None = None):
         super().__init__()
+        # Decoding plain parts drops blanks and repeated letters only: the letters of each word it gives stand in the span in
+        # a row, but for these.
+        heads = {_once(w)[:HEAD] for w in wanted or () if ONLY_LETTERS.fullmatch(w)}
+        self.hold = None if wanted is None else re.compile(_any_of(heads) if heads else rb"(?!)")
         self.model: list[float] = model.tolist()
         self.plain: set[bytes] = set()
         self.symbols = PartSymbols()
@@ -301,6 +325,8 @@ class Restored(dict):
     def parts(self, span: bytes) -> list[bytes] | tuple[bytes, ...]:
         """Clean words of parts set apart by single blanks."""
         if PARTS.fullmatch(span):
+            if self.hold is not None and not self.hold.search(_once(span)):
+                return ()
             return decode_parts(RUN.sub(rb"\1\1\1", span), self.model, self.symbols).split()
         return self[span]
 
@@ -436,7 +462,7 @@ def with_score(docs: DataFrame, labels: DataFrame, name: str = "score", **settin
 
     @F.pandas_udf("double")
     def score_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memo, known = Restored(shared.value[0]), shared.value[1]
+        memo, known = Restored(*shared.value), shared.value[1]
         for part in texts:
             z = [bias + sum(sorted(known[w] for w in restored_words(t, memo) if w in known)) for t in part]
             yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(z, dtype=float), -40, 40))))

@@ -368,3 +368,31 @@ def test_leaks_hard_rows(spark, make, hard):
     bench = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog"), (2, "a a a a a a")], "item_id long, text string")
     got = {r.doc_id: r.contaminated for r in decontaminate.leaks(make(hard), bench).collect()}
     assert set(got) == {i for i, _ in hard} and got[5] and not got[6]
+
+
+def test_plain_spans_are_decoded_only_where_a_weighed_word_may_be(monkeypatch):
+    rng = random.Random(3)
+    known = {b"idiot", b"moron", b"mon", b"hello", b"stoop", b"zq" * 1500, "caf\u00e9".encode(), b"1d107"}
+    texts = [
+        " ".join("".join(rng.choice("idotsmrnhelpa") for _ in range(rng.randint(1, 5))) for _ in range(12)).encode()
+        + rng.choice([b"", b" i d i o t", b" hel lo mo r on", b" st.oo.p", b" m o n", b" a  a a", b" 1 d 1 0 7", b" 1d107"])
+        for _ in range(600)
+    ]
+    counts = np.zeros(toxicity.SIZE**toxicity.ORDER)
+    seen = [0, 0, 0, *b" idiot moron mon hello stoop caf the ".translate(toxicity.SYMBOL_BYTES)]
+    for window in zip(seen, seen[1:], seen[2:], seen[3:], strict=False):
+        counts[int(np.polyval(window, toxicity.SIZE))] += 50
+    model = toxicity.character_model(counts)
+    every, some, none = toxicity.Restored(model), toxicity.Restored(model, known), toxicity.Restored(model, ())
+    found = [toxicity.restored_words(t, every) & known for t in texts]
+    assert sum(map(len, found)) > 200 and [toxicity.restored_words(t, some) & known for t in texts] == found
+    decoded = []
+    plain = toxicity.decode_parts
+    monkeypatch.setattr(toxicity, "decode_parts", lambda *a: decoded.append(a[0]) or plain(*a))
+    spans = []
+    for memo in (every, some, none):
+        decoded.clear()
+        for t in texts:
+            toxicity.restored_words(t, memo)
+        spans.append(len(decoded))
+    assert spans[0] > 2 * spans[1] > spans[2] == 0

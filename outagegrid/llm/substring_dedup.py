@@ -253,7 +253,9 @@ def repeats_in_block(rows: list[tuple[int, int, int, bytes]], least: int) -> lis
     """Distinct segments (doc_id, tie, start, bytes), each with its earliest place, to repeats (doc_id, tie, start, end)."""
     if len(rows) < 2 and not any(len(r[3]) > least for r in rows):
         return []
-    rows = sorted(rows, key=lambda r: r[:3])
+    places = np.array([r[:3] for r in rows], dtype=np.int64)
+    by_place = np.lexsort(places.T[::-1])
+    rows, places = [rows[i] for i in by_place.tolist()], places[by_place]
     lengths = np.array([len(r[3]) for r in rows])
     ends = np.cumsum(lengths + 1)
     begins = ends - lengths - 1
@@ -269,10 +271,9 @@ def repeats_in_block(rows: list[tuple[int, int, int, bytes]], least: int) -> lis
     # Suffixes between two whole ones share with both what these share; the minimum is over a run without gaps.
     together = shared[sa] >= least
     # Earliest: smaller document, then smaller start.
-    documents = np.array([r[:2] for r in rows], dtype=np.int64)
+    documents, starts = places[:, :2], places[:, 2]
     new = np.r_[True, (documents[1:] != documents[:-1]).any(axis=1)]
     rank = np.cumsum(new) - 1
-    starts = np.array([r[2] for r in rows], dtype=np.int64)
     order = (rank[which[sa]] << 40) | (starts[which[sa]] + place[sa])
     edges = np.flatnonzero(~together)
     if not len(edges) or edges[0] != 0:

@@ -127,7 +127,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
 
 def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
     """For every place, how many symbols its suffix shares with its predecessor in ``sa``. Only irreducible values are
-    compared symbol by symbol; the others are one less than their left neighbour's."""
+    compared, several symbols at once; the others are one less than their left neighbour's."""
     n = len(t)
     previous = np.full(n, -1, dtype=np.int64)
     previous[sa[1:]] = sa[:-1]
@@ -137,18 +137,19 @@ def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
     reducible[reducible] = t[at[reducible] - 1] == t[previous[reducible] - 1]
     out = np.zeros(n, dtype=np.int64)
     open_ = np.flatnonzero(has & ~reducible)
-    done = 0
-    padded = np.r_[t, np.full(8, -1, t.dtype)]
-    other = np.r_[t, np.full(8, -2, t.dtype)]
+    # As many symbols in a number as it holds. Two suffixes differ where the last symbol, the only smallest, ends one.
+    bits = max(1, int(t.max()).bit_length())
+    per = max(1, 63 // bits)
+    packed = np.zeros(n, dtype=np.uint64)
+    for k in range(min(per, n)):
+        packed[: n - k] |= t[k:].astype(np.uint64) << np.uint64(bits * k)
+    other, done = previous[open_], 0
     while len(open_):
-        same = np.ones(len(open_), bool)
-        for _ in range(8):
-            here, there = open_ + done, previous[open_] + done
-            same &= (here < n) & (there < n)
-            same[same] = padded[here[same]] == other[there[same]]
-            out[open_[same]] += 1
-            open_ = open_[same]
-            same = np.ones(len(open_), bool)
-            done += 1
+        apart = packed[open_ + done] ^ packed[other + done]
+        same = apart == 0
+        differ = apart[~same]
+        out[open_[~same]] = done + np.bitwise_count((differ & -differ) - np.uint64(1)).astype(np.int64) // bits
+        open_, other = open_[same], other[same]
+        done += per
     last = np.maximum.accumulate(np.where(reducible, -1, at))
     return np.where(reducible, np.maximum(out[last] - (at - last), 0), out)

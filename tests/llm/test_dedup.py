@@ -300,3 +300,22 @@ def test_near_misses_of_a_large_group_are_not_paired_with_all_its_nodes(make, mo
                 root[b] = a
     assert got == {i: top(i) for i, _ in rows}
     assert len(set(got.values())) > 50 and counts["rest"] < 2 * len(rows)
+
+
+@pytest.mark.parametrize("dtype,symbols", [(np.int16, 2), (np.int16, 258), (np.int64, 2**40)])
+def test_common_prefixes_are_compared_several_symbols_at_once(monkeypatch, dtype, symbols):
+    rng = np.random.default_rng(4)
+    part = rng.integers(1, symbols, 300)
+    t = np.r_[part, symbols - 1, part, 0].astype(dtype)
+    sa = np.array(sorted(range(len(t)), key=lambda i: t[i:].tolist()))
+    rounds = []
+    count = np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda x: rounds.append(len(x)) or count(x))
+    shared = permuted_common_prefixes(t, sa)
+    for x, y in zip(sa, sa[1:]):
+        m = 0
+        while t[x + m] == t[y + m]:
+            m += 1
+        assert shared[y] == m
+    assert 0 < len(rounds) <= len(t) // max(1, 63 // (symbols - 1).bit_length()) + 1
+    assert permuted_common_prefixes(np.zeros(1, dtype), np.zeros(1, int)).tolist() == [0]

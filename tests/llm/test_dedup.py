@@ -319,3 +319,15 @@ def test_common_prefixes_are_compared_several_symbols_at_once(monkeypatch, dtype
         assert shared[y] == m
     assert 0 < len(rounds) <= len(t) // max(1, 63 // (symbols - 1).bit_length()) + 1
     assert permuted_common_prefixes(np.zeros(1, dtype), np.zeros(1, int)).tolist() == [0]
+
+
+def test_tables_are_dealt_out_once(make, monkeypatch):
+    docs = make([(i, f"{' '.join(f'w{k}' for k in range(30))} {i // 2}") for i in range(40)])
+    nodes = near_dedup.sketches(docs, 5, 2, 10).selectExpr("doc_id AS id", "n", "u", "v")
+    monkeypatch.setattr(near_dedup, "stored", lambda df, *_: df)
+    shared = near_dedup._shared_tables(nodes)
+    assert shared.columns == ["key", "id", "n", "centers"]
+    rows = shared.collect()
+    assert {r.id for r in rows} == set(range(40)) and all(r.centers[0].a <= r.id for r in rows)
+    plan = shared._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.split("Initial Plan")[0]

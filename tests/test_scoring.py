@@ -1,10 +1,13 @@
 """Metrics, priorities and scenarios against hand-computed values."""
 
+import datetime
 import math
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from outagegrid.functions import codes
 from outagegrid.operators import metrics, model_tables, models, priority
 
@@ -94,6 +97,47 @@ def test_model_table_and_leaders(scored):
     assert metrics.best_models(table).first().best_roc_auc == "good"
 
 
+@pytest.mark.parametrize("labels, precision, f1", [([1, 1, 1], 1.0, 1.0), ([0, 0, 0], math.nan, 0.0)])
+def test_metrics_of_a_single_class(spark, labels, precision, f1):
+    df = spark.createDataFrame([*zip(labels, [0.9, 0.4, 0.1])], "label int, proba double")
+    got = metrics.model_metrics(df, {"only": "proba"}).first()
+    assert math.isnan(got.roc_auc) and got.pr_auc == pytest.approx(precision, nan_ok=True) and got.f1 == f1
+    assert metrics.curve_metrics(metrics.threshold_table(df)).first().best_threshold == 0.1
+
+
+def test_scores_without_labels_add_nothing(spark):
+    rows = [(None, 0.95), *SCORES, (None, 0.05)]
+    df = spark.createDataFrame(rows, "label int, proba double")
+    a, b = (metrics.curve_metrics(metrics.threshold_table(x)).first() for x in (df, df.where("label IS NOT NULL")))
+    assert tuple(a) == pytest.approx(tuple(b))
+
+
+def test_metrics_are_rounded_once(spark):
+    df = spark.range(276).select((F.col("id") == 106).cast("int").alias("label"), F.col("id").cast("double").alias("proba"))
+    fine, coarse = (metrics.model_metrics(df, {"only": "proba"}, digits=n).first().roc_auc for n in (4, 3))
+    assert (fine, coarse) == (0.3855, 0.385)  # 106 / 275
+
+
+def test_trained_models_are_compared_where_every_test_hour_has_an_outage(spark, tmp_path):
+    rows = []
+    for day in (2, 3, 12, 13, 27):
+        for hour in range(24):
+            for county in range(3):
+                for n in range(4):
+                    mixed = (day * 7919 + hour * 104729 + county * 31 + n * 17) % 97 + 15.0
+                    at = datetime.datetime(2024, 1, day, hour, 10 + n)
+                    rows.append((len(rows), at, county, "view", mixed + (1000 if day > 25 else 0)))
+    columns = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+    path = f"{tmp_path}/events.parquet"
+    spark.createDataFrame(rows, columns).coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{path}/*.parquet'")
+    want = sorted(con.execute(entry.oracle_sql()["trained_comparison"]).fetchall())
+    got = sorted(tuple(r) for r in entry.queries()["trained_comparison"](spark, str(tmp_path)).collect())
+    assert [r[0] for r in got] == ["Gradient Boosting", "Logistic Regression"]
+    assert all(math.isnan(r[1]) for r in got + want) and [r[2] for r in got] == [r[2] for r in want]
+
+
 @pytest.fixture(scope="module")
 def counties(spark):
     rows = [
